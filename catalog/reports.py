@@ -40,13 +40,16 @@ RAW_NAMES = ", ".join(f'"{raw}" AS {to}' for raw, to in EVENT_COLUMNS.items())
 FIVE_WEEKS = 5 * 2 * 2
 
 
-def land(df: DataFrame, label: str) -> str:
-    """Write raw rows as a landing zone of CSV reports."""
-    root = scratch_path(df.sparkSession, label)
+def land(df: DataFrame, label: str, root: str | None = None) -> str:
+    """Write raw rows as a landing zone of CSV reports, text unchanged."""
+    root = root or scratch_path(df.sparkSession, label)
     (
         df.hint("rebalance", *WINDOW_COLS)
-        .write.option("header", True)
+        .write.mode("append")
+        .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .partitionBy(*WINDOW_COLS)
         .csv(root)
     )
@@ -97,13 +100,7 @@ def q02(spark, sf_dir):
     reverse = raw.filter("attribution_type = 'retargeting'").select(
         *reversed(headers), *WINDOW_COLS
     )
-    (
-        reverse.write.mode("append")
-        .option("header", True)
-        .option("escape", '"')
-        .partitionBy(*WINDOW_COLS)
-        .csv(root)
-    )
+    land(reverse, "q02", root)
     return scan_landing(spark, root).raw.select(
         *WINDOW_COLS,
         F.col("Event Time").alias("event_time"),

@@ -92,6 +92,11 @@ def _first_line(rows: Iterator[Row]) -> Iterator[tuple[str, str]]:
             return
 
 
+def _file_path() -> Column:
+    """The file a row came from, spelled as the file listing spells it."""
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+
+
 def first_lines(spark: SparkSession, root: str) -> DataFrame:
     """(file_path, header) of every file that has text, reading only file heads.
 
@@ -99,7 +104,7 @@ def first_lines(spark: SparkSession, root: str) -> DataFrame:
     """
     with _one_file_per_task(spark):
         text = spark.read.option("recursiveFileLookup", True).text(root)
-        lines = text.select("value", F.col("_metadata.file_path").alias("file_path")).rdd
+        lines = text.select("value", _file_path().alias("file_path")).rdd
         heads = spark.createDataFrame(
             lines.mapPartitions(_first_line), "file_path string, header string"
         )
@@ -223,5 +228,5 @@ def _scan_group(
         *WINDOW_COLS,
         position_in_task().alias("row_ord"),
         F.col(CORRUPT).isNotNull().alias("corrupt"),
-        F.col("_metadata.file_path").alias("file_path"),
+        _file_path().alias("file_path"),
     )
