@@ -194,7 +194,7 @@ def scan_landing(
     usable = files.filter(F.col("problem").isNull())
     by_header: dict[str, list[str]] = {}
     several = False
-    for row in usable.select("header", "file_path", "file_no").toLocalIterator():
+    for row in usable.select("header", "file_path", "file_no").collect():
         by_header.setdefault(row.header, []).append(unquote(row.file_path))
         several = several or row.file_no > 0
     parts = [_scan_group(spark, root, h, p, spec) for h, p in sorted(by_header.items())]
@@ -205,7 +205,7 @@ def scan_landing(
     if several:
         numbers = files.select("file_path", "file_no")
         raw = join_small(raw, numbers, ["file_path"], "inner", listing.file_count)
-        raw = raw.withColumn("row_ord", F.shiftleft("file_no", 33) + F.col("row_ord"))
+        raw = raw.withColumn("row_ord", F.shiftleft(F.col("file_no").cast("long"), 33) + F.col("row_ord"))
     return LandingScan(raw.drop("file_path", "file_no"), files, listing.file_count)
 
 

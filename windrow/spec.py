@@ -103,7 +103,8 @@ class ReportSpec:
     def required_headers(self) -> tuple[str, ...]:
         if self.columns is not None:
             return tuple(self.columns)
-        return tuple(self.raw_name(c) for c in dict.fromkeys((*self.required, *self.timestamps)))
+        needed = (*self.required, *self.timestamps, *self.key, "media_source")
+        return tuple(self.raw_name(c) for c in dict.fromkeys(needed))
 
     def raw_name(self, target: str) -> str:
         """The raw header that feeds ``target``."""
