@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,15 +83,6 @@ def _one_file_per_task(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(n, value)
 
 
-def _first_line(rows: Iterator[Row]) -> Iterator[tuple[str, str]]:
-    """The first line with any text; stops reading the file there."""
-    for row in rows:
-        line = row.value.replace(BOM, "")
-        if line.strip():
-            yield row.file_path, line
-            return
-
-
 def _file_path() -> Column:
     """The file a row came from, spelled as the file listing spells it."""
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
@@ -102,11 +93,21 @@ def first_lines(spark: SparkSession, root: str) -> DataFrame:
 
     With one file per task, a task that stops after one line has read one buffer.
     """
+    bom = BOM
+
+    # Nested, so it travels by value: executors need not have this package.
+    def first_line(rows):
+        for row in rows:
+            line = row.value.replace(bom, "")
+            if line.strip():
+                yield row.file_path, line
+                return
+
     with _one_file_per_task(spark):
         text = spark.read.option("recursiveFileLookup", True).text(root)
         lines = text.select("value", _file_path().alias("file_path")).rdd
         heads = spark.createDataFrame(
-            lines.mapPartitions(_first_line), "file_path string, header string"
+            lines.mapPartitions(first_line), "file_path string, header string"
         )
         return stage(heads, "heads")
 
