@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from windrow.functions.text import WHITESPACE, is_blank, strip
 
-# Year-month-day hour:minute:second with one- or two-digit fields,
-# a space-padded day allowed, any white space between date and time, year 0 not
-# allowed, nothing before or after.
+# Year-month-day hour:minute:second.  Nearly every timestamp has the
+# first form; the second also takes one-digit fields, a space-padded day and any
+# white space between date and time.  Year 0 and anything around are refused.
+PLAIN_TIMESTAMP = r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 TIMESTAMP = (
     r"\A(?!0000)[0-9]{4}-[0-9]{1,2}-( [1-9]|[0-9]{1,2})"
     rf"[{WHITESPACE}]+[0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}\z"
@@ -29,7 +30,9 @@ def parse_timestamp(c: Column) -> Column:
     """NTZ timestamp, or NULL when the text is blank or not in the exact format."""
     padded = F.regexp_replace(c, r"- ([1-9])", "-0$1")
     single_spaced = F.regexp_replace(padded, f"[{WHITESPACE}]+", " ")
-    return F.when(c.rlike(TIMESTAMP), single_spaced.try_cast("timestamp_ntz"))
+    return F.when(c.rlike(PLAIN_TIMESTAMP), c.try_cast("timestamp_ntz")).when(
+        c.rlike(TIMESTAMP), single_spaced.try_cast("timestamp_ntz")
+    )
 
 
 def parse_decimal(c: Column) -> Column:

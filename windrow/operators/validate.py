@@ -68,30 +68,45 @@ def type_report(
         text = {alias.get(h, named[h]): _q(h) for h in headers}
     text = {to: c for to, c in text.items() if to not in tags}
 
-    typed: dict[str, Column] = {}
-    problems: list[Column] = []
-    for name in (c for c in spec.timestamps if c in text):
-        typed[name] = parse_timestamp(text[name])
-        problems.append(
-            F.when(
-                failed(text[name], typed[name]),
-                F.concat(F.lit(f"{name} is not a timestamp"), _quoted(text[name])),
-            )
-        )
-    for name in (c for c in spec.decimals if c in text):
-        typed[name] = parse_decimal(text[name])
-        problems.append(
-            F.when(
-                failed(text[name], typed[name]) | overflows(typed[name]),
-                F.concat(F.lit(f"{name} is not a storable number"), _quoted(text[name])),
-            )
-        )
-    for name in spec.required:
-        value = typed.get(name, text[name])
-        problems.append(F.when(_missing(value), F.lit(f"{name} is missing")))
-
-    out = [typed.get(to, c).alias(to) for to, c in text.items()]
-    return raw.select(*out, *tags, F.coalesce(*problems).alias("error"))
+    times = [c for c in spec.timestamps if c in text]
+    numbers = [c for c in spec.decimals if c in text]
+    parsed = _parse(raw, text, times, numbers, tags)
+    problems = _parse_problems(times, numbers)
+    problems += [F.when(_missing(F.col(c)), F.lit(f"{c} is missing")) for c in spec.required]
+    return parsed.select(*text, *tags, F.coalesce(*problems).alias("error"))
+
+
+def _raw(name: str) -> str:
+    return f"_raw_{name}"
+
+
+def _parse(
+    raw: DataFrame,
+    text: dict[str, Column],
+    times: Sequence[str],
+    numbers: Sequence[str],
+    tags: Sequence[str],
+) -> DataFrame:
+    """Parsed columns under their names, and the text they came from as ``_raw_…``.
+
+    A projection of its own: the parsers are costly and both the value and its
+    check need the result, which Spark then computes once per row.
+    """
+    parsers = dict.fromkeys(times, parse_timestamp) | dict.fromkeys(numbers, parse_decimal)
+    out = [(parsers[c](x) if c in parsers else x).alias(c) for c, x in text.items()]
+    return raw.select(*out, *[text[c].alias(_raw(c)) for c in parsers], *tags)
+
+
+def _parse_problems(times: Sequence[str], numbers: Sequence[str]) -> list[Column]:
+    problems = []
+    for c in times:
+        told = F.concat(F.lit(f"{c} is not a timestamp"), _quoted(F.col(_raw(c))))
+        problems.append(F.when(failed(F.col(_raw(c)), F.col(c)), told))
+    for c in numbers:
+        told = F.concat(F.lit(f"{c} is not a storable number"), _quoted(F.col(_raw(c))))
+        bad = failed(F.col(_raw(c)), F.col(c)) | overflows(F.col(c))
+        problems.append(F.when(bad, told))
+    return problems
 
 
 def type_append_rows(raw: DataFrame) -> DataFrame:
@@ -100,39 +115,17 @@ def type_append_rows(raw: DataFrame) -> DataFrame:
     Unlike a report, text is trimmed and blank text becomes NULL, so a required
     field may not be blank.  ``ids_nulled`` counts damaged ids of the row.
     """
-    typed: dict[str, Column] = {}
-    problems: list[Column] = []
-    for name in APPEND_TIMESTAMPS:
-        typed[name] = parse_timestamp(F.col(name))
-        problems.append(
-            F.when(
-                failed(F.col(name), typed[name]),
-                F.concat(F.lit(f"{name} is not a timestamp"), _quoted(F.col(name))),
-            )
-        )
-    typed["event_revenue"] = parse_decimal(F.col("event_revenue"))
-    problems.append(
-        F.when(
-            failed(F.col("event_revenue"), typed["event_revenue"])
-            | overflows(typed["event_revenue"]),
-            F.concat(
-                F.lit("event_revenue is not a storable number"), _quoted(F.col("event_revenue"))
-            ),
-        )
-    )
+    text = {c: F.col(c) for c in TABLE_COLUMNS}
     for name in TABLE_COLUMNS:
-        if name not in typed:
-            wanted = clean_id if name in APPEND_ID_COLUMNS else clean
-            typed[name] = wanted(F.col(name))
-    for name in APPEND_REQUIRED:
-        problems.append(F.when(typed[name].isNull(), F.lit(f"{name} is missing")))
+        if name not in (*APPEND_TIMESTAMPS, "event_revenue"):
+            text[name] = (clean_id if name in APPEND_ID_COLUMNS else clean)(F.col(name))
     nulled = sum((is_damaged_id(F.col(c)).cast("int") for c in APPEND_ID_COLUMNS), F.lit(0))
-    return raw.select(
-        *[typed[name].alias(name) for name in TABLE_COLUMNS],
-        "row_ord",
-        nulled.alias("ids_nulled"),
-        F.coalesce(*problems).alias("error"),
-    )
+    tagged = raw.withColumn("ids_nulled", nulled)
+    tags = ("row_ord", "ids_nulled")
+    parsed = _parse(tagged, text, APPEND_TIMESTAMPS, ["event_revenue"], tags)
+    problems = _parse_problems(APPEND_TIMESTAMPS, ["event_revenue"])
+    problems += [F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in APPEND_REQUIRED]
+    return parsed.select(*TABLE_COLUMNS, *tags, F.coalesce(*problems).alias("error"))
 
 
 def parse_stats(typed: DataFrame) -> DataFrame:
