@@ -228,3 +228,22 @@ def q41(spark, sf_dir):
     }
     out = audit.compare_tables(before, after, by)
     return out.withColumn("revenue_diff", F.col("revenue_diff").cast("decimal(38,4)"))
+
+
+@query(
+    "q41_groups_that_lost_rows",
+    v.VIEWS
+    + """, b AS (SELECT app_id, device_id, count(*) AS n FROM e
+    WHERE media_source = 'Social' GROUP BY ALL),
+k AS (SELECT app_id, device_id, count(*) AS n FROM e WHERE row_ord % 3 <> 0 GROUP BY ALL)
+SELECT b.app_id, b.device_id, b.n AS left_rows, coalesce(k.n, 0) AS right_rows
+FROM b LEFT JOIN k USING (app_id, device_id) WHERE coalesce(k.n, 0) < b.n""",
+)
+def q41_lost(spark, sf_dir):
+    """A fuller load must hold at least what the filtered one held, group by group."""
+    df = v.e(spark, sf_dir)
+    before = df.filter("media_source = 'Social'")
+    after = df.filter("row_ord % 3 <> 0")
+    by = {"app_id": F.col("app_id"), "device_id": F.col("device_id")}
+    lost = audit.fewer_rows(audit.compare_tables(before, after, by))
+    return lost.select(*by, "left_rows", "right_rows")

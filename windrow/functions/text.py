@@ -16,7 +16,7 @@ WHITESPACE = (
 )
 
 # An all-digit id that a spreadsheet rewrote as 1.20E+17.
-DAMAGED_ID = r"(?i)\A[0-9]+(\.[0-9]+)?E\+[0-9]+\z"
+DAMAGED_ID = r"(?i)\A[0-9]++(\.[0-9]++)?E\+[0-9]++\z"
 
 # Texts that some tools read as NULL.
 NULL_LITERALS = ("NA", "NULL", "None", "N/A", "nan")
@@ -36,14 +36,14 @@ def clean(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
 
-def is_damaged_id(c: Column) -> Column:
-    """True where the cleaned id is in scientific notation; never NULL."""
-    return F.coalesce(clean(c).rlike(DAMAGED_ID), F.lit(False))
+def is_damaged_id(cleaned: Column) -> Column:
+    """True where a cleaned id is in scientific notation; never NULL."""
+    return F.coalesce(cleaned.rlike(DAMAGED_ID), F.lit(False))
 
 
-def clean_id(c: Column) -> Column:
-    """Clean an id; a damaged one becomes NULL since its digits are lost."""
-    return F.when(~is_damaged_id(c), clean(c))
+def repair_id(cleaned: Column) -> Column:
+    """A damaged id becomes NULL since its digits are lost."""
+    return F.when(~is_damaged_id(cleaned), cleaned)
 
 
 def split_list(c: Column) -> Column:

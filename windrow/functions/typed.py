@@ -45,7 +45,7 @@ def parse_decimal(c: Column) -> Column:
 
 def failed(raw: Column, parsed: Column) -> Column:
     """True where a non-blank text gave no value; never NULL."""
-    return ~is_blank(raw) & parsed.isNull()
+    return parsed.isNull() & ~is_blank(raw)
 
 
 def overflows(wide: Column) -> Column:

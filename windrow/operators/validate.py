@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from windrow.functions.text import (
     clean,
-    clean_id,
     is_damaged_id,
     normalise_headers,
+    repair_id,
 )
 from windrow.functions.typed import MONEY, failed, overflows, parse_decimal, parse_timestamp
 from windrow.operators.work_items import WorkItems
@@ -38,8 +38,9 @@ def _quoted(raw: Column) -> Column:
     return F.concat(F.lit(": '"), raw, F.lit("'"))
 
 
-def _missing(c: Column) -> Column:
-    return c.isNull() | (c.cast("string") == "")
+def _missing(name: str, parsed: Sequence[str]) -> Column:
+    """NULL, or empty text.  White space alone counts as a value in a report."""
+    return F.col(name).isNull() if name in parsed else F.coalesce(name, F.lit("")) == ""
 
 
 def missing_headers(columns: Sequence[str], spec: ReportSpec = EVENTS) -> list[str]:
@@ -72,7 +73,9 @@ def type_report(
     numbers = [c for c in spec.decimals if c in text]
     parsed = _parse(raw, text, times, numbers, tags)
     problems = _parse_problems(times, numbers)
-    problems += [F.when(_missing(F.col(c)), F.lit(f"{c} is missing")) for c in spec.required]
+    problems += [
+        F.when(_missing(c, (*times, *numbers)), F.lit(f"{c} is missing")) for c in spec.required
+    ]
     return parsed.select(*text, *tags, F.coalesce(*problems).alias("error"))
 
 
@@ -115,17 +118,19 @@ def type_append_rows(raw: DataFrame) -> DataFrame:
     Unlike a report, text is trimmed and blank text becomes NULL, so a required
     field may not be blank.  ``ids_nulled`` counts damaged ids of the row.
     """
-    text = {c: F.col(c) for c in TABLE_COLUMNS}
-    for name in TABLE_COLUMNS:
-        if name not in (*APPEND_TIMESTAMPS, "event_revenue"):
-            text[name] = (clean_id if name in APPEND_ID_COLUMNS else clean)(F.col(name))
-    nulled = sum((is_damaged_id(F.col(c)).cast("int") for c in APPEND_ID_COLUMNS), F.lit(0))
-    tagged = raw.withColumn("ids_nulled", nulled)
-    tags = ("row_ord", "ids_nulled")
-    parsed = _parse(tagged, text, APPEND_TIMESTAMPS, ["event_revenue"], tags)
+    typed = (*APPEND_TIMESTAMPS, "event_revenue")
+    text = {c: F.col(c) if c in typed else clean(F.col(c)) for c in TABLE_COLUMNS}
+    parsed = _parse(raw, text, APPEND_TIMESTAMPS, ["event_revenue"], ["row_ord"])
     problems = _parse_problems(APPEND_TIMESTAMPS, ["event_revenue"])
     problems += [F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in APPEND_REQUIRED]
-    return parsed.select(*TABLE_COLUMNS, *tags, F.coalesce(*problems).alias("error"))
+    nulled = sum((is_damaged_id(F.col(c)).cast("int") for c in APPEND_ID_COLUMNS), F.lit(0))
+    out = {c: repair_id(F.col(c)) if c in APPEND_ID_COLUMNS else F.col(c) for c in TABLE_COLUMNS}
+    return parsed.select(
+        *[x.alias(c) for c, x in out.items()],
+        "row_ord",
+        nulled.alias("ids_nulled"),
+        F.coalesce(*problems).alias("error"),
+    )
 
 
 def parse_stats(typed: DataFrame) -> DataFrame:

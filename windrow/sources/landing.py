@@ -83,6 +83,14 @@ def _one_file_per_task(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(n, value)
 
 
+def _text_files(spark: SparkSession, root: str) -> DataFrame:
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv*")
+        .text(root)
+    )
+
+
 def _file_path() -> Column:
     """The file a row came from, spelled as the file listing spells it."""
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
@@ -104,7 +112,7 @@ def first_lines(spark: SparkSession, root: str) -> DataFrame:
                 return
 
     with _one_file_per_task(spark):
-        text = spark.read.option("recursiveFileLookup", True).text(root)
+        text = _text_files(spark, root)
         lines = text.select("value", _file_path().alias("file_path")).rdd
         heads = spark.createDataFrame(
             lines.mapPartitions(first_line), "file_path string, header string"
@@ -139,7 +147,7 @@ def _from_path(name: str) -> Column:
 
 def list_files(spark: SparkSession, root: str, spec: ReportSpec = EVENTS) -> LandingScan:
     """Every report file with its window and problem; ``raw`` stays empty."""
-    paths = spark.read.option("recursiveFileLookup", True).text(root).inputFiles()
+    paths = _text_files(spark, root).inputFiles()
     listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
     heads = first_lines(spark, root)
     kinds = [r.header for r in heads.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
