@@ -161,7 +161,7 @@ def incumbents(
     hot = F.broadcast(hot_keys(rows, group, hot_key_rows).withColumn("_hot", F.lit(True)))
     position = F.struct(F.col(rank).isNotNull().alias("has"), F.col(rank).alias("rank"), order)
     is_hot = F.coalesce("_hot", F.lit(False))
-    block = F.when(is_hot, F.floor(F.col(order) / F.lit(hot_key_rows))).otherwise(0)
+    block = F.when(is_hot, F.expr(f"`{order}` div {hot_key_rows}")).otherwise(0)
     placed = _join(rows, hot, group, nullable_key, "left").select(
         *group,
         F.col(order),
@@ -219,10 +219,11 @@ def collapse_counters(
     ``first_conflict`` is the key of the first conflict.
     """
     judged = incumbents(rows, scope, key, rank, order, hot_key_rows, nullable_key)
-    seen = F.col("_inc").isNotNull()
+    # Rows that meet no other row of their key, nearly all of them, stop here.
+    judged = judged.filter(F.col("_inc").isNotNull())
     same = F.col("_me.row").eqNullSafe(F.col("_inc.row"))
     same_rank = F.col("_me.pos.rank").eqNullSafe(F.col("_inc.pos.rank"))
-    conflict = seen & ~same
+    conflict = ~same
     # The later of two equal ranks wins, so a challenger loses only to a higher one.
     loser = F.when(F.col("_me.pos") > F.col("_inc.pos"), F.col("_inc.row")).otherwise(
         F.col("_me.row")
@@ -231,7 +232,7 @@ def collapse_counters(
         *scope,
         order,
         F.struct(*key).alias("_key"),
-        (seen & same).alias("_dup"),
+        same.alias("_dup"),
         conflict.alias("_conflict"),
         (conflict & same_rank).alias("_tie"),
         F.when(conflict, F.coalesce(loser[revenue], F.lit(0))).alias("_lost"),

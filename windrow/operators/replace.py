@@ -20,13 +20,15 @@ from windrow.spec import EVENTS, ReportSpec, WINDOW_COLS
 # Sequence number of rows that were in the table before the run.
 BEFORE_RUN = -1
 
+# A window owns whole days of one app and type.
+OWNER = ("app_id", "attribution_type", "day")
+
 
 def with_deleter(rows: DataFrame, items: WorkItems, loaded_by: Column, window_column: str) -> DataFrame:
     """Add ``deleted_by``: the window that deletes the row, or NULL if it stays."""
     day = F.col(window_column).cast("date")
     tagged = rows.withColumn("_seq", loaded_by).withColumn("day", day)
-    owners = ["app_id", "attribution_type", "day"]
-    joined = join_small(tagged, window_days(items), owners, "left", items.days)
+    joined = join_small(tagged, window_days(items), OWNER, "left", items.days)
     later = F.filter("seqs", lambda s: s > F.col("_seq"))
     return joined.withColumn("deleted_by", F.get(later, 0)).drop("seqs", "day", "_seq")
 
@@ -46,10 +48,13 @@ def replace_windows(
     leaving it out keeps its old rows.  A window without incoming rows is wiped.
     """
     columns = existing.columns
-    kept = with_deleter(existing, items, F.lit(BEFORE_RUN), spec.window_column)
+    # Any window that owns the day deletes an old row, so which one is not asked.
+    owned = window_days(items).drop("seqs")
+    dated = existing.withColumn("day", F.col(spec.window_column).cast("date"))
+    kept = join_small(dated, owned, OWNER, "left_anti", items.days)
     added = with_deleter(incoming, items, F.col("seq"), spec.window_column)
-    alive = F.col("deleted_by").isNull()
-    return kept.filter(alive).select(*columns).unionByName(added.filter(alive).select(*columns))
+    alive = added.filter(F.col("deleted_by").isNull())
+    return kept.select(*columns).unionByName(alive.select(*columns))
 
 
 def out_of_window(incoming: DataFrame, items: WorkItems, spec: ReportSpec = EVENTS) -> DataFrame:
