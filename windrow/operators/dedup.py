@@ -228,6 +228,8 @@ def collapse_counters(
     loser = F.when(F.col("_me.pos") > F.col("_inc.pos"), F.col("_inc.row")).otherwise(
         F.col("_me.row")
     )
+    # Reports that keep every column need not have money in them.
+    lost = F.coalesce(loser[revenue], F.lit(0)) if revenue in rows.columns else F.lit(0)
     flagged = judged.select(
         *scope,
         order,
@@ -235,7 +237,7 @@ def collapse_counters(
         same.alias("_dup"),
         conflict.alias("_conflict"),
         (conflict & same_rank).alias("_tie"),
-        F.when(conflict, F.coalesce(loser[revenue], F.lit(0))).alias("_lost"),
+        F.when(conflict, lost).alias("_lost"),
     )
     return flagged.groupBy(*scope).agg(
         F.count_if("_dup").alias("exact_duplicates"),
