@@ -15,6 +15,9 @@ from windrow.operators.dedup import (
     rewrite,
 )
 from windrow.operators.ordinal import add_ordinal
+from windrow.plans.rewrite_run import rewrite_table
+from windrow.runtime import scratch_path
+from windrow.sinks.table import append_rows, create_table
 from windrow.spec import EVENTS
 
 SERIES = ("app_id", "attribution_type")
@@ -41,6 +44,17 @@ def q15(spark, sf_dir):
     return kept.select("row_ord", *v.COLUMNS)
 
 
+@query("q15_rewrite_and_swap", v.VIEWS + ranked("e", KEY, LATEST, f"row_ord, {v.TABLE_LIST}"))
+def q15_swap(spark, sf_dir):
+    """The same through the table: built aside, verified, swapped in, old rows kept."""
+    location = scratch_path(spark, "q15")
+    name = f"windrow_{location.rsplit('-', 1)[-1]}"
+    create_table(spark, name, location)
+    append_rows(spark, name, v.e(spark, sf_dir), 1)
+    rewrite_table(spark, name, f"{name}_bak")
+    return spark.table(name).select("row_ord", *v.COLUMNS)
+
+
 LINE_REST = (
     "l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus"
 )
@@ -159,7 +173,7 @@ def q19(spark, sf_dir):
 def q20_keep_all(spark, sf_dir):
     kept, _ = resolve(v.e2(spark, sf_dir), "keep_all", SERIES)
     return kept.groupBy(*SERIES, *EVENTS.key).agg(
-        F.count("*").alias("n"), F.sum("event_revenue").alias("revenue")
+        F.count("*").alias("n"), F.sum("event_revenue").cast("decimal(38,4)").alias("revenue")
     )
 
 

@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 
 from catalog import views as v
 from catalog.registry import query
-from windrow.functions.dates import daily_window_columns
-from windrow.operators.append import append_plan, group_bounds, lookup_keys, rows_to_append
+from windrow.functions.dates import daily_window, daily_window_columns
+from windrow.operators.append import (
+    append_plan,
+    group_bounds,
+    lookup_keys,
+    rows_to_append,
+    within_span,
+)
 from windrow.operators.replace import replace_metrics, replace_windows, tag_windows
 from windrow.operators.validate import at_table_scale, fetched_rows, type_append_rows
 from windrow.operators.work_items import (
@@ -21,7 +27,8 @@ from windrow.operators.work_items import (
     halve_windows,
     work_items,
 )
-from windrow.functions.dates import daily_window
+from windrow.runtime import scratch_path, stage
+from windrow.sinks.table import append_rows, create_table, replace_in_table
 from windrow.spec import EVENTS, WINDOW_COLS
 
 WINDOW = ", ".join(WINDOW_COLS)
@@ -101,6 +108,31 @@ def q21_unbounded(spark, sf_dir):
     return after.select("row_ord", *v.COLUMNS)
 
 
+def table_of(spark: SparkSession, rows: DataFrame, label: str) -> tuple[str, str]:
+    """A catalog table holding ``rows``, and its location in the shared folder."""
+    location = scratch_path(spark, label)
+    name = f"windrow_{location.rsplit('-', 1)[-1]}"
+    create_table(spark, name, location)
+    append_rows(spark, name, rows, 1)
+    return name, location
+
+
+def stored(spark: SparkSession, name: str, location: str) -> DataFrame:
+    """What the table's files hold; only the catalog entry is dropped."""
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(location).select("row_ord", *v.COLUMNS)
+
+
+@query("q21_replace_in_table", v.VIEWS + SURVIVORS.format(out=OUT, inc="inc"))
+def q21_table(spark, sf_dir):
+    """The same through the partitioned table: only the partitions concerned are written."""
+    name, location = table_of(spark, v.t0(spark, sf_dir), "q21")
+    rows = stage(incoming(spark, sf_dir), "q21-incoming")
+    replace_in_table(spark, name, rows, v.middle_weeks(spark), 2, v.weekly())
+    return stored(spark, name, location)
+
+
 @query(
     "q22_empty_reports_wipe",
     v.VIEWS
@@ -292,6 +324,21 @@ def q26(spark, sf_dir):
     return at_table_scale(rows).select("row_ord", *v.COLUMNS)
 
 
+@query(
+    "q26_append_to_table",
+    v.VIEWS
+    + APPEND
+    + f"SELECT {OUT} FROM y WHERE NOT known AND rn = 1 UNION ALL SELECT {OUT} FROM t0",
+)
+def q26_table(spark, sf_dir):
+    """The table after the append, with the lookup pruned to the file's days."""
+    name, location = table_of(spark, v.t0(spark, sf_dir), "q26")
+    typed = file_rows(spark, sf_dir)
+    unseen = rows_to_append(typed, within_span(spark.table(name), typed, "event_date"))
+    append_rows(spark, name, stage(at_table_scale(unseen), "q26-unseen"), 2)
+    return stored(spark, name, location)
+
+
 @query(
     "q27_bounded_key_lookup",
     v.VIEWS

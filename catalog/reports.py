@@ -27,6 +27,7 @@ from windrow.operators.validate import (
 )
 from windrow.operators.dedup import keep_latest
 from windrow.operators.work_items import WorkItems, work_items
+from windrow.plans.load_run import plan_load
 from windrow.runtime import scratch_path
 from windrow.sources.landing import scan_landing
 from windrow.spec import EVENT_COLUMNS, EVENTS, INSTALLS, WINDOW_COLS
@@ -386,6 +387,21 @@ def q24(spark, sf_dir):
     return results(spark, sf_dir).drop("seq")
 
 
+@query(
+    "q24_results_from_landing",
+    v.VIEWS
+    + RESULTS
+    + f"SELECT {WINDOW}, fetched_rows, loaded_rows, error IS NOT NULL AS failed FROM results",
+)
+def q24_landing(spark, sf_dir):
+    """The dry run of a whole load: landing zone, scan, checks, dedup, results."""
+    root = land(v.r(spark, sf_dir).drop("row_ord"), "q24")
+    plan = plan_load(spark, root, month(spark), SOURCE, NAMES, v.weekly())
+    return plan.results.select(
+        *WINDOW_COLS, "fetched_rows", "loaded_rows", F.col("error").isNotNull().alias("failed")
+    )
+
+
 @query(
     "q24_run_summary",
     v.VIEWS + RESULTS + """SELECT count(*) AS windows,

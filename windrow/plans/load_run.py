@@ -85,25 +85,25 @@ def plan_load(
     """Everything a run does except writing the table, which is a dry run.
 
     The scan is typed and staged once; every count and the rows themselves come
-    from the stage.  Rows the filter drops keep only their window there.
+    from the stage.
     """
     if on_invalid not in ("fail", "drop"):
         raise ValueError(f"unknown policy for invalid rows: {on_invalid}")
     keys = list(WINDOW_COLS)
     scan = scan_landing(spark, root, spec, items)
-    predicate = report_predicate(scan.raw.columns, media_source, event_names, spec)
+    wanted = report_predicate(scan.raw.columns, media_source, event_names, spec)
+    flagged = scan.raw.withColumn("kept", wanted)
     flags = ("corrupt", "kept")
-    typed = type_report(scan.raw.withColumn("kept", predicate), spec, extra=flags)
     tags = {*keys, "row_ord", *flags}
-    staged = stage(
-        typed.select(
-            *[
-                F.col(c) if c in tags else F.when(F.col("kept"), F.col(c)).alias(c)
-                for c in typed.columns
-            ]
-        ),
-        "typed",
+    # Rows the filter drops are only counted: without their text, parsing and
+    # staging them costs next to nothing.
+    emptied = flagged.select(
+        *[
+            F.col(f"`{c}`") if c in tags else F.when(F.col("kept"), F.col(f"`{c}`")).alias(c)
+            for c in flagged.columns
+        ]
     )
+    staged = stage(type_report(emptied, spec, extra=flags), "typed")
     of_file = file_errors(scan, items, staged, spec.row_cap)
     kept = staged.filter("kept").drop(*flags)
     dropped = None

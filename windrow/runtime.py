@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    path = tempfile.mkdtemp(prefix="windrow-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"windrow-{application}-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
