@@ -10,12 +10,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.operators.work_items import WorkItems, work_items
-from windrow.spec import EVENT_COLUMNS, EVENTS, TABLE_COLUMNS
+from windrow.spec import EVENT_COLUMNS, EVENTS, ReportSpec, TABLE_COLUMNS
 
 FIRST_DAY = dt.date(2024, 1, 1)
 APPS = ("app0", "app1")
@@ -161,9 +162,7 @@ def middle_weeks(spark: SparkSession) -> WorkItems:
     return work_items(spark, APPS, dt.date(2024, 1, 8), dt.date(2024, 1, 21), spec)
 
 
-def weekly():
-    from dataclasses import replace
-
+def weekly() -> ReportSpec:
     return replace(EVENTS, max_chunk_days=7)
 
 

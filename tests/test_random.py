@@ -6,7 +6,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from windrow.operators.dedup import collapse_counters, keep_latest
 from windrow.operators.replace import replace_metrics, replace_windows
