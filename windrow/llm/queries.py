@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from windrow.llm.chat import format_chat, read_turns, unescape
 from windrow.llm.exact import exact_dedup
+from windrow.llm.minhash import near_duplicates
 from windrow.llm.mixing import mix
 from windrow.llm.tokens import count_tokens
 
@@ -28,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_minhash_near_dedup")
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op4_exact_dedup",
     r"""WITH d AS (
