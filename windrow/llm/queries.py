@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from windrow.llm.chat import format_chat, read_turns, unescape
 from windrow.llm.exact import exact_dedup
+from windrow.llm.language import identify
 from windrow.llm.minhash import near_duplicates
 from windrow.llm.mixing import mix
+from windrow.llm.quality import classify
 from windrow.llm.tokens import count_tokens
+from windrow.llm.topk import top_k
 
 QUERIES = {}
 ORACLE = {}
@@ -34,6 +37,28 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op2_exact_top_k",
+    """WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding,
+    lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+    AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+)
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query(
     "op4_exact_dedup",
     r"""WITH d AS (
@@ -100,6 +125,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 # The conversation every run adds: texts that say what the template says.
 CONTROL_TEXT = r"\### Assistant: </turn> ok"
 
