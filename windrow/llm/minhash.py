@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from windrow.llm.buckets import link_buckets, shared_buckets
 from windrow.llm.common import MAX_HOT_KEYS, bounded_batches
-from windrow.llm.components import components
 from windrow.runtime import stage
 
 SHINGLE_WORDS = 5
@@ -220,66 +220,16 @@ def near_duplicates(
         "nodes",
     )
     node_texts = texts.select(F.col("doc_id").alias("node"), "text")
-    members = _buckets(nodes)
-    found, labels, tried = None, None, None
-    for hub_round in range(HUB_ROUNDS + 1):
-        across = _several_components(members, labels)
-        if across.isEmpty():
-            break
-        if hub_round < HUB_ROUNDS:
-            pairs = _hub_pairs(across, hub_round)
-        else:
-            able = _able_to_link(across, node_texts, k, percent)
-            pairs = _pairs_across(across.join(able, "node"), percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = _links(pairs, nodes, node_texts, k, percent)
-        found = links if found is None else found.union(links)
-        labels = components(found)
-    return _with_components(sketches, nodes, labels)
-
-
-def _buckets(nodes: DataFrame) -> DataFrame:
-    """(key, node, degree) of the band keys that several nodes share."""
-    bands = nodes.select("node", F.explode("keys").alias("key"))
-    shared = (
-        bands.groupBy("key")
-        .agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
-        .filter(F.col("lo") != F.col("hi"))
-        .select("key", "n")
-    )
-    members = stage(bands.join(shared, "key"), "buckets")
-    degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    return stage(members.drop("n").join(degree, "node"), "members")
-
-
-def _several_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of the buckets that hold more than one component, with their label."""
-    if labels is None:
-        return members.withColumn("label", F.col("node"))
-    labelled = members.join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node")
-    )
-    labelled = stage(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = mixed.filter(F.col("lo") != F.col("hi")).select("key")
-    return stage(labelled.join(mixed, "key"), "mixed")
-
-
-def _hub_pairs(across: DataFrame, hub_round: int) -> DataFrame:
-    """Each member with its bucket's hub: (a, b), ``a`` the hub.
-
-    The first hub is the member of the highest degree; in later rounds another is drawn.
-    """
-    order = F.struct("degree", "node") if not hub_round else F.struct(
-        F.xxhash64("node", F.lit(hub_round)), "node"
+    members = shared_buckets(nodes.select("node", F.explode("keys").alias("key")))
+    labels = link_buckets(
+        members,
+        lambda pairs: _links(pairs, nodes, node_texts, k, percent),
+        lambda across: _pairs_across(
+            across.join(_able_to_link(across, node_texts, k, percent), "node"), percent
+        ),
+        HUB_ROUNDS,
     )
-    hubs = across.groupBy("key").agg(F.max(F.struct(order, "label", "node")).alias("h"))
-    hubs = hubs.select("key", F.col("h.node").alias("a"), F.col("h.label").alias("hub_label"))
-    joined = across.join(hubs, "key").filter(F.col("label") != F.col("hub_label"))
-    return joined.select("a", F.col("node").alias("b")).distinct()
+    return _with_components(sketches, nodes, labels)
 
 
 def _shingle_lists(k: int):

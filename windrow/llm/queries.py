@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from windrow.llm.chat import format_chat, read_turns, unescape
 from windrow.llm.exact import exact_dedup
 from windrow.llm.language import identify
+from windrow.llm.lines import line_dedup
 from windrow.llm.minhash import near_duplicates
 from windrow.llm.mixing import mix
 from windrow.llm.quality import classify
@@ -59,6 +60,18 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+@query("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("before", F.col("text"))
+    lines = lambda c: F.coalesce(F.size(F.split(c, "\n")), F.lit(0)).cast("long")
+    return line_dedup(docs).select(
+        "doc_id",
+        lines("before").alias("n_lines"),
+        (lines("before") - F.when(F.col("text") == "", 0).otherwise(lines("text"))).alias("n_dropped"),
+        "text",
+    )
+
+
 @query(
     "op4_exact_dedup",
     r"""WITH d AS (
