@@ -15,6 +15,7 @@ def shared_buckets(keys: DataFrame) -> DataFrame:
     """(key, node, degree) of the keys that several nodes have; ``degree`` counts a node's
     fellows over all its buckets.  ``keys`` holds a node once per key."""
     counted = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    counted = stage(counted, "counted")  # joins of plain tables are split where a key is hot
     members = stage(keys.join(counted, "key"), "buckets")
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
     return stage(members.drop("n").join(degree, "node"), "members")
@@ -67,7 +68,7 @@ def _several_components(members: DataFrame, labels: DataFrame | None) -> DataFra
     )
     labelled = stage(labelled, "labelled")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = mixed.filter(F.col("lo") != F.col("hi")).select("key")
+    mixed = stage(mixed.filter(F.col("lo") != F.col("hi")).select("key"), "mixed_keys")
     return stage(labelled.join(mixed, "key"), "mixed")
 
 
@@ -78,6 +79,7 @@ def _hub_pairs(across: DataFrame, hub_round: int, near) -> DataFrame:
     hubs = across.groupBy("key").agg(
         F.max(F.struct(first.alias("by"), "node", "label", *sim)).alias("h")
     )
+    hubs = stage(hubs, "hubs")
     hubs = hubs.select(
         "key",
         F.col("h.node").alias("a"),

@@ -13,8 +13,9 @@
 5. What is left are mostly texts that share a long passage and no more.  A shingle that only
    one component has cannot count towards a link between components, so a node with more
    than a quarter of such shingles has no link to find and goes, as often as that drops
-   nodes.  The pairs across components that remain are compared outright.  So no link between
-   components is lost, however large a bucket is.
+   nodes.  Pairs across components that the rest leaves are ruled out by their sizes and bit
+   maps or else compared outright.  So no link between components is lost, however large a
+   bucket is.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -38,6 +39,7 @@ BAND_ROWS = 6
 BANDS = 56
 HUB_ROUNDS = 2
 PEEL_ROUNDS = 4
+MAP_BITS = 1024
 HOT_ROWS = 1000
 
 # A signature is the low byte of the first minima.  Sets of similarity 0.75 agree in 192 of
@@ -233,57 +235,89 @@ def near_duplicates(
 
 
 def _shingle_lists(k: int):
+    """Sets as lists, and as a map of bits in which a shingle sets the one its hash names."""
+
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
         for batch in batches:
-            sets = [shingler.shingles(t).view(np.int64) for t in batch.column("text").to_pylist()]
-            columns = [batch.column("node"), batch.column("label"), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, names=["node", "label", "shingles"])
+            sets = [shingler.shingles(t) for t in batch.column("text").to_pylist()]
+            bits = np.zeros((len(sets), MAP_BITS), np.uint8)
+            for row, found in zip(bits, sets):
+                row[(found >> np.uint64(20)) % np.uint64(MAP_BITS)] = 1
+            maps = np.packbits(bits, axis=1).view(np.int64)
+            columns = [
+                batch.column("node"),
+                batch.column("label"),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array(list(maps), pa.list_(pa.int64())),
+                pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.record_batch(columns, names=["node", "label", "size", "bits", "shingles"])
 
     return lists
 
 
+LISTS = "node long, label long, size long, bits array<long>, shingles array<long>"
+
+
 def _able_to_link(across: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, size, shared): nodes with enough shingles that another component has too.
+    """(node, size, shared, bits): nodes with enough shingles that another component has too.
 
     A link to another component needs ``percent`` of a node's shingles to be in a node of
     another component.  Dropping nodes makes more shingles private, hence the rounds.
     """
     nodes = across.select("node", "label").distinct()
     lists = texts.join(nodes, "node").select("node", "label", "text")
-    left = stage(
-        lists.mapInArrow(_shingle_lists(k), "node long, label long, shingles array<long>")
-        .select("node", "label", F.size("shingles").alias("size"), F.explode("shingles").alias("x")),
-        "shingles",
-    )
+    lists = stage(lists.mapInArrow(_shingle_lists(k), LISTS), "shingles")
+    left = lists.select("node", "label", "size", F.explode("shingles").alias("x"))
     before = None
     for _ in range(PEEL_ROUNDS):
         spread = left.groupBy("x").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        common = left.join(spread.filter(F.col("lo") != F.col("hi")).select("x"), "x")
-        able = common.groupBy("node", "size").agg(F.count("*").alias("shared"))
-        able = stage(able.filter(F.col("shared") * 100 >= F.col("size") * percent), "able")
+        spread = spread.filter(F.col("lo") != F.col("hi")).select("x")
+        able = left.join(spread, "x").groupBy("node", "size").agg(F.count("*").alias("shared"))
+        able = able.filter(F.col("shared") * 100 >= F.col("size") * percent)
+        able = stage(able, "able")
         n = able.count()
         if n == before or not n:
             break
         before = n
         left = left.join(able.select("node"), "node", "left_semi")
-    return able
+    return able.join(lists.select("node", "bits"), "node")
 
 
 def _pairs_across(across: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket and two components that sizes and shared shingles do not rule out.
+    """Pairs of one bucket and two components that cannot be ruled out by what is known of each.
 
-    At most the lesser number of shared shingles can be in both sets.
+    In both sets are at most the lesser number of shared shingles, and of either set at most
+    those that are not seen to be missing in the other: a bit set in one map alone is one
+    shingle or more that the other set lacks.
     """
     side = lambda x: across.select(
         "key",
         F.col("node").alias(x),
         *[F.col(c).alias(f"{c}_{x}") for c in ("label", "size", "shared")],
+        *[F.get("bits", F.lit(i)).alias(f"bits_{x}{i}") for i in range(MAP_BITS // 64)],
+    )
+
+    def lacking(x: str, y: str) -> Column:
+        words = [
+            F.bit_count(F.col(f"bits_{x}{i}").bitwiseAND(F.bitwise_not(f"bits_{y}{i}")))
+            for i in range(MAP_BITS // 64)
+        ]
+        return sum(words[1:], words[0])
+
+    least = (F.col("size_a") + F.col("size_b")) * percent
+
+    def in_reach(most: Column) -> Column:
+        return most * (100 + percent) >= least
+
+    met = side("a").join(side("b"), "key").filter(
+        (F.col("label_a") < F.col("label_b"))
+        & in_reach(F.least("shared_a", "shared_b"))
+        & in_reach(F.col("size_a") - lacking("a", "b"))
+        & in_reach(F.col("size_b") - lacking("b", "a"))
     )
-    both = F.least("shared_a", "shared_b")
-    in_reach = both * 100 >= (F.col("size_a") + F.col("size_b") - both) * percent
-    different = F.col("label_a") < F.col("label_b")
-    return side("a").join(side("b"), "key").filter(different & in_reach).select("a", "b").distinct()
+    return met.select("a", "b").distinct()
 
 
 def _with_components(
