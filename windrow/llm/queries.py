@@ -11,6 +11,7 @@ from windrow.llm.language import identify
 from windrow.llm.lines import line_dedup
 from windrow.llm.minhash import near_duplicates
 from windrow.llm.mixing import mix
+from windrow.llm.pieces import encode_documents
 from windrow.llm.quality import classify
 from windrow.llm.tokens import count_tokens
 from windrow.llm.topk import top_k
@@ -206,3 +207,17 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lost, 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_documents(table(spark, sf_dir, "documents"), path)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
