@@ -27,6 +27,7 @@ def link_buckets(
     pairs_across: Callable[[DataFrame], DataFrame],
     hub_rounds: int,
     near: Callable[[str, str], Column] | None = None,
+    found: DataFrame | None = None,
 ) -> DataFrame | None:
     """(node, label) of the components that links inside buckets make; None without any bucket.
 
@@ -35,9 +36,10 @@ def link_buckets(
     member of the highest degree, as the original of a group of copies is; later ones are
     drawn.  In the last round ``pairs_across`` gives the pairs across components that may
     still be links, so that none between components is lost.  ``near`` tells from the hashes
-    ``sim`` of two members whether they are to be compared at all.
+    ``sim`` of two members whether they are to be compared at all; ``found`` are links known
+    before.
     """
-    found, labels, tried = None, None, None
+    labels, tried = None if found is None else components(found), None
     for hub_round in range(hub_rounds + 1):
         across = _several_components(members, labels)
         if across.isEmpty():
