@@ -6,8 +6,9 @@ a long one is spread: a block first folds its roles from every state at once (a
 the state before to the state after), the blocks' tables are chained per conversation, and
 then each block knows its first state and emits its segments.
 
-Characters that control strings are made of are escaped in texts by a backslash, so that no
-text can end its turn or start another, and the output can be read back without loss.
+Characters that control strings are made of are written as a backslash and a letter in
+texts, so that no text can end its turn or start another, and the output can be read back
+without loss.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ BLOCK_TURNS = 256
 class ChatTemplate:
     """How turns look, and which order of roles is right."""
 
-    # A turn is mark + name + colon + text + end.  Each holds an escaped character where
-    # the reader looks for it, so an escaped text never contains one.
+    # A turn is mark + name + colon + text + end.  Each holds a character that an escaped
+    # text does not have.
     mark: str = "### "
     colon: str = ": "
     end: str = "</turn>\n"
@@ -59,16 +60,26 @@ class ChatTemplate:
 
 TEMPLATE = ChatTemplate()
 
-# Fixed by the template's control strings: "### ", ": " and "</turn>" need "#", ":" and "<".
-ESCAPED = r"([\\#:<])"
+# The characters that control strings cannot do without, and what texts have instead of them.
+# The escape itself comes first.
+ESCAPES = (("\\", "\\\\"), ("#", "\\h"), (":", "\\c"), ("<", "\\l"))
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED, r"\\$1")
+    for char, code in ESCAPES:
+        text = F.replace(text, F.lit(char), F.lit(code))
+    return text
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    """Doubled backslashes are cut at first, so that what is left of codes stands alone."""
+
+    def plain(part: Column) -> Column:
+        for char, code in ESCAPES[1:]:
+            part = F.replace(part, F.lit(code), F.lit(char))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), plain), "\\")
 
 
 def _step(template: ChatTemplate) -> Column:
@@ -176,7 +187,7 @@ def read_turns(formatted: Column, template: ChatTemplate = TEMPLATE) -> Column:
     roles = F.create_map(*[x for k, v in template.names.items() for x in (F.lit(v), F.lit(k))])
     parts = F.split(formatted, template.end, -1)
     parts = F.slice(parts, F.lit(1), F.size(parts) - 1)
-    pattern = rf"(?s)^{template.mark}((?:[^\\:]|\\.)*){template.colon}(.*)$"
+    pattern = rf"(?s)^{template.mark}([^:]*){template.colon}(.*)$"
 
     def turn(part: Column) -> Column:
         name = F.regexp_extract(part, pattern, 1)
