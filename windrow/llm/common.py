@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from windrow.runtime import ship_package
+
 # The white space of the contracts, as characters of a regular expression.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,7 +32,9 @@ def hot_counts(rows: DataFrame, key: str, at_least: int) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch size to what the Python workers are sized for."""
+    """Lower the session's Arrow batch size to what the Python workers are sized for, and see
+    that they have this package."""
+    ship_package(spark)
     for name, most in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
         ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
