@@ -15,8 +15,8 @@ from windrow.sinks.table import create_table
 from windrow.sources.landing import scan_landing
 from windrow.spec import EVENTS, INSTALLS
 
-SOURCE, NAMES = "Social Ads", ["purchase"]
-DAY = dt.date(2026, 5, 20)
+SOURCE, NAMES = BASE_ROW["Media Source"], [BASE_ROW["Event Name"]]
+DAY = dt.date(2023, 3, 4)
 QUIET = csv_text(bom=True, headers=[*BASE_ROW, "Cost Currency", "Partner"])
 
 
@@ -106,7 +106,7 @@ def test_order_of_rows_over_several_files_of_a_window(spark, tmp_path):
 
 def test_only_the_windows_of_the_run_are_read(spark, tmp_path):
     put_report(tmp_path, "a", "non_organic", DAY, DAY, csv_text({}))
-    put_report(tmp_path, "a", "non_organic", "2026-05-19", "2026-05-19", csv_text({}))
+    put_report(tmp_path, "a", "non_organic", "2023-03-03", "2023-03-03", csv_text({}))
     put_report(tmp_path, "b", "non_organic", DAY, DAY, "")
     plan = plan_of(spark, tmp_path, ["a"])
     assert plan.rows.count() == 1 and plan.results.count() == 1
@@ -177,7 +177,8 @@ def test_dry_run_needs_no_table_and_writes_nothing(spark, tmp_path, name):
 
 
 def test_backfill_windows(spark, tmp_path, name):
-    put_report(tmp_path, "a", "non_organic", "2026-04-08", "2026-05-08", csv_text({}))
+    row = {"Event Time": "2026-04-20 01:02:03"}
+    put_report(tmp_path, "a", "non_organic", "2026-04-08", "2026-05-08", csv_text(row))
     plan = run_backfill(
         spark, str(tmp_path), name, ["a"], dt.date(2026, 7, 7), dry_run=True,
         attribution_types=["non_organic"],
@@ -189,12 +190,12 @@ def test_backfill_windows(spark, tmp_path, name):
 
 def test_installs_family_keeps_every_column(spark, tmp_path, name):
     headers = [*BASE_ROW, "Device Model"]
-    row = {"Device Model": "phone", "Install Time": "2026-05-20 01:02:03"}
+    row = {"Device Model": "phone", "Install Time": "2023-03-04 01:02:03"}
     body = csv_text(row, headers=headers)
     put_report(tmp_path, "a", "non_organic", DAY, DAY, body)
     plan = plan_of(spark, tmp_path, ["a"], spec=INSTALLS)
     got = plan.rows.first()
-    assert (got.device_model, got.region) == ("phone", "EU")
+    assert (got.device_model, got.region) == ("phone", BASE_ROW["Region"])
     columns = dict(plan.rows.drop("seq", "row_ord", "start_date", "end_date").dtypes)
     create_table(spark, name, columns=columns)
     carry_out(plan, name, INSTALLS)
@@ -202,3 +203,91 @@ def test_installs_family_keeps_every_column(spark, tmp_path, name):
     assert stored.event_date == DAY and stored.device_model == "phone"
     known = replace(INSTALLS, known_columns=("install_time",))
     assert "unknown columns" in by_app(plan_of(spark, tmp_path, ["a"], spec=known))["a"].error
+
+
+@pytest.mark.parametrize("broken", [0, 1, 2])
+@pytest.mark.parametrize("body, text", [("", "empty"), ("Plan limit reached", "missing columns")])
+def test_one_broken_file_fails_its_window(spark, tmp_path, broken, body, text):
+    for n in range(3):
+        good = csv_text({"Device ID": str(n)})
+        put_report(tmp_path, "a", "non_organic", DAY, DAY, body if n == broken else good, f"part-{n}.csv")
+    put_report(tmp_path, "b", "non_organic", DAY, DAY, csv_text({}))
+    plan = plan_of(spark, tmp_path, ["a", "b"])
+    got = by_app(plan)
+    assert text in got["a"].error and f"part-{broken}.csv" in got["a"].error
+    assert (got["a"].loaded_rows, got["b"].loaded_rows, got["b"].error) == (0, 1, None)
+    assert [r.app_id for r in plan.good.df.collect()] == ["b"]
+
+
+def test_hundreds_of_error_texts_disturb_nothing(spark, tmp_path):
+    put_report(tmp_path, "good", "non_organic", DAY, DAY, csv_text({}))
+    for n in range(600):
+        put_report(tmp_path, "bad", "non_organic", DAY, DAY, f"request {n} refused", f"{n:03}.csv")
+    got = by_app(plan_of(spark, tmp_path, ["good", "bad"]))
+    assert got["good"].loaded_rows == 1 and "request" not in (got["good"].error or "")
+    assert "missing columns" in got["bad"].error
+
+
+def test_columns_that_differ_in_case_fail_their_window_only(spark, tmp_path):
+    doubled = csv_text({"region": "x"}, headers=[*BASE_ROW, "region"])
+    put_report(tmp_path, "a", "non_organic", DAY, DAY, doubled)
+    put_report(tmp_path, "b", "non_organic", DAY, DAY, csv_text({}))
+    got = by_app(plan_of(spark, tmp_path, ["a", "b"]))
+    assert "repeats columns" in got["a"].error and got["b"].error is None
+
+
+def test_installs_with_two_spellings_of_a_header(spark, tmp_path):
+    row = {"Install Time": "2023-03-04 01:02:03"}
+    put_report(tmp_path, "a", "non_organic", DAY, DAY, csv_text(row))
+    other = csv_text(row).replace("Customer User ID", "customer_user_id").replace("Region", "region")
+    put_report(tmp_path, "b", "non_organic", DAY, DAY, other)
+    both = csv_text({**row, "region": "x"}, headers=[*BASE_ROW, "region"])
+    put_report(tmp_path, "c", "non_organic", DAY, DAY, both)
+    plan = plan_of(spark, tmp_path, ["a", "b", "c"], spec=INSTALLS)
+    got = by_app(plan)
+    assert got["a"].error is None and got["b"].error is None and "repeats" in got["c"].error
+    rows = {r.app_id: r for r in plan.rows.collect()}
+    assert rows["a"].customer_user_id == rows["b"].customer_user_id == BASE_ROW["Customer User ID"]
+    assert rows["a"].region == rows["b"].region
+    summary = plan.summary.first()
+    assert (summary.windows, summary.failed) == (3, 1)
+
+
+def test_a_missing_landing_zone_has_no_reports(spark, tmp_path):
+    got = by_app(plan_of(spark, tmp_path / "nowhere", ["a"]))
+    assert got["a"].error == "no report has landed"
+
+
+def test_other_windows_and_other_endings_are_not_opened(spark, tmp_path, monkeypatch):
+    from windrow.sources import landing
+
+    opened = []
+    text_files = landing._text_files
+
+    def watched(session, folders):
+        df = text_files(session, folders)
+        opened.extend(df.inputFiles())
+        return df
+
+    monkeypatch.setattr(landing, "_text_files", watched)
+    put_report(tmp_path, "a", "non_organic", DAY, DAY, csv_text({}))
+    put_report(tmp_path, "a", "non_organic", DAY, DAY, "junk", "report.csv.bak")
+    put_report(tmp_path, "a", "non_organic", DAY, DAY, "junk", "report.csv._COPYING_")
+    put_report(tmp_path, "a", "non_organic", "2023-03-03", "2023-03-03", "old error")
+    assert by_app(plan_of(spark, tmp_path, ["a"]))["a"].loaded_rows == 1
+    assert opened and all(f.endswith(f"end_date={DAY}/report.csv") for f in opened)
+
+
+def test_rewrite_keeps_the_twin_of_the_later_window(spark, tmp_path, name):
+    """The report order starts anew in every window, so the window comes first."""
+    from windrow.plans.rewrite_run import rewrite_table
+
+    first = csv_text({"Device ID": "other"}, {"Channel": "first window"})
+    put_report(tmp_path, "a", "non_organic", DAY, DAY, first)
+    put_report(tmp_path, "a", "retargeting", DAY, DAY, csv_text({"Channel": "second window"}))
+    create_table(spark, name)
+    items = work_items(spark, ["a"], DAY, DAY)
+    carry_out(plan_load(spark, str(tmp_path), items), name)
+    rewrite_table(spark, name, f"{name}_bak")
+    kept = {r.device_id: r.channel for r in spark.table(name).collect()}
+    assert kept[BASE_ROW["Device ID"]] == "second window" and len(kept) == 2

@@ -1,4 +1,4 @@
-"""Set-based operators against plain step-by-step folds on random small cases."""
+"""Set-based operators against plain statements of what they mean, on random small cases."""
 
 from __future__ import annotations
 
@@ -14,30 +14,41 @@ from windrow.operators.work_items import WorkItems
 DAY = dt.date(2020, 1, 1)
 
 
-def fold(rows):
-    """Walk the rows of one scope in order, keeping one per key."""
-    kept, counts = {}, {"dup": 0, "conflict": 0, "tie": 0, "lost": 0, "first": None}
-    for row in rows:
-        key, install, money = row[0], row[1], row[2]
-        if key not in kept:
-            kept[key] = row
-            continue
-        old = kept[key]
-        if old[:4] == row[:4]:
-            counts["dup"] += 1
-            continue
-        counts["conflict"] += 1
-        counts["first"] = key if counts["first"] is None else counts["first"]
-        rank = lambda r: (r[1] is not None, r[1] or 0)
-        counts["tie"] += rank(old) == rank(row)
-        loser = old if rank(row) >= rank(old) else row
-        kept[key] = row if loser is old else old
-        counts["lost"] += loser[2] or 0
-    return kept, counts
+def install_rank(row):
+    return -1 if row[1] is None else row[1]
+
+
+def holder(earlier):
+    """Who stands for a key after some rows: the last of those with the highest rank."""
+    top = max(map(install_rank, earlier))
+    return [r for r in earlier if install_rank(r) == top][-1]
+
+
+def expected(rows):
+    """Survivors and counters of one scope, each row judged by the prefix of its key alone."""
+    by_key = {}
+    for place, row in enumerate(rows):
+        by_key.setdefault(row[0], []).append((place, row[:4]))
+    pairs = [  # every later row of a key with the holder of the rows before it
+        (place, row, holder([r for _, r in placed[:i]]))
+        for placed in by_key.values()
+        for i, (place, row) in enumerate(placed)
+        if i
+    ]
+    clashes = [(place, row, held) for place, row, held in pairs if row != held]
+    losers = [min((held, row), key=install_rank) for _, row, held in clashes]  # held loses a tie
+    counts = {
+        "dup": len(pairs) - len(clashes),
+        "conflict": len(clashes),
+        "tie": sum(install_rank(row) == install_rank(held) for _, row, held in clashes),
+        "lost": sum(r[2] or 0 for r in losers),
+        "first": min(clashes, key=lambda c: c[0])[1][0] if clashes else None,
+    }
+    return {key: holder([r for _, r in placed]) for key, placed in by_key.items()}, counts
 
 
 @pytest.mark.parametrize("hot_key_rows", [1, 3, 7, 1_000_000])
-def test_counters_and_survivors_match_a_fold(spark, hot_key_rows):
+def test_counters_and_survivors_match_the_prefixes(spark, hot_key_rows):
     rng = random.Random(hot_key_rows)
     data, scopes = [], {}
     for scope in ("a", "b", "c", "d"):
@@ -50,7 +61,7 @@ def test_counters_and_survivors_match_a_fold(spark, hot_key_rows):
             rows.append((key, install, money, rng.choice("xy"), rng.randrange(10**6)))
         for i, row in enumerate(rows):
             data.append((scope, *row[:4], i * 3 + rng.randrange(3)))
-        scopes[scope] = fold(rows)
+        scopes[scope] = expected(rows)
     # Row ordinals with gaps; every scope counts from zero, like files do.
     df = spark.createDataFrame(
         data, "scope string, key int, install_time int, event_revenue int, other string, row_ord long"

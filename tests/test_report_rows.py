@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import BASE_ROW
 from windrow.functions.typed import failed, parse_decimal, parse_timestamp
 from windrow.operators.dedup import collapse_counters, keep_latest
 from windrow.operators.filters import filter_report
@@ -20,7 +21,7 @@ from windrow.operators.validate import (
 )
 from windrow.spec import EVENTS, EVENT_COLUMNS, INSTALLS, TABLE_COLUMNS, WINDOW_COLS
 
-SOURCE, NAMES = "Social Ads", ["purchase", "purchase_other"]
+SOURCE, NAMES = BASE_ROW["Media Source"], [BASE_ROW["Event Name"], "another event"]
 
 
 def load(raw):
@@ -39,12 +40,12 @@ def test_maps_and_tags(report):
     assert set(TABLE_COLUMNS) < set(typed.columns)
     assert "Region" not in typed.columns
     row = typed.first()
-    assert row.event_time == dt.datetime(2026, 5, 20, 10, 5)
-    assert row.event_revenue == Decimal("9.9900")
+    assert row.event_time == dt.datetime(2023, 3, 4, 17, 42, 11)
+    assert row.event_revenue == Decimal("12.5000")
     assert (row.app_id, row.attribution_type, row.device_id) == (
         "app1",
         "non_organic",
-        "device-1",
+        BASE_ROW["Device ID"],
     )
     assert dict(typed.dtypes)["event_time"] == "timestamp_ntz"
     assert dict(typed.dtypes)["event_revenue"] == "decimal(18,4)"
@@ -84,7 +85,7 @@ def test_blank_filters_are_refused(report, blank):
     with pytest.raises(ValueError):
         filter_report(report({}), event_names=[])
     with pytest.raises(TypeError):
-        filter_report(report({}), event_names="purchase")
+        filter_report(report({}), event_names="spend")
 
 
 @pytest.mark.parametrize("blank", [None, "", "   ", "\xa0"])
@@ -99,8 +100,8 @@ def test_blank_optional_fields(report, blank):
         ({"Device ID": ""}, "device_id"),
         ({"Device ID": None}, "device_id"),
         ({"Event Time": " "}, "event_time"),
-        ({"Event Revenue": "not-a-number"}, "event_revenue"),
-        ({"Event Time": "not-a-timestamp"}, "event_time"),
+        ({"Event Revenue": "seven"}, "event_revenue"),
+        ({"Event Time": "a spring morning"}, "event_time"),
         ({"Install Time": "2026-02-30 10:00:00"}, "install_time"),
         ({"Event Revenue": "1e30"}, "event_revenue"),
         ({"Event Revenue": "99999999999999.99995"}, "event_revenue"),
@@ -147,7 +148,7 @@ def test_vendor_headers(report):
     spec = EVENTS.with_raw_names(device_id="Vendor Device")
     raw = report({}).withColumnRenamed("Device ID", "Vendor Device")
     assert missing_headers(raw.columns, spec) == []
-    assert type_report(raw, spec).first().device_id == "device-1"
+    assert type_report(raw, spec).first().device_id == BASE_ROW["Device ID"]
     installs = INSTALLS.with_raw_names(device_id="Vendor Device")
     assert missing_headers(raw.columns, installs) == []
     with pytest.raises(ValueError):
@@ -179,11 +180,11 @@ def test_same_number_in_other_spelling_is_an_exact_duplicate(report):
 OLD, NEW = {"Install Time": "2026-05-01 00:00:00"}, {"Install Time": "2026-05-02 00:00:00"}
 
 
-@pytest.mark.parametrize("newest_first, lost", [(True, 4), (False, 3)])
+@pytest.mark.parametrize("newest_first, lost", [(True, 21), (False, 17)])
 def test_later_install_wins(report, newest_first, lost):
-    pair = [{**NEW, "Event Revenue": "3"}, {**OLD, "Event Revenue": "4"}]
+    pair = [{**NEW, "Event Revenue": "17"}, {**OLD, "Event Revenue": "21"}]
     if not newest_first:
-        pair = [{**OLD, "Event Revenue": "3"}, {**NEW, "Event Revenue": "4"}]
+        pair = [{**OLD, "Event Revenue": "17"}, {**NEW, "Event Revenue": "21"}]
     raw = report(*pair)
     assert [r.install_time for r in load(raw)] == [dt.datetime(2026, 5, 2)]
     assert counters(raw)[:4] == (0, 1, 0, lost)
@@ -191,10 +192,10 @@ def test_later_install_wins(report, newest_first, lost):
 
 @pytest.mark.parametrize("blank_first", [True, False])
 def test_null_install_loses(report, blank_first):
-    pair = [{"Install Time": "", "Event Revenue": "3"}, {"Event Revenue": "4"}]
+    pair = [{"Install Time": "", "Event Revenue": "17"}, {"Event Revenue": "21"}]
     raw = report(*(pair if blank_first else reversed(pair)))
-    assert load(raw)[0].event_revenue == 4
-    assert counters(raw)[:4] == (0, 1, 0, 3)
+    assert load(raw)[0].event_revenue == 21
+    assert counters(raw)[:4] == (0, 1, 0, 17)
 
 
 def test_tie_goes_to_the_last_row(report):

@@ -14,9 +14,15 @@ ONE_DAY = dt.timedelta(days=1)
 
 def chunk_count(start: dt.date, end: dt.date, max_days: int = MAX_CHUNK_DAYS) -> int:
     """How many chunks ``chunk_starts`` gives for fixed dates."""
-    if start > end:
-        raise ValueError(f"start {start} is after end {end}")
-    return -(-((end - start).days + 1) // max_days)
+    return -(-_span_days(start, end) // max_days)
+
+
+def _span_days(first: dt.date, last: dt.date) -> int:
+    """Days from ``first`` to ``last``, both included; a window cannot end before it begins."""
+    days = last.toordinal() - first.toordinal() + 1
+    if days < 1:
+        raise ValueError(f"no day lies between {first} and {last}")
+    return days
 
 
 def chunk_starts(start: Column, end: Column, max_days: int = MAX_CHUNK_DAYS) -> Column:
@@ -47,11 +53,11 @@ def backfill_window(
     retention_days: int = EVENTS_RETENTION_DAYS,
 ) -> tuple[dt.date, dt.date]:
     """Explicit dates win; the default is the whole retention span up to yesterday."""
-    end = end or today - ONE_DAY
-    start = start or end - (retention_days - 1) * ONE_DAY
-    if start > end:
-        raise ValueError(f"start {start} is after end {end}")
-    return start, end
+    last = today - ONE_DAY if end is None else end
+    span = dt.timedelta(days=retention_days - 1)
+    window = (last - span if start is None else start, last)
+    _span_days(*window)
+    return window
 
 
 def daily_window(
@@ -60,10 +66,11 @@ def daily_window(
     from_date: dt.date | None = None,
     to_date: dt.date | None = None,
     lookback_days: int = 1,
+    retention_days: int = EVENTS_RETENTION_DAYS,
 ) -> tuple[dt.date, dt.date]:
     """An explicit date wins over a configured from/to, which wins over the lookback."""
-    if not 1 <= lookback_days <= EVENTS_RETENTION_DAYS:
-        raise ValueError(f"lookback_days must be 1..{EVENTS_RETENTION_DAYS}: {lookback_days}")
+    if lookback_days not in range(1, retention_days + 1):
+        raise ValueError(f"a lookback of {lookback_days} days; 1 to {retention_days} are kept")
     if to_date is not None and from_date is None:
         raise ValueError("a window end needs a window start")
     if date is not None:
@@ -71,10 +78,9 @@ def daily_window(
     yesterday = today - ONE_DAY
     if from_date is None:
         return yesterday - (lookback_days - 1) * ONE_DAY, yesterday
-    end = to_date or yesterday
-    if from_date > end:
-        raise ValueError(f"window start {from_date} is after its end {end}")
-    return from_date, end
+    last = yesterday if to_date is None else to_date
+    _span_days(from_date, last)
+    return from_date, last
 
 
 def daily_window_columns(

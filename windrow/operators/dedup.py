@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.runtime import counted_bound, hot_keys, join_small
-from windrow.spec import EVENTS, WINDOW_COLS
+from windrow.spec import EVENTS, LOAD_ORDER, WINDOW_COLS
 
 # Keys with more rows than this are cut into blocks of this many row ordinals.
 HOT_KEY_ROWS = 1_000_000
@@ -108,7 +108,7 @@ def rewrite(
     tie: str = "last_loaded",
     rank: str = EVENTS.rank_column,
     revenue: str = "event_revenue",
-    ordinals: Sequence[str] = ("load_seq", "row_ord"),
+    ordinals: Sequence[str] = LOAD_ORDER,
     collation: str | None = None,
 ) -> DataFrame:
     """Whole-table rewrite: one row per key, latest ``rank`` first.

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from windrow.operators.validate import (
     fetched_rows,
     first_errors,
     quarantine,
+    run_summary,
     type_report,
     window_results,
 )
@@ -38,7 +39,8 @@ class LoadPlan:
     """``rows`` to load with their ``seq``; ``good`` windows; ``results`` per window.
 
     ``counters`` says what deduplication collapsed; ``dropped`` what the lenient
-    policy left out.  ``metrics`` is set once the plan has been carried out.
+    policy left out; ``summary`` adds the results up in one row.  ``metrics`` is set
+    once the plan has been carried out.
     """
 
     rows: DataFrame
@@ -47,15 +49,25 @@ class LoadPlan:
     counters: DataFrame
     dropped: DataFrame | None
     metrics: DataFrame | None = None
+    summary: DataFrame | None = None
 
 
 def file_errors(scan: LandingScan, items: WorkItems, typed: DataFrame, row_cap: int) -> DataFrame:
     """Window errors that come before any row is looked at, one per window.
 
-    In order: no report, empty body, wrong header, ragged row, row cap.
+    In order: no report, empty body, wrong header, ragged row, row cap.  One broken file fails
+    its window, whatever the others are; where there are several, the text names it.
     """
     keys = list(WINDOW_COLS)
-    files = scan.files.groupBy(*keys).agg(F.min_by("problem", "file_no").alias("file_problem"))
+    name = F.concat(F.lit(" ("), F.element_at(F.split("file_path", "/"), -1), F.lit(")"))
+    files = scan.files.groupBy(*keys).agg(
+        F.min(
+            F.when(F.col("problem").isNotNull(), F.struct("file_no", "problem", name.alias("name")))
+        ).alias("broken"),
+        (F.count("*") > 1).alias("several"),
+    )
+    named = F.concat("broken.problem", F.when(F.col("several"), F.col("broken.name")).otherwise(""))
+    files = files.select(*keys, named.alias("file_problem"))
     rows = typed.groupBy(*keys).agg(
         F.max("corrupt").alias("ragged"), (F.count("*") >= row_cap).alias("capped")
     )
@@ -129,8 +141,14 @@ def plan_load(
     good = WorkItems(
         items.df.join(errors.select(*keys), keys, "left_anti"), items.count, items.days
     )
-    counters = collapse_counters(valid, keys, spec.key, spec.rank_column)
-    return LoadPlan(rows, good, stage(results, "results"), counters, dropped)
+    nullable = [c for c in spec.key if c not in spec.required]
+    counters = collapse_counters(
+        valid, keys, spec.key, spec.rank_column, nullable_key=nullable
+    )
+    results = stage(results, "results")
+    return LoadPlan(
+        rows, good, results, stage(counters, "counters"), dropped, summary=run_summary(results)
+    )
 
 
 def carry_out(
@@ -139,7 +157,7 @@ def carry_out(
     """Replace the plan's good windows in ``table``."""
     spark = plan.rows.sparkSession
     metrics = replace_in_table(spark, table, plan.rows, plan.good, load_seq, spec)
-    return LoadPlan(plan.rows, plan.good, plan.results, plan.counters, plan.dropped, metrics)
+    return replace(plan, metrics=metrics)
 
 
 def run_window(
@@ -188,9 +206,12 @@ def run_daily(
     from_date: dt.date | None = None,
     to_date: dt.date | None = None,
     lookback_days: int = 1,
+    spec: ReportSpec = EVENTS,
     **options,
 ) -> LoadPlan:
     """Yesterday by default; a deeper lookback replaces the last days again, so late
     events are picked up without any state."""
-    first, last = daily_window(today, date, from_date, to_date, lookback_days)
-    return run_window(spark, root, table, apps, first, last, today, **options)
+    first, last = daily_window(
+        today, date, from_date, to_date, lookback_days, spec.retention_days
+    )
+    return run_window(spark, root, table, apps, first, last, today, spec=spec, **options)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from windrow.operators.audit import (
     baseline,
@@ -43,15 +44,23 @@ def rewrite_table(
     lost; ``roll_back`` in the sink undoes the swap.
     """
     old = spark.table(table)
-    keys_before = old.select(*key).distinct().count() if collation is None else None
+    folded = [_folded(old, c, collation) for c in key]
+    keys_before = old.select(*folded).distinct().count()
     new = build_replacement(spark, table, rewrite(old, key, tie, collation=collation))
     fresh = spark.table(new)
-    violations = uniqueness_violations(fresh, key).first()["violations"]
+    as_compared = fresh.withColumns({c: _folded(fresh, c, collation) for c in key})
+    violations = uniqueness_violations(as_compared, key).first()["violations"]
     kept = fresh.count()
-    if violations or (keys_before is not None and kept != keys_before):
+    if violations or kept != keys_before:
         raise RuntimeError(
             f"rewrite of {table} not swapped in: {violations} repeated keys, "
             f"{kept} rows for {keys_before} keys; see {new}"
         )
     swap_tables(spark, table, new, backup)
     return baseline(spark.table(table))
+
+
+def _folded(df: DataFrame, column: str, collation: str | None) -> Column:
+    """A key column as the rewrite compares it."""
+    text = dict(df.dtypes)[column] == "string"
+    return F.collate(F.col(column), collation) if collation and text else F.col(column)

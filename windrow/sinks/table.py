@@ -3,14 +3,16 @@
 A window owns whole days of one app and type, so replacing it means replacing
 whole partitions: only those are written, whatever the size of the table.  Spark
 stages a dynamic partition overwrite and moves it in place when the job commits;
-partitions of a window that came back empty are emptied explicitly, since an
-overwrite without rows touches nothing.  A run that dies half way is repaired by
-running it again.
+partitions of a window that came back empty are emptied before, since an
+overwrite without rows touches nothing.  Rows of days outside all windows are written
+with the rows those days had.  So a run that dies half way is repaired by running it
+again under the same ``load_seq``.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -19,13 +21,12 @@ from pyspark.sql import functions as F
 
 from windrow.operators.replace import replace_metrics, with_deleter
 from windrow.operators.work_items import WorkItems, window_days
-from windrow.runtime import join_small, scratch_path, stage
-from windrow.spec import EVENTS, ReportSpec, TABLE_COLUMNS
+from windrow.runtime import stage
+from windrow.spec import EVENTS, LOAD_ORDER, ReportSpec, TABLE_COLUMNS
 
 PARTITION_COLS = ("app_id", "attribution_type", "event_date")
 
-# A row's place in load order: the load that brought it, then its report order.
-ORDINALS = {"load_seq": "bigint", "row_ord": "bigint"}
+ORDINALS = dict.fromkeys(LOAD_ORDER, "bigint")
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,11 @@ def next_load_seq() -> int:
 
 
 def shaped(
-    rows: DataFrame, like: DataFrame, load_seq: int | None, spec: ReportSpec = EVENTS
+    rows: DataFrame,
+    like: DataFrame,
+    load_seq: int | None,
+    spec: ReportSpec = EVENTS,
+    hint: bool = True,
 ) -> DataFrame:
     """Rows in the table's column order and types, split over files by partition.
 
@@ -78,9 +83,13 @@ def shaped(
     """
     with_day = rows.withColumn("event_date", F.col(spec.window_column).cast("date"))
     if load_seq is not None:
-        with_day = with_day.withColumn("load_seq", F.lit(load_seq).cast("long"))
+        window = F.col("seq") if "seq" in rows.columns else F.lit(0)
+        with_day = with_day.withColumns(
+            {"load_seq": F.lit(load_seq).cast("long"), "window_seq": window.cast("long")}
+        )
     out = [F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema]
-    return with_day.select(*out).hint("rebalance", *PARTITION_COLS)
+    out = with_day.select(*out)
+    return out.hint("rebalance", *PARTITION_COLS) if hint else out
 
 
 def append_rows(
@@ -120,34 +129,25 @@ def replace_in_table(
     owned = window_days(items).select(
         "app_id", "attribution_type", F.col("day").alias("event_date")
     )
-    own_days = join_small(alive, owned, PARTITION_COLS, "left_semi", items.days)
-    other_days = join_small(alive, owned, PARTITION_COLS, "left_anti", items.days)
-
-    filled = own_days.select(*PARTITION_COLS).distinct()
-    in_table = spark.sql(f"SHOW PARTITIONS {name}").select(
-        *[F.regexp_extract("partition", f"{c}=([^/]*)", 1).alias(c) for c in PARTITION_COLS]
-    )
-    stale = _emptied(in_table, owned, filled)
-
-    _overwrite_partitions(spark, name, shaped(own_days, table, load_seq, spec))
-    for row in stale:
-        _empty_partition(spark, name, row.app_id, row.attribution_type, row.event_date)
-    if not other_days.isEmpty():
-        append_rows(spark, name, other_days, load_seq, spec)
-    return metrics
-
-
-def _emptied(in_table: DataFrame, owned: DataFrame, filled: DataFrame) -> list:
-    """Owned partitions that exist and get no rows.  At most one per window day."""
-    decoded = in_table.select(
-        F.url_decode(F.replace("app_id", F.lit("+"), F.lit("%2B"))).alias("app_id"),
-        F.url_decode(F.replace("attribution_type", F.lit("+"), F.lit("%2B"))).alias(
-            "attribution_type"
-        ),
-        F.col("event_date").try_cast("date").alias("event_date"),
-    )
     keys = list(PARTITION_COLS)
-    return decoded.join(owned, keys, "left_semi").join(filled, keys, "left_anti").collect()
+    days = stage(alive.select(*keys).distinct(), "days")
+    in_table = in_span(table, items).select(*keys).distinct()
+    stale = in_table.join(owned, keys, "left_semi").join(days, keys, "left_anti").collect()
+    _empty_partitions(spark, name, stale)
+
+    # Rows of a foreign day join the rows that are there: the day is written anew with both,
+    # less what an earlier try of this load has left.
+    foreign = days.join(owned, keys, "left_anti")
+    written = shaped(alive, table, load_seq, spec)
+    if not foreign.isEmpty():
+        span = foreign.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
+        there = table.filter(F.col("event_date").between(span.lo, span.hi))
+        there = there.filter(F.col("load_seq") != F.lit(load_seq))
+        stays = there.join(foreign, keys, "left_semi").select(*table.columns)
+        both = shaped(alive, table, load_seq, spec, hint=False).union(stage(stays, "stays"))
+        written = both.hint("rebalance", *PARTITION_COLS)
+    _overwrite_partitions(spark, name, written)
+    return metrics
 
 
 def _overwrite_partitions(spark: SparkSession, name: str, rows: DataFrame) -> None:
@@ -160,31 +160,36 @@ def _overwrite_partitions(spark: SparkSession, name: str, rows: DataFrame) -> No
         spark.conf.set(mode, before)
 
 
-def _empty_partition(spark: SparkSession, name: str, app_id: str, kind: str, day) -> None:
-    """Overwrite with nothing, which removes the files, then forget the partition."""
-    columns = [c for c in spark.table(name).columns if c not in PARTITION_COLS]
-    nothing = ", ".join(f"CAST(NULL AS {t}) AS `{c}`" for c, t in _types(spark, name, columns))
-    spec = "app_id = :app, attribution_type = :kind, event_date = :day"
-    literal = (
-        spec.replace(":app", _literal(app_id))
-        .replace(":kind", _literal(kind))
-        .replace(":day", f"DATE'{day.isoformat()}'")
-    )
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "static")
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({literal}) SELECT {nothing} WHERE false"
+def _empty_partitions(spark: SparkSession, name: str, rows: list, batch: int = 500) -> None:
+    """Delete the files of partitions and forget them, many per statement."""
+    if not rows:
+        return
+    home = table_location(spark, name)
+    for lo in range(0, len(rows), batch):
+        some = rows[lo : lo + batch]
+        for row in some:
+            _delete_folder(spark, f"{home}/{_partition_folder(spark, row)}")
+        parts = ", ".join(
+            f"PARTITION (app_id = {_literal(r.app_id)}, attribution_type = "
+            f"{_literal(r.attribution_type)}, event_date = DATE'{r.event_date.isoformat()}')"
+            for r in some
         )
-    finally:
-        spark.conf.set(mode, before)
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({literal})")
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
 
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location").rstrip("/")
 
-def _types(spark: SparkSession, name: str, columns: list[str]) -> list[tuple[str, str]]:
-    kinds = dict(spark.table(name).dtypes)
-    return [(c, kinds[c]) for c in columns]
+
+def _partition_folder(spark: SparkSession, row) -> str:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{c}={escape(str(row[c]))}" for c in PARTITION_COLS)
+
+
+def _delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _literal(text: str) -> str:
@@ -194,21 +199,25 @@ def _literal(text: str) -> str:
 def build_replacement(spark: SparkSession, name: str, rows: DataFrame) -> str:
     """Write ``rows`` to a new table shaped like ``name``; returns its name.
 
-    The new table has its own location, so the swap renames catalog entries and
-    moves no data.
+    It lies next to the table, in a folder of its own, so the swap renames catalog
+    entries and moves no data.
     """
     new = f"{name}_new"
     spark.sql(f"DROP TABLE IF EXISTS {new}")
     table = spark.table(name)
     columns = dict(f for f in table.dtypes if f[0] not in ORDINALS and f[0] != "event_date")
-    create_table(spark, new, scratch_path(spark, name.split(".")[-1]), columns)
+    beside = f"{table_location(spark, name)}_{uuid.uuid4().hex[:12]}"
+    create_table(spark, new, beside, columns)
     shaped_rows = rows.select(*table.columns).hint("rebalance", *PARTITION_COLS)
     shaped_rows.write.insertInto(new)
     return new
 
 
 def swap_tables(spark: SparkSession, name: str, new: str, backup: str) -> None:
-    """Put ``new`` in the place of ``name``, which stays as ``backup``."""
+    """Put ``new`` in the place of ``name``, which stays as ``backup``.
+
+    Two renames: between them, for a moment, nothing has the name.
+    """
     spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
     try:
         spark.sql(f"ALTER TABLE {new} RENAME TO {name}")

@@ -6,6 +6,9 @@ Every column is read as text.  Reports may differ in their header, and Spark rea
 a set of CSV files by position, so files are grouped by header and each group is
 scanned with its own schema.  A bad file is reported in ``files`` and a ragged row
 is flagged, so neither disturbs other windows.
+
+A run looks at the folders of its own windows only.  Headers are judged where they are
+read; the driver sees the different usable ones, never the texts of broken files.
 """
 
 from __future__ import annotations
@@ -25,14 +28,14 @@ from windrow.functions.text import normalise_header
 from windrow.operators.ordinal import position_in_task
 from windrow.operators.validate import missing_headers
 from windrow.operators.work_items import WorkItems
-from windrow.runtime import join_small, stage
-from windrow.spec import EVENTS, ReportSpec, WINDOW_COLS
+from windrow.runtime import join_small, ship_package, stage
+from windrow.spec import EVENT_COLUMNS, EVENTS, ReportSpec, WINDOW_COLS
 
 CORRUPT = "_corrupt_record"
 BOM = "﻿"
 
-# More kinds of header than this is a broken landing zone, not drift.
-MAX_HEADERS = 500
+# The endings of a report.  Files being written or put aside have others.
+REPORT_FILES = "*.{csv,csv.gz,csv.bz2,csv.zst}"
 
 WINDOW_FIELDS = [
     T.StructField("app_id", T.StringType()),
@@ -83,12 +86,35 @@ def _one_file_per_task(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(n, value)
 
 
-def _text_files(spark: SparkSession, root: str) -> DataFrame:
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv*")
-        .text(root)
-    )
+def path_status(spark: SparkSession, pattern: str) -> list:
+    """Files and folders of a pattern, in any file system Spark can reach; none if absent."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(fs.globStatus(path) or [])
+
+
+def window_folders(spark: SparkSession, root: str, items: WorkItems | None) -> list[str]:
+    """Folders of windows: all of them, or those of the date ranges of ``items``.
+
+    Only folder names are listed, one pattern per date range of the run.
+    """
+    ends = [("*", "*")]
+    if items is not None:
+        # A run has few date ranges, however many apps it loads.
+        ranges = items.df.select("start_date", "end_date").distinct().collect()
+        ends = [(r.start_date.isoformat(), r.end_date.isoformat()) for r in ranges]
+    return [
+        s.getPath().toString()
+        for start, end in sorted(ends)
+        for s in path_status(
+            spark, f"{root}/app_id=*/attribution_type=*/start_date={start}/end_date={end}"
+        )
+        if s.isDirectory()
+    ]
+
+
+def _text_files(spark: SparkSession, folders: list[str]) -> DataFrame:
+    return spark.read.option("pathGlobFilter", REPORT_FILES).text(folders)
 
 
 def _file_path() -> Column:
@@ -96,7 +122,7 @@ def _file_path() -> Column:
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
 
 
-def first_lines(spark: SparkSession, root: str) -> DataFrame:
+def first_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
     """(file_path, header) of every file that has text, reading only file heads.
 
     With one file per task, a task that stops after one line has read one buffer.
@@ -112,7 +138,7 @@ def first_lines(spark: SparkSession, root: str) -> DataFrame:
                 return
 
     with _one_file_per_task(spark):
-        text = _text_files(spark, root)
+        text = _text_files(spark, folders)
         lines = text.select("value", _file_path().alias("file_path")).rdd
         heads = spark.createDataFrame(
             lines.mapPartitions(first_line), "file_path string, header string"
@@ -124,11 +150,23 @@ def parse_header(line: str) -> list[str]:
     return next(csv.reader([line]), [])
 
 
+def canonical(name: str, spec: ReportSpec) -> str:
+    """One spelling per column of a report that keeps all its columns: the raw header of the
+    column a name normalises to, else the normalised name."""
+    alias = {raw: to for to, raw in spec.raw_names.items()}
+    target = alias.get(name) or normalise_header(name)
+    known = {normalise_header(raw): to for raw, to in EVENT_COLUMNS.items()}
+    return spec.raw_name(known.get(target, target))
+
+
 def header_problem(names: Sequence[str], spec: ReportSpec = EVENTS) -> str | None:
+    if spec.columns is None:
+        names = [canonical(n, spec) for n in names]
     missing = missing_headers(names, spec)
     if missing:
         return f"report is missing columns: {missing}"
-    repeated = sorted({n for n in names if names.count(n) > 1})
+    folded = [n.lower() for n in names]  # Spark tells columns apart without case
+    repeated = sorted({n for n in names if folded.count(n.lower()) > 1})
     if repeated:
         return f"report repeats columns: {repeated}"
     if spec.columns is None and spec.known_columns is not None:
@@ -145,30 +183,36 @@ def _from_path(name: str) -> Column:
     return F.url_decode(F.replace(once, F.lit("+"), F.lit("%2B")))
 
 
-def list_files(spark: SparkSession, root: str, spec: ReportSpec = EVENTS) -> LandingScan:
-    """Every report file with its window and problem; ``raw`` stays empty."""
-    paths = _text_files(spark, root).inputFiles()
+FILE_SCHEMA = (
+    "file_path string, app_id string, attribution_type string, start_date date,"
+    " end_date date, header string, problem string, file_no int"
+)
+
+
+def list_files(
+    spark: SparkSession, root: str, spec: ReportSpec = EVENTS, items: WorkItems | None = None
+) -> LandingScan:
+    """Every report file of the windows with its problem; ``raw`` stays empty."""
+    folders = window_folders(spark, root, items)
+    if not folders:
+        return LandingScan(_no_rows(spark, spec), spark.createDataFrame([], FILE_SCHEMA), 0)
+    paths = _text_files(spark, folders).inputFiles()
     listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
-    heads = first_lines(spark, root)
-    kinds = [r.header for r in heads.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if len(kinds) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers under {root}")
-    problems = [(h, header_problem(parse_header(h), spec)) for h in kinds]
-    judged = spark.createDataFrame(problems, "header string, problem string")
-    files = (
-        listed.join(heads, "file_path", "left")
-        .join(F.broadcast(judged), "header", "left")
-        .select(
-            "file_path",
-            _from_path("app_id").alias("app_id"),
-            _from_path("attribution_type").alias("attribution_type"),
-            _from_path("start_date").try_cast("date").alias("start_date"),
-            _from_path("end_date").try_cast("date").alias("end_date"),
-            "header",
-            F.when(F.col("header").isNull(), F.lit("report body is empty"))
-            .otherwise(F.col("problem"))
-            .alias("problem"),
-        )
+
+    # A header is judged in the task that has it, so broken files cost the driver nothing.
+    ship_package(spark)
+    judge = F.udf(lambda line: header_problem(parse_header(line), spec), "string")
+    heads = first_lines(spark, folders).withColumn("problem", judge("header"))
+    files = listed.join(heads, "file_path", "left").select(
+        "file_path",
+        _from_path("app_id").alias("app_id"),
+        _from_path("attribution_type").alias("attribution_type"),
+        _from_path("start_date").try_cast("date").alias("start_date"),
+        _from_path("end_date").try_cast("date").alias("end_date"),
+        "header",
+        F.when(F.col("header").isNull(), F.lit("report body is empty"))
+        .otherwise(F.col("problem"))
+        .alias("problem"),
     )
     order = Window.partitionBy(*WINDOW_COLS).orderBy("file_path")
     numbered = files.withColumn("file_no", F.row_number().over(order) - 1)
@@ -195,7 +239,7 @@ def scan_landing(
     split (it may hold newlines in quotes and is capped in size by its source), so
     positions within one task give the order of a file's rows.
     """
-    listing = list_files(spark, root, spec)
+    listing = list_files(spark, root, spec, items)
     files = listing.files
     if items is not None:
         wanted = items.df.select(*WINDOW_COLS).distinct()
@@ -231,9 +275,12 @@ def _scan_group(
         .option("basePath", root)
         .csv(paths)
     )
-    wanted = names if spec.columns is None else list(spec.columns)
+    if spec.columns is None:
+        wanted = {n: canonical(n, spec) for n in names}
+    else:
+        wanted = {n: n for n in spec.columns}
     return scanned.select(
-        *[F.col(f"`{n}`") for n in wanted],
+        *[F.col(f"`{n}`").alias(to) for n, to in wanted.items()],
         *WINDOW_COLS,
         position_in_task().alias("row_ord"),
         F.col(CORRUPT).isNotNull().alias("corrupt"),

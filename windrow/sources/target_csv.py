@@ -1,31 +1,55 @@
-"""A CSV that already has the table's columns, for the append path."""
+"""CSV files that already have the table's columns, for the append path."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from windrow.operators.ordinal import position_in_task
-from windrow.sources.landing import csv_reader
+from windrow.sources.landing import csv_reader, path_status
 from windrow.spec import TABLE_COLUMNS
 
 
-def check_exact_columns(columns: list[str]) -> None:
-    """The column set must be exactly the table's, in any order."""
-    missing = sorted(set(TABLE_COLUMNS) - set(columns))
-    extra = sorted(set(columns) - set(TABLE_COLUMNS))
-    if missing or extra:
-        raise ValueError(
-            f"file does not have the table's columns: missing={missing} extra={extra}"
-        )
+def check_exact_columns(columns: Sequence[str]) -> None:
+    """Every column of the table once and nothing else, in any order."""
+    odd = [
+        f"{name} ({'absent' if name in TABLE_COLUMNS else 'unknown'})"
+        for name in dict.fromkeys([*TABLE_COLUMNS, *columns])
+        if list(columns).count(name) != 1 or name not in TABLE_COLUMNS
+    ]
+    if odd:
+        raise ValueError(f"the header does not fit the table: {', '.join(odd)}")
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the CSV files of a folder or pattern in the order of their names."""
+    found = path_status(spark, path)
+    if any(s.isDirectory() for s in found):
+        found = [
+            f
+            for s in found
+            for f in (path_status(spark, f"{s.getPath().toString()}/*.csv") if s.isDirectory() else [s])
+        ]
+    files = sorted(s.getPath().toString() for s in found if s.isFile())
+    if not files:
+        raise FileNotFoundError(f"no such CSV: {path}")
+    return files
 
 
 def read_target_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read the file as text with ``row_ord`` in file order; a ragged row fails the job."""
-    try:
-        df = csv_reader(spark).option("mode", "FAILFAST").csv(path)
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"no such CSV: {path}") from exc
-    check_exact_columns(df.columns)
-    return df.select(*TABLE_COLUMNS, position_in_task().alias("row_ord"))
-
+    """Read one file, or the files of a folder, as text; a ragged row fails the job.
+
+    Each file is read by its own header, so files may order their columns as they like.
+    ``row_ord`` goes by file name and then by position in the file.
+    """
+    reader = csv_reader(spark).option("mode", "FAILFAST")
+    parts = []
+    for n, file in enumerate(_files(spark, path)):
+        df = reader.csv(file)
+        check_exact_columns(df.columns)
+        order = position_in_task() + F.lit(n << 33)
+        parts.append(df.select(*TABLE_COLUMNS, order.alias("row_ord")))
+    return reduce(DataFrame.unionByName, parts)

@@ -53,6 +53,10 @@ TABLE_COLUMNS = {
     "app_id": "string",
 }
 
+# A row's place in load order: the load that brought it, the window within the load, and
+# the place in the window's report.
+LOAD_ORDER = ("load_seq", "window_seq", "row_ord")
+
 # Retention and call span in days, and the row count at which a
 # report is taken to be truncated.
 EVENTS_RETENTION_DAYS = 90
