@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +60,16 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 def null_key(c: Column) -> Column:
     """A text that joins like ``c`` does, with NULL equal to itself."""
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
+
+
+def by_bytes(batch: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Slices of a batch that hold about ``most`` bytes, one row at least."""
+    lengths = pc.fill_null(pc.binary_length(batch), 0).to_pylist()
+    lo = held = 0
+    for i, n in enumerate(lengths):
+        if held and held + n > most:
+            yield lo, i
+            lo, held = i, 0
+        held += n
+    if lo < len(lengths):
+        yield lo, len(lengths)

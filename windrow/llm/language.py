@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windrow.llm.common import bounded_batches, fold_of
+from windrow.llm.common import bounded_batches, by_bytes, fold_of
 from windrow.runtime import counted_bound, join_small
 
 UNDETERMINED = "und"
@@ -29,6 +29,9 @@ LANGUAGE_GRAMS = 12_000
 # A language has an n-gram if its rate there is at least this share of its rate elsewhere.
 RATE_SHARE = 0.3
 
+# Texts looked up at a time; the arrays of n-grams take some fifty times as much.
+SLICE_BYTES = 1 << 20
+
 HASHES = 3
 SLOTS_PER_GRAM = 10
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -195,7 +198,11 @@ def _predictor(model: LanguageFilter):
     @F.arrow_udf("lang_pred string, score double")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            names, scores = model.predict(batch.to_pylist())
+            names, scores = [], []
+            for lo, hi in by_bytes(batch, SLICE_BYTES):
+                part, shares = model.predict(batch.slice(lo, hi - lo).to_pylist())
+                names += part
+                scores += shares.tolist()
             yield pa.StructArray.from_arrays(
                 [pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["lang_pred", "score"],

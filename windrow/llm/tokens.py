@@ -15,12 +15,11 @@ from functools import cache, lru_cache
 from itertools import chain
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from windrow.llm.common import bounded_batches
+from windrow.llm.common import bounded_batches, by_bytes
 
 # What sentencepiece writes for a space, and what may be cut around.
 MARK = "▁"
@@ -93,26 +92,13 @@ def token_counter(model_path: str):
         counter = _counter(model_path)
         for batch in batches:
             counts = []
-            for lo, hi in _by_bytes(batch):
+            for lo, hi in by_bytes(batch):
                 counts += counter.count(t or "" for t in batch.slice(lo, hi - lo).to_pylist())
             yield pa.array(counts, pa.int64())
 
     return n_tokens
 
 
-def _by_bytes(batch: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Slices of a batch that hold about ``most`` bytes, one row at least."""
-    lengths = pc.fill_null(pc.binary_length(batch), 0).to_pylist()
-    lo = held = 0
-    for i, n in enumerate(lengths):
-        if held and held + n > most:
-            yield lo, i
-            lo, held = i, 0
-        held += n
-    if lo < len(lengths):
-        yield lo, len(lengths)
-
-
 def count_tokens(
     docs: DataFrame,
     model_path: str,
