@@ -17,7 +17,7 @@ from windrow.operators.dedup import (
 from windrow.operators.ordinal import add_ordinal
 from windrow.plans.rewrite_run import rewrite_table
 from windrow.runtime import scratch_path
-from windrow.sinks.table import append_rows, create_table
+from windrow.sinks.table import append_rows, create_table, table_location
 from windrow.spec import EVENTS
 
 SERIES = ("app_id", "attribution_type")
@@ -52,7 +52,10 @@ def q15_swap(spark, sf_dir):
     create_table(spark, name, location)
     append_rows(spark, name, v.e(spark, sf_dir), 1)
     rewrite_table(spark, name, f"{name}_bak")
-    return spark.table(name).select("row_ord", *v.COLUMNS)
+    schema, home = spark.table(name).schema, table_location(spark, name)
+    for entry in (name, f"{name}_bak"):  # only the entries: the tables are external
+        spark.sql(f"DROP TABLE {entry}")
+    return spark.read.schema(schema).parquet(home).select("row_ord", *v.COLUMNS)
 
 
 LINE_REST = (

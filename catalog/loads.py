@@ -344,12 +344,9 @@ def q26_table(spark, sf_dir):
     v.VIEWS
     + """SELECT DISTINCT app_id, attribution_type, event_time, event_name, device_id
 FROM t0 x JOIN (SELECT app_id, attribution_type, min(event_time) AS lo, max(event_time) AS hi
-  FROM e WHERE row_ord % 10 >= 4 AND device_id < '3' AND event_time < DATE '2024-01-20'
-  GROUP BY ALL) b USING (app_id, attribution_type)
+  FROM e2 GROUP BY ALL) b USING (app_id, attribution_type)
 WHERE event_time BETWEEN lo AND hi""",
 )
 def q27(spark, sf_dir):
-    part = file_rows(spark, sf_dir).filter(
-        (F.col("device_id") < "3") & (F.col("event_time") < F.lit(dt.date(2024, 1, 20)))
-    )
-    return lookup_keys(v.t0(spark, sf_dir), group_bounds(part))
+    rows = type_append_rows(v.all_of_a(spark, sf_dir))
+    return lookup_keys(v.t0(spark, sf_dir), group_bounds(rows))

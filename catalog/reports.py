@@ -156,10 +156,10 @@ def q05(spark, sf_dir):
     + """SELECT count(*) AS total_rows,
   CAST(sum((row_ord % 31 = 0)::INT + (row_ord % 41 = 0)::INT + (row_ord % 37 = 0)::INT) AS BIGINT)
     AS ids_nulled
-FROM e2 WHERE row_ord % 10 >= 4""",
+FROM e2""",
 )
 def q06(spark, sf_dir):
-    return parse_stats(type_append_rows(v.a(spark, sf_dir)))
+    return parse_stats(type_append_rows(v.all_of_a(spark, sf_dir)))
 
 
 @query(
