@@ -28,7 +28,7 @@ from windrow.operators.validate import (
 from windrow.operators.dedup import keep_latest
 from windrow.operators.work_items import WorkItems, work_items
 from windrow.plans.load_run import plan_load
-from windrow.runtime import scratch_path
+from windrow.runtime import scratch_path, stage
 from windrow.sources.landing import scan_landing
 from windrow.spec import EVENT_COLUMNS, EVENTS, INSTALLS, WINDOW_COLS
 
@@ -203,7 +203,7 @@ GOOD = f"""good AS (
 )
 def q07(spark, sf_dir):
     """The filter comes first: rows it drops are never validated."""
-    typed = type_report(filtered(spark, sf_dir))
+    typed = stage(type_report(filtered(spark, sf_dir)), "typed")
     good = at_table_scale(quarantine(typed, first_errors(typed), FIVE_WEEKS))
     return good.select(
         *WINDOW_COLS,
@@ -371,7 +371,7 @@ RESULTS = f""", {GOOD}, results AS (
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = type_report(filtered(spark, sf_dir))
+    typed = stage(type_report(filtered(spark, sf_dir)), "typed")  # parsed once
     errors = first_errors(typed)
     rows = keep_latest(quarantine(typed, errors, FIVE_WEEKS))
     loaded = rows.groupBy(*WINDOW_COLS).agg(F.count("*").alias("loaded_rows"))

@@ -10,7 +10,8 @@ from windrow.runtime import shared_dir, stage
 
 
 def fake(path, master):
-    conf = SimpleNamespace(get=lambda key, default=None: path or default)
+    known = {"spark.checkpoint.dir": path} if path else {}
+    conf = SimpleNamespace(get=known.get)
     context = SimpleNamespace(master=master, applicationId=f"app-{master[:5]}")
     return SimpleNamespace(conf=conf, sparkContext=context)
 
@@ -19,6 +20,11 @@ def test_shared_dir():
     assert shared_dir(fake("hdfs://nn/ckpt/", "spark://host:7077")) == "hdfs://nn/ckpt"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(fake(None, "spark://host:7077"))
+    for own in ("file:///tmp/ckpt", "/tmp/ckpt", "file:/var/tmp/x"):
+        with pytest.raises(RuntimeError, match="temporary"):
+            shared_dir(fake(own, "yarn"))
+        assert shared_dir(fake(own, "local[2]")) == own
+    assert shared_dir(fake("file:///mnt/shared", "yarn")) == "file:///mnt/shared"
     local = fake(None, "local[2]")
     assert shared_dir(local) == shared_dir(local)
 

@@ -10,11 +10,13 @@ shuffle, and so are the table's keys, so a hot key meets the join as one row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.operators.dedup import first_of
-from windrow.runtime import counted_bound, join_small
+from windrow.runtime import counted_bound, join_small, stage
 from windrow.spec import EVENTS, TABLE_COLUMNS
 
 GROUP = ("app_id", "attribution_type")
@@ -48,9 +50,20 @@ def within_span(existing: DataFrame, rows: DataFrame, day_column: str) -> DataFr
     return existing.filter((F.col(day_column) >= first) & (F.col(day_column) <= last))
 
 
+def of_the_same_days(existing: DataFrame, rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of the table's (app, type, day) partitions that the file has rows for.
+
+    A list within the broadcast bound prunes the partitions before they are read.
+    """
+    day = F.col("event_time").cast("date").alias("event_date")
+    days = stage(rows.select(*GROUP, day).distinct(), "days")
+    return join_small(existing, days, partitions, "left_semi", counted_bound(days))
+
+
 def rows_to_append(rows: DataFrame, existing: DataFrame) -> DataFrame:
     """First row per natural key that the table does not have yet."""
     first = first_of(rows, NATURAL_KEY, [F.col("row_ord").asc()])
+    # Combined before the shuffle: a key that fills the table meets the join as one row.
     known = existing.select(*NATURAL_KEY).distinct()
     return first.join(known, list(NATURAL_KEY), "left_anti").select(*TABLE_COLUMNS, "row_ord")
 

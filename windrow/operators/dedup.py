@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windrow.runtime import counted_bound, hot_keys, join_small
+from windrow.runtime import counted_bound, join_small, stage, within_broadcast
 from windrow.spec import EVENTS, LOAD_ORDER, WINDOW_COLS
 
 # Keys with more rows than this are cut into blocks of this many row ordinals.
@@ -158,11 +158,11 @@ def incumbents(
     """
     group = [*scope, *key]
     columns = [c for c in rows.columns if c != order]
-    hot = F.broadcast(hot_keys(rows, group, hot_key_rows).withColumn("_hot", F.lit(True)))
+    repeated = stage(_of_repeated_keys(rows, group, nullable_key), "repeated")
     position = F.struct(F.col(rank).isNotNull().alias("has"), F.col(rank).alias("rank"), order)
-    is_hot = F.coalesce("_hot", F.lit(False))
+    is_hot = F.col("_n") > hot_key_rows
     block = F.when(is_hot, F.expr(f"`{order}` div {hot_key_rows}")).otherwise(0)
-    placed = _join(rows, hot, group, nullable_key, "left").select(
+    placed = repeated.select(
         *group,
         F.col(order),
         is_hot.alias("_hot"),
@@ -187,6 +187,21 @@ def incumbents(
     )
 
 
+def _of_repeated_keys(
+    rows: DataFrame, group: Sequence[str], nullable: Sequence[str]
+) -> DataFrame:
+    """Rows whose key occurs more than once, with the number of its rows as ``_n``.
+
+    Keys are counted before the shuffle.  Their counts are a table of their own, so that
+    adaptive execution can split a hot key where they are too many to broadcast.
+    """
+    counts = rows.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    counts = stage(counts, "counts")
+    if within_broadcast(counted_bound(counts)):
+        counts = F.broadcast(counts)
+    return _join(rows, counts, group, nullable, "inner")
+
+
 def _join(
     left: DataFrame, right: DataFrame, on: Sequence[str], nullable: Sequence[str], how: str
 ) -> DataFrame:
@@ -219,7 +234,7 @@ def collapse_counters(
     ``first_conflict`` is the key of the first conflict.
     """
     judged = incumbents(rows, scope, key, rank, order, hot_key_rows, nullable_key)
-    # Rows that meet no other row of their key, nearly all of them, stop here.
+    # The first row of a key meets none before it.
     judged = judged.filter(F.col("_inc").isNotNull())
     same = F.col("_me.row").eqNullSafe(F.col("_inc.row"))
     same_rank = F.col("_me.pos.rank").eqNullSafe(F.col("_inc.pos.rank"))

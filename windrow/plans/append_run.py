@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.operators.append import append_plan, rows_to_append, within_span
+from windrow.operators.append import append_plan, of_the_same_days, rows_to_append, within_span
 from windrow.operators.validate import at_table_scale, parse_stats, type_append_rows
 from windrow.runtime import stage
-from windrow.sinks.table import append_rows, next_load_seq, require_table
+from windrow.sinks.table import PARTITION_COLS, append_rows, next_load_seq, require_table
 from windrow.sources.target_csv import read_target_csv
 
 
@@ -32,6 +32,7 @@ def plan_append(spark: SparkSession, path: str, table: str) -> AppendPlan:
     if first is not None and first.error is not None:
         raise ValueError(f"{path}: {first.error}")
     existing = within_span(spark.table(table), typed, "event_date")
+    existing = of_the_same_days(existing, typed, PARTITION_COLS)
     rows = stage(at_table_scale(rows_to_append(typed, existing)), "to-insert")
     return AppendPlan(stage(append_plan(typed, existing), "counts"), rows, parse_stats(typed))
 

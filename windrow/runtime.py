@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import os
 import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import cache
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,14 @@ from pyspark.sql import functions as F
 # is some 200 bytes, so this keeps a broadcast near 20 MB.
 MAX_BROADCAST_ROWS = 100_000
 
-# Tasks one key is spread over when its small side cannot be broadcast.
-SALTS = 32
+
+def salts(spark: SparkSession) -> int:
+    """Tasks one key is spread over when its small side cannot be broadcast.
+
+    It grows with the size the session is set up for, slower than the shuffle does, as the
+    small side is repeated for each.
+    """
+    return max(2, 4 * math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def local_session(name: str, cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -57,13 +65,26 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder of this machine.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
+    if path and not local and _is_own_temp(spark, path):
+        raise RuntimeError(f"spark.checkpoint.dir is a temporary folder of each machine: {path}")
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
     return _local_dir(spark.sparkContext.applicationId)
 
 
+def _is_own_temp(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is a temporary one of each machine, as far as its name tells."""
+    parts = urlparse(path)
+    scheme = parts.scheme or urlparse(spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")).scheme
+    folder = os.path.normpath(parts.path)
+    return scheme == "file" and any(
+        os.path.commonpath([folder, t]) == t for t in ("/tmp", "/var/tmp", tempfile.gettempdir())
+    )
+
+
 @cache
 def _local_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"windrow-{application}-")
@@ -101,15 +122,15 @@ def join_small(
 
     Within the broadcast bound the large side is not moved at all.  Beyond it, or
     with no bound known, both sides are shuffled with a salt: a third of the rows
-    may share one key, so each key is spread over ``SALTS`` tasks and the small
+    may share one key, so each key is spread over several tasks and the small
     side is repeated for each.  The salt decides only where a row goes, never
     whether it matches.
     """
     if within_broadcast(rows_bound):
         return big.join(F.broadcast(small), list(on), how)
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted = big.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    repeated = small.withColumn("_salt", F.explode(salts))
+    n = salts(big.sparkSession)
+    salted = big.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(n)))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
