@@ -56,6 +56,8 @@ def link_buckets(
             continue
         tried = pairs if tried is None else tried.union(pairs)
         links = links_of(pairs)
+        if links.isEmpty():
+            continue  # the components are what they were
         found = links if found is None else found.union(links)
         labels = components(found)
     return labels
