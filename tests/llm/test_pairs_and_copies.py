@@ -135,12 +135,9 @@ def expected_lines(rows):
             if doc_id is not None and len(line.split(" ")) >= fuzzy.MIN_WORDS:
                 places.setdefault(line, []).append((doc_id, n))
     names = list(places)
-    sims = [
-        int(fuzzy.simhashes(
-            np.array([xxhash.xxh3_64_intdigest(w) for w in x.split(" ")], np.uint64), np.array([0])
-        )[0])
-        for x in names
-    ]
+    one = np.array([0])
+    hashes = [np.array([xxhash.xxh3_64_intdigest(w) for w in x.split(" ")], np.uint64) for x in names]
+    sims = [int(fuzzy.simhashes(fuzzy.features(h, one), one)[0]) for h in hashes]
     links = [
         (min(places[a]), min(places[b]))
         for (a, s), (b, t) in combinations(zip(names, sims), 2)
