@@ -22,6 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -338,14 +339,29 @@ def decoder(model_path: str):
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        spell = load_pieces(model_path).spelled.__getitem__
+        spelled = load_pieces(model_path).spelled
+        lengths = np.array([len(x) for x in spelled])
+        begins = np.cumsum(lengths) - lengths
+        letters = np.frombuffer(b"".join(spelled), np.uint8)
         for batch in batches:
-            texts = (b"".join(map(spell, ids or ())) for ids in batch.to_pylist())
+            ids = batch.flatten().to_numpy(zero_copy_only=False)
+            counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+            data, ends = _spell(ids, lengths, begins, letters)
+            bounds = ends[np.append(0, np.cumsum(counts))].tolist()
+            texts = (data[lo:hi] for lo, hi in zip(bounds, bounds[1:]))
             yield pa.array([t[t[:1] == b" " :].decode("utf-8", "replace") for t in texts], pa.string())
 
     return decode
 
 
+def _spell(ids, lengths, begins, letters) -> tuple[bytes, np.ndarray]:
+    """The bytes of pieces one after another, and where each piece ends, from 0 on."""
+    n = lengths[ids]
+    ends = np.append(0, np.cumsum(n))
+    at = np.arange(ends[-1]) + np.repeat(begins[ids] - ends[:-1], n)
+    return letters[at].tobytes(), ends
+
+
 def encode_documents(
     docs: DataFrame, model_path: str, table_words: int = TABLE_WORDS
 ) -> DataFrame:
