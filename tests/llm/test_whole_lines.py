@@ -1,0 +1,47 @@
+"""Line dedup as the query and the pipeline run it: edit similarity alone makes a link."""
+
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+from tests.llm.test_pairs_and_copies import component_of, lev
+from windrow.llm import lines as fuzzy
+
+
+def expected_whole(rows):
+    """Numbers of dropped lines per document, by the edit similarity of all pairs of lines."""
+    places = {}
+    for doc_id, text in rows:
+        for n, line in enumerate(text.split("\n")):
+            places.setdefault(fuzzy.normalise(line), []).append((doc_id, n))
+    links = [
+        (min(places[a]), min(places[b]))
+        for a, b in combinations(places, 2)
+        if lev(a, b) <= int(round(1 - fuzzy.SIMILARITY, 6) * max(len(a), len(b)))
+    ]
+    firsts = component_of({min(p) for p in places.values()}, links)
+    dropped = {}
+    for found in places.values():
+        for place in set(found):
+            if place != firsts[min(found)]:
+                dropped.setdefault(place[0], set()).add(place[1])
+    return dropped, len(links)
+
+
+def test_lines_with_changed_words_are_found(docs):
+    """One word in ten is another, in lines of 8 to 60 words; SimHash saw few of these."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    rows = []
+    for i in range(24):
+        words = [word() for _ in range(rng.choice([8, 12, 20, 22, 40, 60]))]
+        rows.append((2 * i, " ".join(words)))
+        for at in rng.sample(range(len(words)), max(1, len(words) // 10)):
+            words[at] = words[at][:2] + word()[:2]
+        rows.append((2 * i + 1, " ".join(words)))
+    want, n_links = expected_whole(rows)
+    assert n_links > 20
+    got = {r.doc_id: set(r.dropped) for r in fuzzy.repeated_lines(docs(*rows), whole=True).collect()}
+    assert got == want
+    assert len(fuzzy.repeated_lines(docs(*rows)).collect()) < len(want) / 2

@@ -1,0 +1,159 @@
+"""Keys under which lines of an edit similarity meet, and exact filters of what meets.
+
+Edit similarity alone says what is near.  Lines meet by triples of neighbouring words, ends
+included: lines of few words under each triple and a class of their length, lines of more
+words under pairs of minima over their triples, as rows of MinHash bands.  Lines around the
+limit do both.  Of lines that meet, lengths and counts of letters rule out pairs that cannot
+be similar, without loss.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+BEGIN, END = np.uint64(0x27D4EB2F165667C5), np.uint64(0x165667B19E3779F9)
+# Lines of up to FEW_WORDS words meet by single triples, lines from MANY_WORDS on by bands.
+MANY_WORDS, FEW_WORDS = 18, 24
+BANDS, BAND_ROWS = 16, 2
+# Longer words count as one word per letter: text without spaces.
+LONG_WORD = 20
+# Counts of letters by their code, a byte each.
+BAG = 16
+MEMO_WORDS = 500_000
+
+
+def triples(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each three neighbouring words of every run, ends included, and their starts."""
+    ends = np.append(starts[1:], len(words))
+    at = starts + 2 * np.arange(len(starts))
+    wide = np.insert(words, np.stack([starts, ends], 1).ravel(),
+                     np.tile(np.array([BEGIN, END]), len(starts)))
+    mixed = wide[:-2] * np.uint64(0x9E3779B97F4A7C15)
+    for i in (1, 2):
+        mixed ^= mixed >> np.uint64(29)
+        mixed = (mixed ^ wide[i : len(wide) - 2 + i]) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    # The triples that reach over two runs go.
+    inside = np.ones(len(wide), bool)
+    last = at + (ends - starts)
+    inside[last], inside[last + 1] = False, False
+    return mixed[inside[:-2]], starts
+
+
+def _functions() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20240301)
+    odd = rng.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return odd, rng.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64)
+
+
+def line_keys(
+    words: np.ndarray, starts: np.ndarray, chars: np.ndarray, similarity: float
+) -> list[np.ndarray]:
+    """The keys under which each line, a run of word hashes, meets others."""
+    if not len(starts):
+        return []
+    found, at = triples(words, starts)
+    ends = np.append(at[1:], len(found))
+    n = ends - at
+    least = [np.minimum.reduceat((found * a + b) >> np.uint64(20), at) for a, b in zip(*_functions())]
+    bands = np.stack(least, 1).reshape(len(at), BANDS, BAND_ROWS)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0xD6E8FEB86659FD93)
+    for i in range(BAND_ROWS):
+        keys = (keys ^ bands[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(31)
+    # Lengths of similar lines are in one class or in neighbouring ones.
+    size = np.floor(np.log(np.maximum(chars, 1)) / -np.log(similarity * 0.999)).astype(np.uint64)
+    size = size * np.uint64(0xC2B2AE3D27D4EB4F)
+    above = size + np.uint64(0xC2B2AE3D27D4EB4F)
+    out = []
+    for i in range(len(at)):
+        own = [keys[i]] if n[i] >= MANY_WORDS else []
+        if n[i] <= FEW_WORDS:
+            few = np.unique(found[at[i] : ends[i]])
+            own += [few ^ size[i], few ^ above[i]]
+        out.append(np.concatenate(own).view(np.int64))
+    return out
+
+
+def bags(texts: list[str]) -> np.ndarray:
+    """Counts of the letters of each text, by the last bits of their codes, at most 255 each."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32) % BAG
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    counts = np.bincount(owner * BAG + codes, minlength=BAG * len(texts))
+    return np.minimum(counts, 255).astype(np.uint8).view(np.int64).reshape(-1, BAG // 8)
+
+
+KEYED = (
+    "doc_id long, line_no int, text_a long, text_b long, chars int, bag_a long, bag_b long,"
+    " keys array<long>"
+)
+
+
+NAMES = ["doc_id", "line_no", "text_a", "text_b", "chars", "bag_a", "bag_b", "keys"]
+
+
+def _tokens(words: list[str]) -> list[str]:
+    if max(map(len, words)) <= LONG_WORD:
+        return words
+    return [t for w in words for t in ([w] if len(w) <= LONG_WORD else w)]
+
+
+def key_rows(min_words: int, similarity: float):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        from windrow.llm.lines import _Words, normalise
+
+        memo = _Words()
+        for batch in batches:
+            ids, numbers, digests, hashes, starts, texts = [], [], [], [], [], []
+            for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
+                for number, line in enumerate(text.split("\n")):
+                    line = normalise(line)
+                    words = line.split(" ")
+                    if len(words) < min_words:
+                        continue
+                    ids.append(doc_id)
+                    numbers.append(number)
+                    digests.append(xxhash.xxh3_128_digest(line))
+                    starts.append(len(hashes))
+                    texts.append(line)
+                    hashes.extend(map(memo.__getitem__, _tokens(words)))
+            digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            chars = np.array([len(t) for t in texts], np.int32)
+            words, at, bag = np.array(hashes, np.uint64), np.array(starts, np.int64), bags(texts)
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            yield pa.record_batch(
+                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()),
+                 pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(chars),
+                 pa.array(bag[:, 0]), pa.array(bag[:, 1]),
+                 pa.array(line_keys(words, at, chars, similarity), pa.list_(pa.int64()))],
+                names=NAMES,
+            )
+
+    return rows
+
+
+def in_reach(similarity: float):
+    """Whether two lines may be similar, from their lengths and counts of letters.
+
+    An edit changes the length by one at most and two counts by one.
+    """
+
+    def near(a: str, b: str) -> Column:
+        a, b = F.col(a), F.col(b)
+        longest, shortest = F.greatest(a["chars"], b["chars"]), F.least(a["chars"], b["chars"])
+        most = F.floor(longest * F.lit(round(1 - similarity, 6)))
+        byte = lambda c, at: F.shiftright(c, at).bitwiseAND(F.lit(255))
+        apart = [
+            F.abs(byte(a[c], at) - byte(b[c], at)) for c in ("bag_a", "bag_b") for at in range(0, 64, 8)
+        ]
+        return (longest - shortest <= most) & (sum(apart[1:], apart[0]) <= 2 * most)
+
+    return near

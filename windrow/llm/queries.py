@@ -65,7 +65,7 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("before", F.col("text"))
     lines = lambda c: F.coalesce(F.size(F.split(c, "\n")), F.lit(0)).cast("long")
-    return line_dedup(docs).select(
+    return line_dedup(docs, whole=True).select(
         "doc_id",
         lines("before").alias("n_lines"),
         (lines("before") - F.when(F.col("text") == "", 0).otherwise(lines("text"))).alias("n_dropped"),
