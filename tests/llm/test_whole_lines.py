@@ -45,3 +45,28 @@ def test_lines_with_changed_words_are_found(docs):
     got = {r.doc_id: set(r.dropped) for r in fuzzy.repeated_lines(docs(*rows), whole=True).collect()}
     assert got == want
     assert len(fuzzy.repeated_lines(docs(*rows)).collect()) < len(want) / 2
+
+
+def test_short_lines_and_text_without_spaces(docs):
+    """Exact repeats of every line that is not blank go; digits and signs tell lines apart."""
+    chinese = "".join(chr(0x4E00 + 7 * i) for i in range(120))
+    changed = chinese[:60] + "一" + chinese[61:]
+    first = ["Terms of use", "12345 67890", "x" * 50, chinese, "Page 3", "}", "", "   "]
+    again = ["terms  of use", "12345 67890", "x" * 50, changed, "Page 4", "{", "", "   "]
+    rows = [(1, "\n".join(first)), (2, "\n".join(again)), (3, "Page 4\n}\n12345 67891\n" + chinese)]
+    got = {r.doc_id: set(r.dropped) for r in fuzzy.repeated_lines(docs(*rows), whole=True).collect()}
+    assert got == {2: {0, 1, 2, 3}, 3: {0, 1, 3}}
+    text = {r.doc_id: r.text for r in fuzzy.line_dedup(docs(*rows), whole=True).collect()}
+    assert text[2] == "Page 4\n{\n\n   " and text[3] == "12345 67891"
+
+
+def test_whole_lines_of_odd_rows(docs, odd_rows):
+    source = docs(*odd_rows)
+    out = fuzzy.line_dedup(source, whole=True)
+    texts = {}
+    for r in out.collect():
+        texts.setdefault(r.doc_id, []).append(r.text)
+    assert texts[3] == [None] and texts[4] == [""] and texts[5] == [" \n\t "]
+    assert texts[8] == ["12345 67890 --- !!!"] and texts[7] == [""]
+    assert sorted(map(str, texts[None])) == ["None", "the cat sat on the mat today"]
+    assert fuzzy.line_dedup(docs().limit(0), whole=True).collect() == []

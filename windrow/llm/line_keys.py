@@ -25,6 +25,8 @@ LONG_WORD = 20
 # Counts of letters by their code, a byte each.
 BAG = 16
 MEMO_WORDS = 500_000
+# Lines of so many letters are compared for similarity, however few their words are.
+MIN_LETTERS = 20
 
 
 def triples(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +100,7 @@ NAMES = ["doc_id", "line_no", "text_a", "text_b", "chars", "bag_a", "bag_b", "ke
 
 
 def _tokens(words: list[str]) -> list[str]:
-    if max(map(len, words)) <= LONG_WORD:
+    if max(map(len, words), default=0) <= LONG_WORD:
         return words
     return [t for w in words for t in ([w] if len(w) <= LONG_WORD else w)]
 
@@ -111,29 +113,37 @@ def key_rows(min_words: int, similarity: float):
 
         memo = _Words()
         for batch in batches:
-            ids, numbers, digests, hashes, starts, texts = [], [], [], [], [], []
+            ids, numbers, digests, hashes, starts, texts, keyed = [], [], [], [], [], [], []
             for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
                 for number, line in enumerate(text.split("\n")):
-                    line = normalise(line)
+                    plain, line = " ".join(line.lower().split()), normalise(line)
                     words = line.split(" ")
-                    if len(words) < min_words:
+                    fuzzy = len(words) >= min_words or len(line) - len(words) >= MIN_LETTERS - 1
+                    if not fuzzy:
+                        # Equal or not, by all it says: digits and signs are not left out.
+                        line, words = plain, []
+                    if not line:
                         continue
                     ids.append(doc_id)
                     numbers.append(number)
                     digests.append(xxhash.xxh3_128_digest(line))
                     starts.append(len(hashes))
                     texts.append(line)
+                    keyed.append(fuzzy)
                     hashes.extend(map(memo.__getitem__, _tokens(words)))
             digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             chars = np.array([len(t) for t in texts], np.int32)
             words, at, bag = np.array(hashes, np.uint64), np.array(starts, np.int64), bags(texts)
+            keyed = np.array(keyed, bool)
+            found = iter(line_keys(words, at[keyed], chars[keyed], similarity))
+            keys = [next(found) if fuzzy else [] for fuzzy in keyed]
             if len(memo) > MEMO_WORDS:
                 memo.clear()
             yield pa.record_batch(
                 [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()),
                  pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(chars),
                  pa.array(bag[:, 0]), pa.array(bag[:, 1]),
-                 pa.array(line_keys(words, at, chars, similarity), pa.list_(pa.int64()))],
+                 pa.array(keys, pa.list_(pa.int64()))],
                 names=NAMES,
             )
 
