@@ -26,12 +26,16 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts that are NULL or without a letter go."""
+    """Documents whose language can be told.
+
+    Texts that are NULL or without a letter go, and those of which no language has an n-gram
+    beyond chance (score 0).  Where nothing is labelled, all texts with a letter stay.
+    """
     model = fit(docs.select("doc_id", "text", "lang").filter(learned_on(F.col("doc_id"))))
     if not model.languages:  # nothing is labelled, so nothing can be told apart
         return docs.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    lang = predicted(model, F.col("text"))["lang_pred"]
-    return docs.withColumn("_lang", lang).filter(F.col("_lang") != UNDETERMINED).drop("_lang")
+    told = (F.col("_told.lang_pred") != UNDETERMINED) & (F.col("_told.score") > 0)
+    return docs.withColumn("_told", predicted(model, F.col("text"))).filter(told).drop("_told")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
