@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import ceil, floor, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,15 @@ PEEL_ROUNDS = 4
 MAP_BITS = 1024
 HOT_ROWS = 1000
 
+# Lower thresholds get bands of their own: as many as leave a pair at the threshold this
+# chance of sharing none, of as many rows as keep the minima within the bound.
+MISSED = 2e-5
+MAX_MINIMA = 512
+
 # A signature is the low byte of the first minima.  Sets of similarity 0.75 agree in 192 of
 # 256 on average; fewer than 150 are six standard deviations off.
 SIGNATURE = 256
-MIN_AGREEING = 150
+DEVIATIONS = 6
 
 MEMO_WORDS = 500_000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -143,12 +149,34 @@ def _sketcher(k: int, rows: int, bands: int):
     return sketch
 
 
-@F.arrow_udf(BooleanType())
-def _signatures_agree(a: pa.Array, b: pa.Array) -> pa.Array:
-    left = np.frombuffer(b"".join(a.to_pylist()), np.uint8).reshape(len(a), -1)
-    right = np.frombuffer(b"".join(b.to_pylist()), np.uint8).reshape(len(a), -1)
-    least = MIN_AGREEING * left.shape[1] // SIGNATURE
-    return pa.array((left == right).sum(axis=1) >= least)
+def least_agreeing(percent: int, minima: int) -> int:
+    """How many of so many minima agree at least where two sets are that similar."""
+    share = percent / 100
+    return floor(minima * share - DEVIATIONS * sqrt(minima * share * (1 - share)))
+
+
+def banding(threshold: float) -> tuple[int, int]:
+    """Rows and bands that find pairs from a threshold on."""
+    if not 0 < threshold <= 1:
+        raise ValueError(f"a threshold above 0 and up to 1 is needed: {threshold}")
+    if threshold >= THRESHOLD:
+        return BAND_ROWS, BANDS
+    for rows in range(BAND_ROWS, 0, -1):
+        bands = ceil(log(MISSED) / log(1 - threshold**rows))
+        if rows * bands <= MAX_MINIMA:
+            break
+    return rows, bands
+
+
+@lru_cache(maxsize=None)
+def _signatures_agree(percent: int):
+    @F.arrow_udf(BooleanType())
+    def agree(a: pa.Array, b: pa.Array) -> pa.Array:
+        left = np.frombuffer(b"".join(a.to_pylist()), np.uint8).reshape(len(a), -1)
+        right = np.frombuffer(b"".join(b.to_pylist()), np.uint8).reshape(len(a), -1)
+        return pa.array((left == right).sum(axis=1) >= least_agreeing(percent, left.shape[1]))
+
+    return agree
 
 
 @lru_cache(maxsize=None)
@@ -178,7 +206,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, percent
     near = (
         pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
         .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-        .filter(_signatures_agree("sig_a", "sig_b"))
+        .filter(_signatures_agree(percent)("sig_a", "sig_b"))
         .select("a", "b")
     )
     near = stage(near, "near")
@@ -193,8 +221,8 @@ def near_duplicates(
     docs: DataFrame,
     k: int = SHINGLE_WORDS,
     threshold: float = THRESHOLD,
-    rows: int = BAND_ROWS,
-    bands: int = BANDS,
+    rows: int | None = None,
+    bands: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -203,13 +231,16 @@ def near_duplicates(
     Words are runs of other than white space, A-Z in lower case; a shorter text is one
     shingle.  A text without words, or NULL, has no shingles and no links.  Documents are
     linked from a set similarity of ``threshold`` on; ``component_id`` is the least id that
-    links lead to.  Rows that repeat an id are one document to links; each gives a row.  A row
+    links lead to.  ``rows`` and ``bands`` follow from the threshold where they are not given.
+    Rows that repeat an id are one document to links; each gives a row.  A row
     with a NULL id takes no part: its component is NULL and it is kept.  An empty table gives
     no rows; other columns are not read.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     percent = round(100 * threshold)
+    own_rows, own_bands = banding(threshold)
+    rows, bands = rows or own_rows, bands or own_bands
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketches = stage(texts.mapInArrow(_sketcher(k, rows, bands), SKETCH), "sketches")
     full = sketches.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
