@@ -1,4 +1,4 @@
-"""op1, op5 and op10 on the whole smallest table, against brute force and the library."""
+"""op1, op3, op5 and op10 on the whole smallest table, against brute force and the library."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_llm_queries import SF_DIR, pytestmark  # noqa: F401
-from tests.llm.test_pairs_and_copies import expected_components
+from tests.llm.test_pairs_and_copies import component_of, expected_components
+from windrow.llm import lines
 from windrow.llm import queries as llm
 from windrow.llm.pieces import MARK
 
@@ -51,3 +52,32 @@ def test_ids_of_the_table(spark, table, ids):
             [(i, (t or "").replace(MARK, " ")) for i, t in table], "doc_id long, t string"
         ).select("doc_id", F.sha2("t", 256)).collect()
     }
+
+
+def test_lines_of_the_table(spark, table):
+    """All pairs of lines, by the edit distance of Spark."""
+    places = {}
+    for doc_id, text in table:
+        for n, line in enumerate((text or "").split("\n")):
+            plain, letters = " ".join(line.lower().split()), lines.normalise(line)
+            words = letters.split(" ")
+            fuzzy = len(words) >= lines.MIN_WORDS or sum(map(len, words)) >= 20
+            if plain:
+                places.setdefault((fuzzy, letters if fuzzy else plain), []).append((doc_id, n))
+    texts = [(i, t) for i, (fuzzy, t) in enumerate(places) if fuzzy]
+    side = spark.createDataFrame(texts, "i long, t string").repartition(8)
+    longest = F.greatest(F.char_length("t"), F.char_length("u"))
+    most = F.floor(longest * F.lit(0.15)).cast("int")
+    pairs = side.join(F.broadcast(side.toDF("j", "u")), F.col("i") < F.col("j"))
+    pairs = pairs.filter(F.abs(F.char_length("t") - F.char_length("u")) <= most)
+    near = F.call_function("levenshtein", "t", "u", most) >= 0
+    names = list(places.values())
+    links = [(min(names[i]), min(names[j])) for i, j in pairs.filter(near).select("i", "j").collect()]
+    firsts = component_of({min(p) for p in names}, links)
+    want = {}
+    for found in names:
+        for place in found:
+            if place != firsts[min(found)]:
+                want[place[0]] = want.get(place[0], 0) + 1
+    out = llm.QUERIES["op3_line_dedup"](spark, SF_DIR).collect()
+    assert links and {r.doc_id: r.n_dropped for r in out if r.n_dropped} == want
