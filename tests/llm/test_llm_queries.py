@@ -19,7 +19,11 @@ def test_query_matches_sql(spark, key):
     assert difference(llm.QUERIES[key](spark, SF_DIR), connect(SF_DIR), llm.ORACLE[key]) is None
 
 
-@pytest.mark.parametrize("key", sorted(set(llm.QUERIES) - set(llm.ORACLE)))
+# One row per piece, not per document.
+PIECES = {"op12_packing"}
+
+
+@pytest.mark.parametrize("key", sorted(set(llm.QUERIES) - set(llm.ORACLE) - PIECES))
 def test_one_row_per_document(spark, key):
     out = llm.QUERIES[key](spark, SF_DIR).toPandas()
     ids = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").toPandas()
@@ -31,5 +35,5 @@ def test_names():
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 11))
+    assert all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 14))
     assert "pipeline" in names

@@ -9,8 +9,11 @@ from windrow.llm.chat import format_chat, read_turns, unescape
 from windrow.llm.exact import exact_dedup
 from windrow.llm.language import identify
 from windrow.llm.lines import line_dedup
+from windrow.llm.manifest import merkle_manifest
+from windrow.llm.middle import fill_in_middle
 from windrow.llm.minhash import near_duplicates
 from windrow.llm.mixing import mix
+from windrow.llm.packing import pack
 from windrow.llm.pieces import encode_documents
 from windrow.llm.quality import classify
 from windrow.llm.tokens import count_tokens
@@ -221,3 +224,126 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.xxhash64("ids").alias("ids_hash"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op11_merkle_manifest",
+    r"""WITH RECURSIVE f AS (
+  SELECT doc_id, source, text, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)] AS told,
+    -- crc32 of the id's digits, a byte and then eight shifts at a time
+    xor(list_reduce(list_prepend(4294967295, list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc
+  FROM documents
+), g AS (
+  SELECT doc_id, source, array_to_string(list_transform(told,
+      lambda v: coalesce(strlen(v) || ':' || v, '-')), '') AS head, text,
+    CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+      ELSE text END AS changed
+  FROM f
+), d AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS tampered
+  FROM g
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY source) AS size
+  FROM d
+), tree AS (
+  SELECT 0 AS level, source, place, leaf AS digest, size FROM p
+  UNION ALL
+  SELECT level + 1, source, place // 16, sha256(string_agg(digest, '' ORDER BY place)),
+    (size + 15) // 16
+  FROM tree WHERE size > 1 GROUP BY level, source, place // 16, size
+), s AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+    count(*) OVER () AS size
+  FROM tree WHERE size = 1
+), top AS (
+  SELECT 0 AS level, place, subroot AS digest, size FROM s
+  UNION ALL
+  SELECT level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (size + 15) // 16
+  FROM top WHERE size > 1 GROUP BY level, place // 16, size
+), runs AS (
+  SELECT level, source, place // 16 AS run, list(digest ORDER BY place) AS digests
+  FROM tree WHERE size > 1 GROUP BY level, source, place // 16
+), top_runs AS (
+  SELECT level, place // 16 AS run, list(digest ORDER BY place) AS digests
+  FROM top WHERE size > 1 GROUP BY level, place // 16
+), fold AS (
+  SELECT doc_id, leaf, source, 0 AS level, place, tampered AS digest, '' AS proof FROM p
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.source, f.level + 1, f.place // 16,
+    sha256(array_to_string(r.digests[1:f.place % 16], '') || f.digest
+      || array_to_string(r.digests[f.place % 16 + 2:], '')),
+    f.proof || array_to_string(r.digests[1:f.place % 16], '')
+      || array_to_string(r.digests[f.place % 16 + 2:], '')
+  FROM fold f JOIN runs r ON r.level = f.level AND r.run = f.place // 16
+    AND r.source IS NOT DISTINCT FROM f.source
+), folded AS (
+  SELECT f.*, s.place AS top_place, s.subroot, (SELECT digest FROM top WHERE size = 1) AS root
+  FROM fold f JOIN s ON s.source IS NOT DISTINCT FROM f.source
+  QUALIFY f.level = max(f.level) OVER (PARTITION BY f.source)
+), up AS (
+  SELECT doc_id, leaf, subroot, root, 0 AS level, top_place AS place, digest, proof FROM folded
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.subroot, f.root, f.level + 1, f.place // 16,
+    sha256(array_to_string(r.digests[1:f.place % 16], '') || f.digest
+      || array_to_string(r.digests[f.place % 16 + 2:], '')),
+    f.proof || array_to_string(r.digests[1:f.place % 16], '')
+      || array_to_string(r.digests[f.place % 16 + 2:], '')
+  FROM up f JOIN top_runs r ON r.level = f.level AND r.run = f.place // 16
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, digest AS folded_root,
+  digest = root AS verified
+FROM up WHERE level = (SELECT max(level) FROM top)""",
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query(
+    "op13_fill_in_middle",
+    r"""WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS parts,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), n AS (
+  SELECT *, len(parts) - CASE WHEN parts[-1] = '' THEN 1 ELSE 0 END AS n,
+    list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS hs
+  FROM d
+), f AS (
+  SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR hs[3] % 100 >= 100 THEN 'plain'
+    WHEN hs[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM n
+), c AS (
+  SELECT *, CASE WHEN a = 0 THEN 0 WHEN a = n THEN length(t)
+      ELSE length(array_to_string(parts[1:a], chr(10))) + 1 END AS x,
+    CASE WHEN b = 0 THEN 0 WHEN b = n THEN length(t)
+      ELSE length(array_to_string(parts[1:b], chr(10))) + 1 END AS y
+  FROM f
+), o AS (
+  SELECT *, t[:x] AS p, t[x + 1:y] AS m, t[y + 1:] AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM o""",
+)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents")).drop("output")
