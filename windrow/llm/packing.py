@@ -16,6 +16,7 @@ import re
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,13 @@ OUT_BYTES = 4 << 20
 CALL_BYTES = 1 << 20
 SEQUENCE_SHIFT = 40
 
-# Byte-level splitting never has white space behind another character in one word, so a text
-# may be cut before a blank or line end that follows a character that is no white space.
-SEGMENT = re.compile(r"\s*\S+(?:(?![ \t\r\n])\s+\S*)*|\s+")
-MEMO_SEGMENTS = 400_000
+# Byte-level splitting never has white space behind another character in one word, nor letters
+# before a stop.  So a text may be cut before a blank or line end that follows a character that
+# is no white space, and between a letter (Latin ones are enough) and a stop.
+SEGMENT = re.compile(
+    r"\s*+[A-Za-zÀ-ÖØ-öø-ɏ]++(?=[.,;:!?])|\s*+\S++(?:(?![ \t\r\n])\s++\S*+)*+|\s+"
+)
+MEMO_SEGMENTS = 800_000
 MEMO_CHARS = 32
 
 
@@ -58,7 +62,7 @@ class SegmentEncoder:
             and not words.get("add_prefix_space")
             and words.get("use_regex", True)
             and not any(
-                t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])
+                t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"[\s.,;:!?]", t["content"])
                 for t in told["added_tokens"]
             )
         )
@@ -67,22 +71,29 @@ class SegmentEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [SEGMENT.findall(t) for t in texts] if self.safe else [[t] for t in texts]
         memo, new = self.memo, set()
-        for segments in cut:
-            new.update(segments)
-        new = list(new.difference(memo))
+        met = [list(map(memo.get, segments)) for segments in cut]
+        for segments, known in zip(cut, met):
+            if None in known:
+                new.update([s for s, ids in zip(segments, known) if ids is None])
+        new = list(new)
         lo = held = 0
         for i, segment in enumerate(new, 1):
             held += 4 * len(segment)
             if held >= CALL_BYTES or i == len(new):
                 found = self.library.encode_batch_fast(new[lo:i], add_special_tokens=False)
                 ids = [e.ids for e in found]
-                flat = np.fromiter((x for one in ids for x in one), "<u4").tobytes()
+                flat = np.array(list(chain.from_iterable(ids)), "<u4").tobytes()
                 at = 0
                 for one, key in zip(ids, new[lo:i]):
                     memo[key] = flat[at : at + 4 * len(one)]
                     at += 4 * len(one)
                 lo, held = i, 0
-        out = [b"".join(map(memo.__getitem__, segments)) for segments in cut]
+        out = [
+            b"".join([memo[s] if ids is None else ids for s, ids in zip(segments, known)])
+            if None in known
+            else b"".join(known)
+            for segments, known in zip(cut, met)
+        ]
         if len(memo) > MEMO_SEGMENTS:
             memo.clear()
         else:
