@@ -117,20 +117,20 @@ def table_of(spark: SparkSession, rows: DataFrame, label: str) -> tuple[str, str
     return name, location
 
 
-def stored(spark: SparkSession, name: str, location: str) -> DataFrame:
-    """What the table's files hold; only the catalog entry is dropped."""
-    schema = spark.table(name).schema
+def stored(spark: SparkSession, name: str) -> DataFrame:
+    """What the table holds, as its catalog entry is dropped."""
+    rows = stage(spark.table(name).select("row_ord", *v.COLUMNS), "stored")
     spark.sql(f"DROP TABLE {name}")
-    return spark.read.schema(schema).parquet(location).select("row_ord", *v.COLUMNS)
+    return rows
 
 
 @query("q21_replace_in_table", v.VIEWS + SURVIVORS.format(out=OUT, inc="inc"))
 def q21_table(spark, sf_dir):
     """The same through the partitioned table: only the partitions concerned are written."""
-    name, location = table_of(spark, v.t0(spark, sf_dir), "q21")
+    name, _ = table_of(spark, v.t0(spark, sf_dir), "q21")
     rows = stage(incoming(spark, sf_dir), "q21-incoming")
     replace_in_table(spark, name, rows, v.middle_weeks(spark), 2, v.weekly())
-    return stored(spark, name, location)
+    return stored(spark, name)
 
 
 @query(
@@ -332,11 +332,11 @@ def q26(spark, sf_dir):
 )
 def q26_table(spark, sf_dir):
     """The table after the append, with the lookup pruned to the file's days."""
-    name, location = table_of(spark, v.t0(spark, sf_dir), "q26")
+    name, _ = table_of(spark, v.t0(spark, sf_dir), "q26")
     typed = file_rows(spark, sf_dir)
     unseen = rows_to_append(typed, within_span(spark.table(name), typed, "event_date"))
     append_rows(spark, name, stage(at_table_scale(unseen), "q26-unseen"), 2)
-    return stored(spark, name, location)
+    return stored(spark, name)
 
 
 @query(

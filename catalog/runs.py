@@ -177,6 +177,6 @@ def q54(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(folder)
     )
-    name, location = table_of(spark, v.t0(spark, sf_dir), "q54")
+    name, _ = table_of(spark, v.t0(spark, sf_dir), "q54")
     append_run.carry_out(append_run.plan_append(spark, folder, name), name, 2)
-    return stored(spark, name, location).drop("row_ord")
+    return stored(spark, name).drop("row_ord")

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from dataclasses import replace
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import event
 from windrow.operators.dedup import rewrite
 from windrow.operators.work_items import work_items
 from windrow.plans.append_run import carry_out, plan_append
 from windrow.plans.rewrite_run import review, rewrite_table
+from windrow.sinks import table as table_sink
 from windrow.sinks.table import (
     append_rows,
     create_table,
@@ -273,9 +276,12 @@ def test_collated_rewrite_is_verified(spark, name):
     assert spark.table(name).count() == 1
 
 
-@pytest.mark.parametrize("step", ["_empty_partitions", "_overwrite_partitions", "after"])
-def test_a_replace_that_died_is_repaired_by_running_it_again(spark, name, monkeypatch, step):
-    """Owned, emptied and foreign days, stopped before or after each step."""
+STEPS = ["write", "list", "catalog", "partition", "delete", "after"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_replace_that_died_left_the_old_or_the_new_rows(spark, name, monkeypatch, step):
+    """Owned, emptied and foreign days, stopped at each step; the next run finishes or redoes it."""
     from windrow.sinks import table as sink
 
     def before(target):
@@ -283,26 +289,89 @@ def test_a_replace_that_died_is_repaired_by_running_it_again(spark, name, monkey
         old = [event(event_time=at(d), device_id=f"old {d}") for d in (1, 2, 3, 9)]
         append_rows(spark, target, rows_frame(spark, *old), 1)
 
-    def load(target):
+    def load(target, seq=7):
         rows = [event(event_time=at(1), device_id="new"), event(event_time=at(9), device_id="foreign")]
         items = work_items(spark, ["app1"], at(1).date(), at(3).date(), attribution_types=["non_organic"])
-        return replace_in_table(spark, target, rows_frame(spark, *rows, seq=0), items, 7)
+        return replace_in_table(spark, target, rows_frame(spark, *rows, seq=0), items, seq)
+
+    def state(target):
+        rows = spark.table(target).collect()
+        return sorted((r.device_id, str(r.event_time), r.load_seq) for r in rows)
+
+    def stop(*_, **__):
+        raise OSError("lost")
 
     clean = f"{name}_clean"
     before(clean)
+    old = state(clean)
     load(clean)
+    new = state(clean)
+    assert [d for d, *_ in new] == ["foreign", "new", "old 9"]
     before(name)
     with monkeypatch.context() as patch:
-        if step != "after":
-            def stop(*_):
-                raise OSError("lost")
-
-            patch.setattr(sink, step, stop)
+        if step == "write":
+            patch.setattr(sink, "folder_of", stop)
+        elif step == "list":  # the list is there, but its job was not committed
+            patch.setattr(sink, "_exists", stop)
+        elif step == "catalog":
+            patch.setattr(sink, "_tell_catalog", stop)
+        elif step == "partition":  # one partition has moved, the others have not
+            patch.setattr(sink, "_tell_catalog", lambda s, n, c: tell(s, n, c[:1]) or stop())
+        elif step == "delete":
+            patch.setattr(sink, "delete_folders", stop)
+        tell = sink._tell_catalog if step not in ("catalog", "partition") else REAL_TELL
+        if step == "after":
+            load(name)
+        else:
             with pytest.raises(OSError):
                 load(name)
-        else:
-            load(name)
+    left = state(name)
+    if step in ("write", "list", "catalog"):
+        assert left == old
+    elif step == "partition":
+        days = {t[:10] for _, t, _ in left}
+        for day in ("2020-01-01", "2020-01-02", "2020-01-03", "2020-01-09"):
+            of = lambda rows, d=day: [r for r in rows if r[1].startswith(d)]
+            assert of(left) in (of(old), of(new)), days
+    else:
+        assert left == new
     load(name)
-    state = lambda t: sorted((r.device_id, str(r.event_time), r.load_seq) for r in spark.table(t).collect())
-    assert state(name) == state(clean)
-    assert [d for d, *_ in state(name)] == ["foreign", "new", "old 9"]
+    assert state(name) == new
+    home = table_location(spark, name).removeprefix("file:")
+    assert not [f for f in os.listdir(home) if f.startswith("_switch")]
+
+
+REAL_TELL = table_sink._tell_catalog
+
+
+def test_rows_without_a_load_stay_on_a_foreign_day(spark, name):
+    """Rows put in without ordinals have a NULL load; a load of their day keeps them."""
+    create_table(spark, name)
+    plain = rows_frame(spark, event(event_time=at(6), device_id="plain"))
+    append_rows(spark, name, plain.withColumns({c: F.lit(None) for c in ("load_seq", "window_seq")}), None)
+    assert spark.table(name).first().load_seq is None
+    rows = rows_frame(spark, {**event(event_time=at(6), device_id="stray"), "seq": 0}, seq=0)
+    items = work_items(spark, ["app1"], at(1).date(), at(1).date(), attribution_types=["non_organic"])
+    for _ in range(2):
+        replace_in_table(spark, name, rows, items, 7)
+        assert sorted(r.device_id for r in spark.table(name).collect()) == ["plain", "stray"]
+
+
+def test_unchanged_days_are_not_written(spark, name):
+    create_table(spark, name)
+    items = work_items(spark, ["app1"], at(1).date(), at(3).date(), attribution_types=["non_organic"])
+    rows = [event(event_time=at(d), device_id=f"{d} {i}") for d in (1, 2, 3) for i in (0, 1)]
+    load = lambda seq, *some: replace_in_table(
+        spark, name, rows_frame(spark, *some, seq=0), items, seq, skip_unchanged=True
+    ).first()
+    files = lambda: set(spark.table(name).inputFiles())
+    assert load(1, *rows).unchanged_days == 0
+    first = files()
+    again = load(2, *reversed(rows))
+    assert (again.unchanged_days, again.deleted, again.inserted) == (3, 6, 6) and files() == first
+    changed = [*rows[:2], {**rows[2], "channel": "other"}, *rows[3:], rows[-1]]
+    assert load(3, *changed).unchanged_days == 1  # another value, and one more of an equal row
+    assert len(files() & first) == len([f for f in first if "event_date=2020-01-01" in f])
+    assert {(str(r.event_date), r.load_seq) for r in spark.table(name).collect()} == {
+        ("2020-01-01", 1), ("2020-01-02", 3), ("2020-01-03", 3),
+    }

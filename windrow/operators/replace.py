@@ -24,13 +24,16 @@ BEFORE_RUN = -1
 OWNER = ("app_id", "attribution_type", "day")
 
 
-def with_deleter(rows: DataFrame, items: WorkItems, loaded_by: Column, window_column: str) -> DataFrame:
+def with_deleter(
+    rows: DataFrame, items: WorkItems, loaded_by: Column, window_column: str, keep_day: bool = False
+) -> DataFrame:
     """Add ``deleted_by``: the window that deletes the row, or NULL if it stays."""
     day = F.col(window_column).cast("date")
     tagged = rows.withColumn("_seq", loaded_by).withColumn("day", day)
     joined = join_small(tagged, window_days(items), OWNER, "left", items.days)
     later = F.filter("seqs", lambda s: s > F.col("_seq"))
-    return joined.withColumn("deleted_by", F.get(later, 0)).drop("seqs", "day", "_seq")
+    out = joined.withColumn("deleted_by", F.get(later, 0)).drop("seqs", "_seq")
+    return out if keep_day else out.drop("day")
 
 
 def tag_windows(incoming: DataFrame, items: WorkItems) -> DataFrame:
@@ -75,32 +78,35 @@ def replace_metrics(
     Wiped: rows were deleted and nothing came back, which is legitimate but must
     be seen.
     """
-    narrow = ["app_id", "attribution_type", spec.window_column]
-    kept = with_deleter(existing.select(*narrow), items, F.lit(BEFORE_RUN), spec.window_column)
-    added = with_deleter(
-        incoming.select(*narrow, "seq"), items, F.col("seq"), spec.window_column
-    )
-    deleted = (
-        kept.select("deleted_by")
-        .unionByName(added.select("deleted_by"))
-        .filter(F.col("deleted_by").isNotNull())
-        .groupBy(F.col("deleted_by").alias("seq"))
-        .agg(F.count("*").alias("deleted"))
+    day = F.col(spec.window_column).cast("date").alias("day")
+    parts = ("app_id", "attribution_type")
+    rows = existing.select(*parts, day, F.lit(BEFORE_RUN).cast("long").alias("seq")).unionByName(
+        incoming.select(*parts, day, F.col("seq").cast("long").alias("seq"))
     )
-    inserted = incoming.groupBy("seq").agg(F.count("*").alias("inserted"))
-    outside = out_of_window(incoming.select(*narrow, "seq"), items, spec)
-    outside = outside.groupBy("seq").agg(F.count("*").alias("out_of_window"))
+    # One pass over table and reports; from here on it is a row per day and window.
+    daily = rows.groupBy(*parts, "day", "seq").agg(F.count("*").alias("n"))
+    daily = with_deleter(daily, items, F.col("seq"), "day", keep_day=True)
     zero = F.lit(0).cast("long")
-    joined = (
-        items.df.select("seq", *WINDOW_COLS)
-        .join(deleted, "seq", "left")
-        .join(inserted, "seq", "left")
-        .join(outside, "seq", "left")
+    told = daily.select(
+        "day",
+        F.explode(
+            F.array(
+                F.struct(F.col("deleted_by").alias("seq"), F.col("n").alias("deleted"), zero.alias("inserted")),
+                F.struct(F.col("seq").alias("seq"), zero.alias("deleted"), F.col("n").alias("inserted")),
+            )
+        ).alias("t"),
+    ).select("day", "t.*")
+    counts = told.groupBy("seq", "day").agg(F.sum("deleted").alias("deleted"), F.sum("inserted").alias("inserted"))
+    windows = items.df.select("seq", *WINDOW_COLS)
+    outside = (F.col("day") < F.col("start_date")) | (F.col("day") > F.col("end_date"))
+    sums = {
+        "deleted": F.col("deleted"),
+        "inserted": F.col("inserted"),
+        "out_of_window": F.when(outside, F.col("inserted")),
+    }
+    out = (
+        windows.join(counts, "seq", "left")
+        .groupBy("seq", *WINDOW_COLS)
+        .agg(*[F.coalesce(F.sum(c), zero).alias(k) for k, c in sums.items()])
     )
-    counts = joined.select(
-        "seq",
-        *WINDOW_COLS,
-        *[F.coalesce(c, zero).alias(c) for c in ("deleted", "inserted", "out_of_window")],
-    )
-    return counts.withColumn("wiped", (F.col("deleted") > 0) & (F.col("inserted") == 0))
-
+    return out.withColumn("wiped", (F.col("deleted") > 0) & (F.col("inserted") == 0))

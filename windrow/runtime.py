@@ -7,7 +7,9 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import cache
 from urllib.parse import urlparse
 
@@ -94,18 +96,77 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/windrow/{label}-{uuid.uuid4().hex}"
 
 
+# Spark deletes the shuffle files of a query when it ends, not when the driver happens to
+# collect its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Folders staged in the blocks of ``staging`` that are open, innermost last.
+_OPEN: list[list[str]] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage durably, so a lost executor does not rerun the scan, and fixes
-    the values of non-deterministic columns for every later reader.
+    the values of non-deterministic columns for every later reader.  Inside of a ``staging``
+    block the data goes with the block.
     """
+    return _staged(df, label, _OPEN[-1] if _OPEN else None)
+
+
+def _staged(df: DataFrame, label: str, scope: list[str] | None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    if scope is not None:
+        scope.append(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A block after which all data staged in it is deleted, also if it fails.
+
+    It yields the function that stages what outlives the block; that belongs to the block
+    around it, if there is one.
+    """
+    outer = _OPEN[-1] if _OPEN else None
+    own: list[str] = []
+    _OPEN.append(own)
+    try:
+        yield lambda df, label: _staged(df, label, outer)
+    finally:
+        _OPEN.pop()
+        delete_folders(spark, own)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what a staged frame reads, once nothing else will read it."""
+    folders = {os.path.dirname(f) for f in df.inputFiles()}
+    home = f"{urlparse(shared_dir(df.sparkSession)).path}/windrow/"
+    delete_folders(df.sparkSession, [f for f in folders if urlparse(f).path.startswith(home)])
+
+
+def delete_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders of any file system, many at once; absent ones are no error."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+
+    def delete(folder: str) -> None:
+        path = hadoop.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+    if len(folders) == 1:
+        delete(folders[0])
+    elif folders:
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(delete, folders))
+
+
 def within_broadcast(rows_bound: int | None) -> bool:
     return rows_bound is not None and rows_bound <= MAX_BROADCAST_ROWS
 
