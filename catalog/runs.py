@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import views as v
-from catalog.loads import APPEND, stored, table_of
+from catalog.dedups import KEY, LATEST, ranked
+from catalog.loads import APPEND, OUT, SURVIVORS, incoming, stored, table_of
 from catalog.registry import query
 from catalog.reports import GOOD, NAMES, RESULTS, SOURCE, WINDOW, land
 from windrow.operators.work_items import WorkItems, work_items
 from windrow.plans import append_run
 from windrow.plans.load_run import carry_out, plan_load
-from windrow.plans.rewrite_run import rewrite_table
-from windrow.runtime import scratch_path
-from windrow.sinks.table import create_table
+from windrow.plans.journal import journal, record_run, stability
+from windrow.plans.rewrite_run import rewrite_repeats, rewrite_table
+from windrow.runtime import scratch_path, stage
+from windrow.sinks.table import append_rows, create_table, replace_in_table, table_status
 from windrow.spec import EVENT_COLUMNS, WINDOW_COLS
 
 LAST_DAY = v.dt.date(2024, 2, 4)
@@ -180,3 +182,100 @@ def q54(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, _ = table_of(spark, v.t0(spark, sf_dir), "q54")
     append_run.carry_out(append_run.plan_append(spark, folder, name), name, 2)
     return stored(spark, name).drop("row_ord")
+
+
+@query("q15_rewrite_repeats", v.VIEWS + ranked("e2", KEY, LATEST, OUT))
+def q15_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per key by writing only the partitions that lose a row."""
+    name, _ = table_of(spark, v.e2(spark, sf_dir), "q15-repeats")
+    rewrite_repeats(spark, name, f"{name}_bak")
+    spark.sql(f"DROP TABLE IF EXISTS {name}_bak")
+    return stored(spark, name)
+
+
+@query("q21_replace_beside_rows_without_load", v.VIEWS + SURVIVORS.format(out=OUT, inc="inc"))
+def q21_without_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that were put in without ordinals stay on the days that reports reach over to."""
+    name, _ = table_of(spark, v.t0(spark, sf_dir).limit(0), "q21-plain")
+    plain = {c: F.lit(None).cast("long") for c in ("load_seq", "window_seq")}
+    append_rows(spark, name, v.t0(spark, sf_dir).withColumns(plain), None)
+    rows = stage(incoming(spark, sf_dir), "q21-incoming")
+    replace_in_table(spark, name, rows, v.middle_weeks(spark), 2, v.weekly())
+    return stored(spark, name)
+
+
+INSIDE = """, own AS (
+  SELECT * FROM inc WHERE report_start = CAST('2024-01-01' AS DATE)
+    + 7 * CAST((CAST(event_time AS DATE) - DATE '2024-01-01') // 7 AS INTEGER)
+) """
+
+
+def inside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = incoming(spark, sf_dir)
+    return rows.filter(F.col("event_time").cast("date").between(F.col("start_date"), F.col("end_date")))
+
+
+@query(
+    "q23_second_lookback",
+    v.VIEWS
+    + INSIDE
+    + f"""SELECT i.seq, {', '.join(f'i.{c}' for c in WINDOW_COLS)}, count(own.seq) AS deleted,
+  count(own.seq) AS inserted, count(DISTINCT CAST(own.event_time AS DATE))
+    - CAST(max(CASE WHEN own.row_ord % 97 = 0 AND i.seq = 3 THEN 1 ELSE 0 END) AS BIGINT)
+    AS unchanged_days
+FROM items i LEFT JOIN own ON own.seq = i.seq GROUP BY ALL""",
+)
+def q23_second_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows again, in another order and with one day changed: the others keep
+    their files."""
+    name, _ = table_of(spark, v.t0(spark, sf_dir), "q23-lookback")
+    items = v.middle_weeks(spark)
+    rows = stage(inside(spark, sf_dir), "q23-incoming")
+    replace_in_table(spark, name, rows, items, 2, v.weekly())
+    odd = rows.filter((F.col("seq") == 3) & (F.col("row_ord") % 97 == 0))
+    day = odd.select(F.min(F.col("event_time").cast("date"))).scalar()
+    hit = (F.col("seq") == 3) & (F.col("event_time").cast("date") == day)
+    later = rows.withColumn("channel", F.when(hit, F.lit("corrected")).otherwise(F.col("channel")))
+    later = later.orderBy(F.desc("row_ord")).withColumn("row_ord", -F.col("row_ord"))
+    metrics = replace_in_table(spark, name, later, items, 3, v.weekly(), skip_unchanged=True)
+    spark.sql(f"DROP TABLE {name}")
+    return metrics.select("seq", *WINDOW_COLS, "deleted", "inserted", "unchanged_days")
+
+
+@query(
+    "q41_run_journal",
+    v.VIEWS
+    + f"""SELECT {', '.join(f'i.{c}' for c in WINDOW_COLS)},
+  count(inc.seq) FILTER (inc.row_ord % 7 <> 0) AS rows_before, count(inc.seq) FILTER (keep) AS rows_after,
+  CAST(coalesce(sum(inc.event_revenue) FILTER (inc.row_ord % 7 <> 0), 0) AS DECIMAL(38,4)) AS revenue_before,
+  CAST(coalesce(sum(inc.event_revenue) FILTER (keep), 0) AS DECIMAL(38,4)) AS revenue_after,
+  count(inc.seq) FILTER (keep) < count(inc.seq) FILTER (inc.row_ord % 7 <> 0) AS lost,
+  NOT coalesce(bool_or((inc.row_ord % 7 = 0) = keep), false) AS same
+FROM items i LEFT JOIN (SELECT *, seq <> 5 OR row_ord % 3 = 0 AS keep FROM inc) inc ON inc.seq = i.seq
+GROUP BY ALL""",
+)
+def q41_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the same windows, told from the journal: late events came, one lost rows."""
+    name, _ = table_of(spark, v.t0(spark, sf_dir), "q41-journal")
+    items, rows = v.middle_weeks(spark), stage(incoming(spark, sf_dir), "q41-incoming")
+    later = rows.filter((F.col("seq") != 5) | (F.col("row_ord") % 3 == 0))
+    for load_seq, some in ((2, rows.filter("row_ord % 7 <> 0")), (3, later)):
+        replace_in_table(spark, name, some, items, load_seq, v.weekly())
+        record_run(spark, name, some, items, load_seq)
+    told = stage(stability(journal(spark, name), 2, 3), "q41-told")
+    spark.sql(f"DROP TABLE {name}")
+    return told
+
+
+@query(
+    "q55_table_status",
+    v.VIEWS + "SELECT false AS table_exists, NULL::BIGINT AS row_count UNION ALL SELECT true, count(*) FROM t0",
+)
+def q55(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run is told of its target before and after it is there."""
+    name, _ = table_of(spark, v.t0(spark, sf_dir), "q55")
+    told = [table_status(spark, f"{name}_absent"), table_status(spark, name)]
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(
+        [(t.table_exists, t.row_count) for t in told], "table_exists boolean, row_count long"
+    )

@@ -7,6 +7,7 @@ from dataclasses import replace
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import BASE_ROW, csv_text, put_report
 from windrow.operators.work_items import work_items
@@ -264,8 +265,8 @@ def test_other_windows_and_other_endings_are_not_opened(spark, tmp_path, monkeyp
     opened = []
     text_files = landing._text_files
 
-    def watched(session, folders):
-        df = text_files(session, folders)
+    def watched(session, folders, *names):
+        df = text_files(session, folders, *names)
         opened.extend(df.inputFiles())
         return df
 
@@ -274,10 +275,40 @@ def test_other_windows_and_other_endings_are_not_opened(spark, tmp_path, monkeyp
     put_report(tmp_path, "a", "non_organic", DAY, DAY, "junk", "report.csv.bak")
     put_report(tmp_path, "a", "non_organic", DAY, DAY, "junk", "report.csv._COPYING_")
     put_report(tmp_path, "a", "non_organic", "2023-03-03", "2023-03-03", "old error")
+    put_report(tmp_path, "other app", "non_organic", DAY, DAY, csv_text({}))
     assert by_app(plan_of(spark, tmp_path, ["a"]))["a"].loaded_rows == 1
     assert opened and all(f.endswith(f"end_date={DAY}/report.csv") for f in opened)
 
 
+def test_any_number_of_header_orders_is_one_scan(spark, tmp_path):
+    """Files of one width are one scan, however their columns are ordered."""
+    headers = list(BASE_ROW)
+    for n in range(300):
+        turned = headers[n % len(headers):] + headers[: n % len(headers)]
+        swapped = [turned[0], *reversed(turned[1:])] if n % 2 else turned
+        body = csv_text({"Device ID": f"device {n}", "Channel": f"channel {n}"}, headers=swapped)
+        put_report(tmp_path, f"app{n % 3}", "non_organic", DAY, DAY, body, f"{n:03}.csv")
+    put_report(tmp_path, "app3", "non_organic", DAY, DAY, csv_text({"More": "x"}, headers=[*headers, "More"]))
+    raw = scan_landing(spark, str(tmp_path)).raw
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2  # one per width
+    got = {r["Device ID"]: (r["Channel"], r["Campaign"], r.corrupt) for r in raw.collect()}
+    campaign = BASE_ROW["Campaign"]
+    assert got == {f"device {n}": (f"channel {n}", campaign, False) for n in range(300)} | {
+        BASE_ROW["Device ID"]: (BASE_ROW["Channel"], campaign, False)
+    }
+
+
+@pytest.mark.parametrize("app", ["it's/odd=50% +x", "a,b{c}", "[x]*?^", "back\\slash"])
+def test_odd_app_names_are_found_by_pattern(spark, tmp_path, app):
+    rows = spark.createDataFrame([(",".join(BASE_ROW),), (csv_text({}).splitlines()[1],)], "line string")
+    rows = rows.coalesce(1)
+    tags = {"app_id": F.lit(app), "attribution_type": F.lit("non_organic"),
+            "start_date": F.lit(DAY), "end_date": F.lit(DAY)}
+    rows.withColumns(tags).write.partitionBy(*tags).option("sep", "\x01").option("quote", "").csv(f"{tmp_path}/z")
+    assert by_app(plan_of(spark, tmp_path / "z", [app, "z"]))[app].loaded_rows == 1
+
+
 def test_rewrite_keeps_the_twin_of_the_later_window(spark, tmp_path, name):
     """The report order starts anew in every window, so the window comes first."""
     from windrow.plans.rewrite_run import rewrite_table

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import views as v
+from catalog.loads import file_rows
 from windrow.operators.audit import conflict_audit, dedup_impact, grouped_baseline
 from windrow.operators.dedup import keep_latest
-from windrow.operators.replace import replace_windows, tag_windows
+from windrow.operators.append import NATURAL_KEY, known_keys
+from windrow.operators.replace import replace_metrics, replace_windows, tag_windows
 from windrow.runtime import MAX_BROADCAST_ROWS, hot_keys, join_small
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -80,3 +82,26 @@ def test_hot_keys_stay_within_the_broadcast_bound(spark):
 def test_audits_do_not_expand_rows(spark):
     for audit in (dedup_impact, conflict_audit):
         assert "Expand" not in plan(audit(v.e(spark, SF_DIR)))
+
+
+def test_table_keys_are_filtered_before_they_are_shuffled(spark):
+    """Of a table's keys those the file may have are shuffled, and few others."""
+    rows = file_rows(spark, SF_DIR)
+    keys = rows.limit(50).select(*NATURAL_KEY).distinct()
+    n = keys.count()
+    table = v.e(spark, SF_DIR).crossJoin(spark.range(40).toDF("copy"))
+    table = table.withColumn("device_id", F.concat("device_id", F.lit("-"), "copy")).drop("copy")
+    table = table.unionByName(keys.join(v.e(spark, SF_DIR).drop(*NATURAL_KEY).limit(1)))
+    known = known_keys(table, keys, n)
+    text = plan(known)
+    assert text.index("BroadcastHashJoin") < text.index("FileScan parquet")
+    got = known.collect()
+    assert n <= len(got) <= n + 0.03 * table.count()
+    assert {tuple(r) for r in keys.collect()} <= {tuple(r) for r in got}
+
+
+def test_replace_counts_scan_table_and_reports_once(spark):
+    items = v.middle_weeks(spark)
+    rows = tag_windows(v.delivered(spark, SF_DIR), items)
+    text = plan(replace_metrics(v.t0(spark, SF_DIR), rows, items, v.weekly()))
+    assert text.count("FileScan parquet") == 2

@@ -14,7 +14,7 @@ from tests.conftest import event
 from windrow.operators.dedup import rewrite
 from windrow.operators.work_items import work_items
 from windrow.plans.append_run import carry_out, plan_append
-from windrow.plans.rewrite_run import review, rewrite_table
+from windrow.plans.rewrite_run import review, rewrite_repeats, rewrite_table
 from windrow.sinks import table as table_sink
 from windrow.sinks.table import (
     append_rows,
@@ -375,3 +375,45 @@ def test_unchanged_days_are_not_written(spark, name):
     assert {(str(r.event_date), r.load_seq) for r in spark.table(name).collect()} == {
         ("2020-01-01", 1), ("2020-01-02", 3), ("2020-01-03", 3),
     }
+
+
+@pytest.mark.parametrize("collation", [None, "UTF8_LCASE"])
+def test_a_rewrite_writes_only_what_repeats(spark, name, collation):
+    """Key 4 repeats over two types; of its partitions only the one that loses a row is written."""
+    create_table(spark, name)
+    rows = [event(event_time=at(d), device_id=f"device {d}") for d in range(1, 9)]
+    rows += [event(event_time=at(4), device_id="device 4", attribution_type="retargeting"),
+             event(event_time=at(4), device_id="other", attribution_type="retargeting"),
+             event(event_time=at(5), device_id="Device 5" if collation else "device 5", app_id="app2")]
+    append_rows(spark, name, rows_frame(spark, *rows), 1)
+    files = lambda: set(spark.table(name).inputFiles())
+    first = files()
+    told = rewrite_repeats(spark, name, f"{name}_bak", collation=collation).first()
+    assert (told.repeated_keys, told.dropped_rows) == (2, 2)
+    assert (told.partitions_written, told.partitions_emptied) == (0, 2)
+    assert files() < first  # nothing had to be written: each loser was alone in its partition
+    kept = {(r.device_id, r.app_id, r.attribution_type) for r in spark.table(name).collect()}
+    dropped = spark.table(f"{name}_bak").collect()
+    assert len(kept) == 9 and len(dropped) == 2
+    again = rewrite_repeats(spark, name, f"{name}_bak", collation=collation).first()
+    assert tuple(again) == (0, 0, 0, 0)
+    append_rows(spark, name, spark.table(f"{name}_bak"), None)
+    assert spark.table(name).count() == 11
+
+
+def test_a_rewrite_of_one_key_keeps_other_partitions(spark, name, monkeypatch):
+    create_table(spark, name)
+    rows = [event(event_time=at(d), device_id=f"device {i}") for d in range(1, 9) for i in (0, 1)]
+    append_rows(spark, name, rows_frame(spark, *rows, event(event_time=at(3), device_id="device 1")), 1)
+    first = set(spark.table(name).inputFiles())
+    with monkeypatch.context() as patch:  # a miscount leaves all as it was
+        patch.setattr("windrow.plans.rewrite_run.first_of", lambda df, *_: df.limit(0))
+        with pytest.raises(RuntimeError, match="2 rows go, not 1"):
+            rewrite_repeats(spark, name, f"{name}_bad")
+        assert set(spark.table(name).inputFiles()) == first
+    told = rewrite_repeats(spark, name, f"{name}_bak").first()
+    assert (told.dropped_rows, told.partitions_written) == (1, 1)
+    now = set(spark.table(name).inputFiles())
+    of_day = {f for f in first if "event_date=2020-01-03" in f}
+    assert of_day and first - now == of_day
+    assert spark.table(name).count() == 16

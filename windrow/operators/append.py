@@ -5,17 +5,17 @@ attribution type and did not appear earlier in the file.  The rule on repeats is
 the opposite of report deduplication: here the first row wins.
 
 Skew: the file is reduced to one row per key first, in every map task before the
-shuffle, and so are the table's keys, so a hot key meets the join as one row.
+shuffle, and so are the table's keys, so a hot key meets the join as one row.  A Bloom filter of
+the file's keys drops nearly all others where the table is scanned.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.operators.dedup import first_of
 from windrow.runtime import counted_bound, join_small, stage
 from windrow.spec import EVENTS, TABLE_COLUMNS
 
@@ -60,25 +60,82 @@ def of_the_same_days(existing: DataFrame, rows: DataFrame, partitions: Sequence[
     return join_small(existing, days, partitions, "left_semi", counted_bound(days))
 
 
+# A filter has a word of 64 bits for every four keys, up to so many words: some 30 MB to send.
+MAX_FILTER_WORDS = 1 << 20
+
+
+def filter_words(n_keys: int) -> int:
+    return min(MAX_FILTER_WORDS, 1 << max(0, (n_keys // 4).bit_length()))
+
+
+def key_filter(keys: DataFrame, n_keys: int) -> DataFrame:
+    """A Bloom filter of natural keys as rows ``(word, bits)``: three bits in one word a key."""
+    return (
+        _hashed(keys, filter_words(n_keys))
+        .groupBy("_word")
+        .agg(F.bit_or("_bits").alias("_filter"))
+    )
+
+
+def _hashed(rows: DataFrame, words: int) -> DataFrame:
+    more = F.xxhash64(F.lit(1), *NATURAL_KEY)
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), _six_bits(more, at)) for at in (0, 6, 12)]
+    return rows.withColumns(
+        {
+            "_word": F.pmod(F.xxhash64(*NATURAL_KEY), F.lit(words)),
+            "_bits": bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]),
+        }
+    )
+
+
+def _six_bits(value: Column, at: int) -> Column:
+    return F.shiftright(value, at).bitwiseAND(F.lit(63)).cast("int")
+
+
+def known_keys(existing: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
+    """Distinct keys of the table that the file may have: all that it has, and few others.
+
+    The filter is looked up where the table is scanned, so what is shuffled follows the size
+    of the file, not of the table.
+    """
+    words = filter_words(n_keys)
+    probed = _hashed(existing.select(*NATURAL_KEY), words)
+    met = probed.join(F.broadcast(key_filter(keys, n_keys)), "_word")
+    met = met.filter(F.col("_filter").bitwiseAND(F.col("_bits")) == F.col("_bits"))
+    return met.select(*NATURAL_KEY).distinct()
+
+
+def marked_keys(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """One row per natural key of the file: ``copies``, the first one's ``row_ord``, ``known``."""
+    per_key = rows.groupBy(*NATURAL_KEY).agg(
+        F.count("*").alias("copies"), F.min("row_ord").alias("row_ord")
+    )
+    per_key = stage(per_key, "file-keys")
+    known = known_keys(existing, per_key, per_key.count()).withColumn("known", F.lit(True))
+    marked = per_key.join(known, list(NATURAL_KEY), "left")
+    return marked.withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def unseen_rows(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """First row per key that the table does not have yet; rows are told by their place."""
+    first = marked.filter(~F.col("known")).select("row_ord")
+    return rows.join(first, "row_ord", "left_semi").select(*TABLE_COLUMNS, "row_ord")
+
+
 def rows_to_append(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """First row per natural key that the table does not have yet."""
-    first = first_of(rows, NATURAL_KEY, [F.col("row_ord").asc()])
-    # Combined before the shuffle: a key that fills the table meets the join as one row.
-    known = existing.select(*NATURAL_KEY).distinct()
-    return first.join(known, list(NATURAL_KEY), "left_anti").select(*TABLE_COLUMNS, "row_ord")
+    return unseen_rows(rows, marked_keys(rows, existing))
 
 
 def append_plan(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """What an append would do, per (app, type).
+    """What an append would do, per (app, type)."""
+    return append_counts(marked_keys(rows, existing))
+
 
-    Being in the table is tested before being a repeat, so every copy of a known
+def append_counts(marked: DataFrame) -> DataFrame:
+    """Being in the table is tested before being a repeat, so every copy of a known
     key counts as ``already_in_table``.
     """
-    per_key = rows.groupBy(*NATURAL_KEY).agg(F.count("*").alias("copies"))
-    known = existing.select(*NATURAL_KEY).distinct().withColumn("known", F.lit(True))
-    marked = per_key.join(known, list(NATURAL_KEY), "left")
-    is_known = F.coalesce("known", F.lit(False))
-    zero = F.lit(0)
+    is_known, zero = F.col("known"), F.lit(0)
     return (
         marked.groupBy(*GROUP)
         .agg(

@@ -119,6 +119,19 @@ def rewrite(
     ``attribution_type`` to ``key`` to keep events present under both types.
     ``collation`` compares text keys the way a database column would.
     """
+    return first_of(table, *rewrite_order(table, key, tie, rank, revenue, ordinals, collation))
+
+
+def rewrite_order(
+    table: DataFrame,
+    key: Sequence[str] = EVENTS.key,
+    tie: str = "last_loaded",
+    rank: str = EVENTS.rank_column,
+    revenue: str = "event_revenue",
+    ordinals: Sequence[str] = LOAD_ORDER,
+    collation: str | None = None,
+) -> tuple[list[Column], list[Column]]:
+    """What groups the rows of a rewrite, and the order in which the first one stays."""
     order = [F.col(rank).desc_nulls_last()]
     if tie == "last_loaded":
         order += [F.col(c).desc() for c in ordinals]
@@ -131,11 +144,13 @@ def rewrite(
         order += [F.col(c).asc_nulls_first() for c in key] if collation else []
     else:
         raise ValueError(f"unknown tie rule: {tie}")
-    texts = {name for name, kind in table.dtypes if kind == "string"}
-    group = [
-        F.collate(F.col(c), collation) if collation and c in texts else F.col(c) for c in key
-    ]
-    return first_of(table, group, order)
+    return [folded(table, c, collation) for c in key], order
+
+
+def folded(table: DataFrame, column: str, collation: str | None) -> Column:
+    """A key column as a rewrite compares it."""
+    text = dict(table.dtypes)[column] == "string"
+    return F.collate(F.col(column), collation) if collation and text else F.col(column)
 
 
 def incumbents(

@@ -191,9 +191,11 @@ def window_results(
 ) -> DataFrame:
     """One row per window: rows fetched (before filters), loaded (after dedup), error.
 
-    A failed window shows zero for both counts.
+    A failed window shows zero for both counts.  Where the run knows its day, ``before_floor``
+    warns of windows that start before the retention floor.
     """
     keys = list(WINDOW_COLS)
+    warned = [c for c in ("before_floor",) if c in items.df.columns]
     joined = (
         items.df.join(fetched.select(*keys, "fetched_rows"), keys, "left")
         .join(loaded.select(*keys, "loaded_rows"), keys, "left")
@@ -206,6 +208,7 @@ def window_results(
         F.when(ok, F.coalesce("fetched_rows", F.lit(0))).otherwise(0).alias("fetched_rows"),
         F.when(ok, F.coalesce("loaded_rows", F.lit(0))).otherwise(0).alias("loaded_rows"),
         "error",
+        *warned,
     )
 
 

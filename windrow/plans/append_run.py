@@ -7,7 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.operators.append import append_plan, of_the_same_days, rows_to_append, within_span
+from windrow.operators.append import (
+    append_counts,
+    marked_keys,
+    of_the_same_days,
+    unseen_rows,
+    within_span,
+)
 from windrow.operators.validate import at_table_scale, parse_stats, type_append_rows
 from windrow.runtime import stage
 from windrow.sinks.table import PARTITION_COLS, append_rows, next_load_seq, require_table
@@ -33,8 +39,10 @@ def plan_append(spark: SparkSession, path: str, table: str) -> AppendPlan:
         raise ValueError(f"{path}: {first.error}")
     existing = within_span(spark.table(table), typed, "event_date")
     existing = of_the_same_days(existing, typed, PARTITION_COLS)
-    rows = stage(at_table_scale(rows_to_append(typed, existing)), "to-insert")
-    return AppendPlan(stage(append_plan(typed, existing), "counts"), rows, parse_stats(typed))
+    # One look at the table: counts and rows both come from what it said of the file's keys.
+    marked = stage(marked_keys(typed, existing), "marked")
+    rows = stage(at_table_scale(unseen_rows(typed, marked)), "to-insert")
+    return AppendPlan(append_counts(marked), rows, parse_stats(typed))
 
 
 def carry_out(plan: AppendPlan, table: str, load_seq: int | None = None) -> int:

@@ -28,8 +28,9 @@ from windrow.operators.validate import (
     window_results,
 )
 from windrow.operators.work_items import WorkItems, work_items
+from windrow.plans.journal import record_run
 from windrow.runtime import stage
-from windrow.sinks.table import replace_in_table, require_table
+from windrow.sinks.table import next_load_seq, replace_in_table, require_table
 from windrow.sources.landing import LandingScan, scan_landing
 from windrow.spec import ATTRIBUTION_TYPES, EVENTS, ReportSpec, WINDOW_COLS
 
@@ -152,11 +153,17 @@ def plan_load(
 
 
 def carry_out(
-    plan: LoadPlan, table: str, spec: ReportSpec = EVENTS, load_seq: int | None = None
+    plan: LoadPlan,
+    table: str,
+    spec: ReportSpec = EVENTS,
+    load_seq: int | None = None,
+    skip_unchanged: bool = False,
 ) -> LoadPlan:
-    """Replace the plan's good windows in ``table``."""
+    """Replace the plan's good windows in ``table`` and enter the run in its journal."""
     spark = plan.rows.sparkSession
-    metrics = replace_in_table(spark, table, plan.rows, plan.good, load_seq, spec)
+    load_seq = next_load_seq() if load_seq is None else load_seq
+    metrics = replace_in_table(spark, table, plan.rows, plan.good, load_seq, spec, skip_unchanged)
+    record_run(spark, table, plan.rows, plan.good, load_seq)
     return replace(plan, metrics=metrics)
 
 
@@ -171,6 +178,7 @@ def run_window(
     dry_run: bool = False,
     spec: ReportSpec = EVENTS,
     attribution_types: Sequence[str] = ATTRIBUTION_TYPES,
+    skip_unchanged: bool = False,
     **options,
 ) -> LoadPlan:
     """Load [start, end] for every app and type; a dry run needs no table."""
@@ -178,7 +186,7 @@ def run_window(
         require_table(spark, table)
     items = work_items(spark, apps, start, end, spec, attribution_types, today)
     plan = plan_load(spark, root, items, spec=spec, **options)
-    return plan if dry_run else carry_out(plan, table, spec)
+    return plan if dry_run else carry_out(plan, table, spec, skip_unchanged=skip_unchanged)
 
 
 def run_backfill(

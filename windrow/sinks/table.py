@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from windrow.operators.replace import replace_metrics, with_deleter
 from windrow.operators.work_items import WorkItems, window_days
 from windrow.runtime import counted_bound, delete_folders, join_small, stage, staging
+from windrow.sources.landing import folder_of
 from windrow.spec import EVENTS, LOAD_ORDER, ReportSpec, TABLE_COLUMNS
 
 PARTITION_COLS = ("app_id", "attribution_type", "event_date")
@@ -192,32 +193,36 @@ CHANGES = (
 )
 
 
-def folder_of(file: Column) -> Column:
-    """The folder of a file of the scan, as it is named; the scan escapes it once more."""
-    folder = F.regexp_replace(file, "/[^/]*$", "")
-    return F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
-
-
 def switch_partitions(
-    spark: SparkSession, name: str, written: DataFrame, stale: DataFrame, load_seq: int
+    spark: SparkSession,
+    name: str,
+    written: DataFrame,
+    stale: DataFrame,
+    load_seq: int,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Put ``written`` in the place of its partitions and take those in ``stale`` away."""
+    """Put ``written`` in the place of its partitions and take those in ``stale`` away.
+
+    ``check`` gets the rows as they were written, before anything else knows of them; if it
+    raises, the table stays as it is.
+    """
     keys = list(PARTITION_COLS)
     home = table_location(spark, name)
     attempt = f"{load_seq}-{uuid.uuid4().hex[:12]}"
     load = f"{home}/{LOADS}-{attempt}"
     written.hint("rebalance", *keys).write.partitionBy(*keys).parquet(load)
     schema = spark.table(name).select(*written.columns).schema
-    places = (
-        spark.read.schema(schema)
-        .option("basePath", load)
-        .parquet(load)
-        .select(*keys, folder_of(F.col("_metadata.file_path")).alias("place"))
-        .distinct()
-    )
+    fresh = spark.read.schema(schema).option("basePath", load).parquet(load)
+    if check is not None:
+        try:
+            check(fresh)
+        except Exception:
+            delete_folders(spark, [load])
+            raise
+    places = fresh.select(*keys, folder_of("_metadata.file_path").alias("place")).distinct()
     places = places.unionByName(stale.select(*keys).withColumn("place", F.lit(None).cast("string")))
     places = stage(places, "places")
-    files = spark.table(name).select(*keys, folder_of(F.col("_metadata.file_path")).alias("old"))
+    files = spark.table(name).select(*keys, folder_of("_metadata.file_path").alias("old"))
     files = join_small(files, places.select(*keys), keys, "left_semi", counted_bound(places))
     old = files.groupBy(*keys).agg(F.collect_set("old").alias("old"))
     changes = places.join(old, keys, "left").select(*keys, "place", "old")

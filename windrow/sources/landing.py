@@ -2,23 +2,25 @@
 
     <root>/app_id=…/attribution_type=…/start_date=…/end_date=…/*.csv
 
-Every column is read as text.  Reports may differ in their header, and Spark reads
-a set of CSV files by position, so files are grouped by header and each group is
-scanned with its own schema.  A bad file is reported in ``files`` and a ragged row
-is flagged, so neither disturbs other windows.
-
-A run looks at the folders of its own windows only.  Headers are judged where they are
-read; the driver sees the different usable ones, never the texts of broken files.
+Every column is read as text.  Reports may differ in the order of their columns.  Spark reads
+a set of CSV files by position, so all files of one width are one scan of numbered columns,
+and a manifest, a row per file with the place of each wanted column in it, says which of them
+a column is.  A bad file is reported in ``files`` and a ragged row is flagged, so neither
+disturbs other windows.
+
+A run looks at the folders of its own apps and windows only.  Headers are
+judged in tasks; the driver sees folders and widths, and paths only as Spark's file index does.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -94,35 +96,55 @@ def path_status(spark: SparkSession, pattern: str) -> list:
 
 
 def window_folders(spark: SparkSession, root: str, items: WorkItems | None) -> list[str]:
-    """Folders of windows: all of them, or those of the date ranges of ``items``.
+    """Folders of windows: all of them, or those of the apps and date ranges of ``items``.
 
-    Only folder names are listed, one pattern per date range of the run.
+    Only folder names are listed, a pattern per app and date range of the run.
     """
-    ends = [("*", "*")]
+    ends, apps = [("*", "*")], [("*", "*")]
     if items is not None:
         # A run has few date ranges, however many apps it loads.
         ranges = items.df.select("start_date", "end_date").distinct().collect()
         ends = [(r.start_date.isoformat(), r.end_date.isoformat()) for r in ranges]
-    return [
-        s.getPath().toString()
+        found = items.df.select("app_id", "attribution_type").distinct().collect()
+        apps = [
+            (app, kind)
+            for r in found
+            for app in _spellings(spark, r.app_id)
+            for kind in _spellings(spark, r.attribution_type)
+        ]
+    patterns = [
+        f"{root}/app_id={app}/attribution_type={kind}/start_date={start}/end_date={end}"
+        for app, kind in sorted(set(apps))
         for start, end in sorted(ends)
-        for s in path_status(
-            spark, f"{root}/app_id=*/attribution_type=*/start_date={start}/end_date={end}"
-        )
-        if s.isDirectory()
     ]
+    with ThreadPoolExecutor(16) as pool:
+        listed = list(pool.map(lambda pattern: path_status(spark, pattern), patterns))
+    return [s.getPath().toString() for some in listed for s in some if s.isDirectory()]
+
+
+def _spellings(spark: SparkSession, value: str) -> set[str]:
+    """How a value may be written in a folder's name, escaped or plain, as patterns."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    names = {escape(value)} | ({value} if "/" not in value else set())
+    return {re.sub(r"([\\*?\[\]{},^])", r"\\\1", n) for n in names}
 
 
-def _text_files(spark: SparkSession, folders: list[str]) -> DataFrame:
-    return spark.read.option("pathGlobFilter", REPORT_FILES).text(folders)
+def _text_files(spark: SparkSession, paths: list[str], names: str = REPORT_FILES) -> DataFrame:
+    return spark.read.option("pathGlobFilter", names).text(paths)
 
 
-def _file_path() -> Column:
+def folder_of(file_path: str) -> Column:
+    """The folder of a file as it is named; file paths of a scan are escaped once more."""
+    folder = F.regexp_replace(file_path, "/[^/]*$", "")
+    return F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+
+
+def file_path_of_row() -> Column:
     """The file a row came from, spelled as the file listing spells it."""
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
 
 
-def first_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
+def first_lines(spark: SparkSession, folders: list[str], names: str = REPORT_FILES) -> DataFrame:
     """(file_path, header) of every file that has text, reading only file heads.
 
     With one file per task, a task that stops after one line has read one buffer.
@@ -138,14 +160,23 @@ def first_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
                 return
 
     with _one_file_per_task(spark):
-        text = _text_files(spark, folders)
-        lines = text.select("value", _file_path().alias("file_path")).rdd
+        text = _text_files(spark, folders, names)
+        lines = text.select("value", file_path_of_row().alias("file_path")).rdd
         heads = spark.createDataFrame(
             lines.mapPartitions(first_line), "file_path string, header string"
         )
         return stage(heads, "heads")
 
 
+def listed_files(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(file_path) of all report files, empty ones too, which scans leave out.
+
+    The paths are those of the scan's own file index.
+    """
+    paths = _text_files(spark, folders).inputFiles()
+    return spark.createDataFrame([(p,) for p in paths], "file_path string")
+
+
 def parse_header(line: str) -> list[str]:
     return next(csv.reader([line]), [])
 
@@ -196,8 +227,7 @@ def list_files(
     folders = window_folders(spark, root, items)
     if not folders:
         return LandingScan(_no_rows(spark, spec), spark.createDataFrame([], FILE_SCHEMA), 0)
-    paths = _text_files(spark, folders).inputFiles()
-    listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    listed = listed_files(spark, folders)
 
     # A header is judged in the task that has it, so broken files cost the driver nothing.
     ship_package(spark)
@@ -215,8 +245,8 @@ def list_files(
         .alias("problem"),
     )
     order = Window.partitionBy(*WINDOW_COLS).orderBy("file_path")
-    numbered = files.withColumn("file_no", F.row_number().over(order) - 1)
-    return LandingScan(_no_rows(spark, spec), stage(numbered, "files"), len(paths))
+    numbered = stage(files.withColumn("file_no", F.row_number().over(order) - 1), "files")
+    return LandingScan(_no_rows(spark, spec), numbered, numbered.count())
 
 
 def _no_rows(spark: SparkSession, spec: ReportSpec) -> DataFrame:
@@ -244,45 +274,82 @@ def scan_landing(
     if items is not None:
         wanted = items.df.select(*WINDOW_COLS).distinct()
         files = join_small(files, wanted, WINDOW_COLS, "left_semi", items.count)
-    usable = files.filter(F.col("problem").isNull())
-    by_header: dict[str, list[str]] = {}
-    several = False
-    for row in usable.select("header", "file_path", "file_no").collect():
-        by_header.setdefault(row.header, []).append(unquote(row.file_path))
-        several = several or row.file_no > 0
-    parts = [_scan_group(spark, root, h, p, spec) for h, p in sorted(by_header.items())]
-    if not parts:
+    manifest, names = column_places(files.filter(F.col("problem").isNull()), spec)
+    widths = manifest.groupBy("width", folder_of("file_path").alias("folder")).count().collect()
+    folders: dict[int, list[str]] = {}
+    for row in widths:
+        folders.setdefault(row.width, []).append(row.folder)
+    if not folders:
         return LandingScan(listing.raw, files, listing.file_count)
-    allow = spec.columns is None
-    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow), parts)
-    if several:
-        numbers = files.select("file_path", "file_no")
-        raw = join_small(raw, numbers, ["file_path"], "inner", listing.file_count)
-        raw = raw.withColumn("row_ord", F.shiftleft(F.col("file_no").cast("long"), 33) + F.col("row_ord"))
-    return LandingScan(raw.drop("file_path", "file_no"), files, listing.file_count)
+    parts = [
+        _scan_width(spark, root, width, found, manifest, names, listing.file_count)
+        for width, found in sorted(folders.items())
+    ]
+    return LandingScan(reduce(DataFrame.unionByName, parts), files, listing.file_count)
+
+
+def column_places(usable: DataFrame, spec: ReportSpec) -> tuple[DataFrame, list[str]]:
+    """The manifest: per file its ``width`` and the place of each wanted column, -1 if absent.
+
+    A spec that keeps all columns wants every one that some file has; these few names are all
+    that comes to the driver.
+    """
+    ship_package(usable.sparkSession)
+    told = F.udf(lambda line: parse_header(line), "array<string>")
+    headed = usable.withColumn("_names", told("header"))
+    if spec.columns is None:
+        spelled = F.udf(lambda line: [canonical(n, spec) for n in parse_header(line)], "array<string>")
+        headed = headed.withColumn("_known", spelled("header"))
+        found = headed.select(F.posexplode("_known").alias("at", "name"), "file_no", "file_path")
+        order = found.groupBy("name").agg(F.min(F.struct("file_path", "at")).alias("first"))
+        names = [r.name for r in order.orderBy("first").collect()]
+    else:
+        headed = headed.withColumn("_known", F.col("_names"))
+        names = list(spec.columns)
+    places = F.array(*[F.array_position("_known", n).cast("int") - 1 for n in names])
+    manifest = headed.select(
+        "file_path",
+        "file_no",
+        F.size("_names").alias("width"),
+        (places if names else F.array().cast("array<int>")).alias("places"),
+    )
+    return stage(manifest, "manifest"), names
 
 
-def _scan_group(
-    spark: SparkSession, root: str, header: str, paths: list[str], spec: ReportSpec
+def _scan_width(
+    spark: SparkSession,
+    root: str,
+    width: int,
+    folders: list[str],
+    manifest: DataFrame,
+    names: Sequence[str],
+    file_count: int,
 ) -> DataFrame:
-    names = parse_header(header)
-    fields = [T.StructField(n, T.StringType()) for n in (*names, CORRUPT)]
+    """All reports of one width: numbered columns, named by the manifest's places."""
+    columns = [f"_c{i}" for i in range(width)]
+    fields = [T.StructField(n, T.StringType()) for n in (*columns, CORRUPT)]
     scanned = (
         csv_reader(spark)
         .schema(T.StructType([*fields, *WINDOW_FIELDS]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("basePath", root)
-        .csv(paths)
+        .option("pathGlobFilter", REPORT_FILES)
+        .csv(folders)
+        .select(
+            F.array(*columns).alias("_cells"),
+            *WINDOW_COLS,
+            position_in_task().alias("_at"),
+            F.col(CORRUPT).isNotNull().alias("corrupt"),
+            file_path_of_row().alias("file_path"),
+        )
     )
-    if spec.columns is None:
-        wanted = {n: canonical(n, spec) for n in names}
-    else:
-        wanted = {n: n for n in spec.columns}
-    return scanned.select(
-        *[F.col(f"`{n}`").alias(to) for n, to in wanted.items()],
+    own = manifest.filter(F.col("width") == width)
+    met = join_small(scanned, own, ["file_path"], "inner", file_count)
+    cell = lambda i: F.when(F.col("places")[i] >= 0, F.get("_cells", F.col("places")[i]))
+    return met.select(
+        *[cell(i).alias(n) for i, n in enumerate(names)],
         *WINDOW_COLS,
-        position_in_task().alias("row_ord"),
-        F.col(CORRUPT).isNotNull().alias("corrupt"),
-        _file_path().alias("file_path"),
+        (F.shiftleft(F.col("file_no").cast("long"), 33) + F.col("_at")).alias("row_ord"),
+        "corrupt",
     )
