@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_llm_queries import SF_DIR, pytestmark  # noqa: F401
 from tests.llm.test_pairs_and_copies import component_of, expected_components
-from windrow.llm import lines
 from windrow.llm import queries as llm
+from windrow.llm.line_hash import normalise
 from windrow.llm.pieces import MARK
 
 
@@ -55,17 +55,14 @@ def test_ids_of_the_table(spark, table, ids):
 
 
 def test_lines_of_the_table(spark, table):
-    """All pairs of lines, by the edit distance of Spark."""
+    """All pairs of lines, by the edit distance of Spark: no other line goes, and of those that
+    are near but not equal to one before at least nine in ten do."""
     places = {}
     for doc_id, text in table:
         for n, line in enumerate((text or "").split("\n")):
-            plain, letters = " ".join(line.lower().split()), lines.normalise(line)
-            words = letters.split(" ")
-            fuzzy = len(words) >= lines.MIN_WORDS or sum(map(len, words)) >= 20
-            if plain:
-                places.setdefault((fuzzy, letters if fuzzy else plain), []).append((doc_id, n))
-    texts = [(i, t) for i, (fuzzy, t) in enumerate(places) if fuzzy]
-    side = spark.createDataFrame(texts, "i long, t string").repartition(8)
+            if normalise(line):
+                places.setdefault(normalise(line), []).append((doc_id, n))
+    side = spark.createDataFrame(list(enumerate(places)), "i long, t string").repartition(8)
     longest = F.greatest(F.char_length("t"), F.char_length("u"))
     most = F.floor(longest * F.lit(0.15)).cast("int")
     pairs = side.join(F.broadcast(side.toDF("j", "u")), F.col("i") < F.col("j"))
@@ -79,5 +76,8 @@ def test_lines_of_the_table(spark, table):
         for place in found:
             if place != firsts[min(found)]:
                 want[place[0]] = want.get(place[0], 0) + 1
+    equal = sum(len(found) - 1 for found in places.values())
     out = llm.QUERIES["op3_line_dedup"](spark, SF_DIR).collect()
-    assert links and {r.doc_id: r.n_dropped for r in out if r.n_dropped} == want
+    got = {r.doc_id: r.n_dropped for r in out if r.n_dropped}
+    assert links and all(n <= want.get(i, 0) for i, n in got.items())
+    assert sum(got.values()) - equal >= 0.9 * (sum(want.values()) - equal) > 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.runtime import stage
+from windrow.runtime import stage, staging
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,6 +17,14 @@ def components(links: DataFrame) -> DataFrame:
     shuffle, so a node with very many links costs one row per task; the joins back are left
     to the skew handling of adaptive execution.  No links give no rows.
     """
+    with staging(links.sparkSession) as result:
+        edges = _stars(links)
+        roots = edges.select(F.col("v").alias("node")).distinct()
+        ends = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        return result(ends.union(roots.select("node", F.col("node").alias("label"))), "components")
+
+
+def _stars(links: DataFrame) -> DataFrame:
     edges = stage(
         links.filter(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -30,10 +38,7 @@ def components(links: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
-        roots.select("node", F.col("node").alias("label"))
-    )
+    return edges
 
 
 def _state(edges: DataFrame):
