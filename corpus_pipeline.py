@@ -17,7 +17,7 @@ from windrow.llm.lines import line_dedup
 from windrow.llm.minhash import near_duplicates
 from windrow.llm.mixing import mixed_rows
 from windrow.llm.pieces import encoder
-from windrow.runtime import stage
+from windrow.runtime import discard, staging
 
 VOCABULARY = "piece_bpe_32k.model"
 
@@ -40,7 +40,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, less the lines that occurred before, here or in another document."""
-    return line_dedup(docs, whole=True)
+    return line_dedup(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +71,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name)
+        with staging(spark) as result:  # what a stage staged goes when its output is written
+            docs = result(apply(spark, docs, sf_dir), name)
+        if last is not None:
+            discard(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
