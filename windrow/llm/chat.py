@@ -53,6 +53,10 @@ class ChatTemplate:
         }
     )
 
+    def __post_init__(self):
+        if not {*self.trained} <= {*self.follows} - {"start", "other"}:
+            raise ValueError("a trained role needs a state of its own")
+
     @property
     def states(self) -> list[str]:
         return list(self.follows)
@@ -60,6 +64,9 @@ class ChatTemplate:
 
 TEMPLATE = ChatTemplate()
 
+# Written before a role that is spelled like another role's name; no escaped text has it.
+AS_IS = "\\r"
+
 # The characters that control strings cannot do without, and what texts have instead of them.
 # The escape itself comes first.
 ESCAPES = (("\\", "\\\\"), ("#", "\\h"), (":", "\\c"), ("<", "\\l"))
@@ -116,12 +123,12 @@ def format_chat(
     """Per block of turns: ``conv_id, block, formatted, segments, n_turns, n_wrong``.
 
     ``segments`` are (text, loss) whose texts in order are ``formatted``; under the loss mask
-    lie the texts of trained roles alone, without marks or ends.  ``n_wrong`` counts turns
+    lie the texts alone, without marks or ends, of turns that lead the machine to a trained state.  ``n_wrong`` counts turns
     that may not follow the one before; they are formatted like others.
 
     Rows of a conversation go by turn, NULL first, then role and text; repeated rows all
     count.  A NULL role or text is empty; a role without a name in the template is written as
-    it is, escaped.  Rows with a NULL conv_id are one conversation.  An empty table gives no
+    it is, escaped, and marked as such where it is spelled like a name of the template.  Rows with a NULL conv_id are one conversation.  An empty table gives no
     rows; other columns are not read.  Blocks are cut by turn number.
     """
     rows = conversations.select(
@@ -159,17 +166,22 @@ def format_chat(
     )
     names = F.create_map(*[x for k, v in template.names.items() for x in (F.lit(k), F.lit(v))])
 
-    def turn_segments(turn: Column) -> Column:
-        name = F.coalesce(F.element_at(names, turn["role"]), escape(turn["role"]))
+    clashes = list(template.names.values())
+
+    def turn_segments(turn: Column, step: Column) -> Column:
+        plain = F.when(turn["role"].isin(clashes), F.lit(AS_IS)).otherwise(F.lit(""))
+        plain = F.concat(plain, escape(turn["role"]))
+        name = F.coalesce(F.element_at(names, turn["role"]), plain)
+        trained = F.substring_index(step, ">", 1).isin(list(template.trained))
         head = F.concat(F.lit(template.mark), name, F.lit(template.colon))
         segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
         return F.array(
             segment(head, F.lit(False)),
-            segment(escape(turn["text"]), turn["role"].isin(list(template.trained))),
+            segment(escape(turn["text"]), trained),
             segment(F.lit(template.end), F.lit(False)),
         )
 
-    segments = F.flatten(F.transform("turns", turn_segments))
+    segments = F.flatten(F.zip_with("turns", "_steps", turn_segments))
     wrong = F.size(F.filter("_steps", lambda s: s.endswith(">0"))).cast("long")
     out = steps.select(
         "conv_id",
@@ -191,7 +203,8 @@ def read_turns(formatted: Column, template: ChatTemplate = TEMPLATE) -> Column:
 
     def turn(part: Column) -> Column:
         name = F.regexp_extract(part, pattern, 1)
-        role = F.coalesce(F.element_at(roles, name), unescape(name))
+        plain = F.regexp_replace(name, r"^\\r", "")
+        role = F.coalesce(F.element_at(roles, name), unescape(plain))
         text = unescape(F.regexp_extract(part, pattern, 2))
         return F.struct(role.alias("role"), text.alias("text"))
 

@@ -171,17 +171,25 @@ def with_control(spark: SparkSession, conversations: DataFrame) -> DataFrame:
   FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), s AS (
+  SELECT *, CASE WHEN role IN ('system', 'user', 'assistant') THEN role ELSE 'other' END AS state FROM c
+), o AS (
+  SELECT *, coalesce(lag(state) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text), 'start')
+    || '>' || state IN ('start>system', 'start>user', 'system>user', 'user>assistant',
+      'assistant>user', 'other>system', 'other>user') AS right_turn
+  FROM s
 )
-SELECT conv_id, count(*) AS n_turns,
+SELECT conv_id, count(*) AS n_turns, count(*) FILTER (NOT right_turn) AS n_wrong,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
     AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
     FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length('### : </turn>') + 1
+    + CASE WHEN role IN ('System', 'User', 'Assistant') THEN 2 ELSE 0 END
     + length(regexp_replace(role, '([\\#:<])', '\\\1', 'g'))
     + length(regexp_replace(text, '([\\#:<])', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
-FROM c GROUP BY conv_id""",
+FROM o GROUP BY conv_id""",
 )
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = format_chat(with_control(spark, table(spark, sf_dir, "conversations")))
@@ -192,12 +200,14 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = blocks.select(
         "conv_id",
         F.size(turns).cast("long").alias("n"),
+        "n_wrong",
         F.char_length("formatted").cast("long").alias("chars"),
         F.struct("block", F.array_join(read, "").alias("read"), loss.alias("loss")).alias("b"),
     )
     # A digest is of one text: what a conversation says comes together here and only here.
     whole = digest.groupBy("conv_id").agg(
         F.sum("n").alias("n_turns"),
+        F.sum("n_wrong").alias("n_wrong"),
         F.sum("chars").alias("formatted_chars"),
         F.sort_array(F.collect_list("b")).alias("b"),
     )
@@ -205,6 +215,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select(
         "conv_id",
         "n_turns",
+        "n_wrong",
         F.sha2(said, 256).alias("turns_sha256"),
         F.char_length(lost).cast("long").alias("loss_chars"),
         F.sha2(lost, 256).alias("loss_sha256"),
