@@ -20,7 +20,8 @@ from windrow.llm.buckets import link_buckets
 from windrow.llm.components import components
 from windrow.llm.exact import exact_dedup
 from windrow.llm.minhash import Shingler, near_duplicates
-from windrow.llm.topk import search_block, top_k
+from windrow.llm import topk
+from windrow.llm.topk import search_block, search_shard, top_k
 
 
 def component_of(nodes, links):
@@ -306,6 +307,47 @@ def test_top_k_of_odd_vectors(spark):
     assert top_k(frame.limit(0)).collect() == []
 
 
+def test_top_k_over_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 16)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    rng = random.Random(4)
+    # Copies under many ids, and one id that holds a third of the rows.
+    copy = [rng.uniform(-1, 1) for _ in range(24)]
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(24)]) for i in range(200)]
+    rows += [(1000 + i, copy) for i in range(60)]
+    rows += [(5000, [rng.uniform(-1, 1) for _ in range(24)]) for _ in range(120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {(r.query_id, r.vec_id, r.score) for r in top_k(frame, query_every=20).collect()}
+    numbers = {(i, tuple(int(np.floor(256.0 * x)) for x in v)) for i, v in rows}
+    for q, v in ((i, v) for i, v in numbers if i % 20 == 0 and i != 5000):
+        order = sorted((-sum(x * y for x, y in zip(v, w)), i) for i, w in numbers if i != q)[:5]
+        assert sorted((-s, i) for a, i, s in got if a == q) == order
+    assert {q for q, _, _ in got} == {i for i, _ in numbers if i % 20 == 0}
+
+
+def test_each_candidate_moves_once(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 32)
+    rows = spark.range(400).selectExpr("id AS vec_id", "transform(sequence(1, 8), x -> x * id % 97) AS vector")
+    met, n_shards = topk.meetings(rows, 50)
+    assert n_shards > 4
+    met = met.cache()
+    moved = met.filter("NOT asks").selectExpr("sum(length(ids)) AS ids", "sum(length(matrix)) AS bytes").first()
+    assert (moved.ids, moved.bytes) == (400 * 8, 400 * 8 * 2)
+    assert met.filter("NOT asks").select("shard").distinct().count() == n_shards
+    asks = met.filter("asks").selectExpr("sum(length(ids)) AS ids").first()
+    assert asks.ids == 8 * 8 * n_shards
+    met.unpersist()
+
+
+def test_search_shard_carries_its_floor():
+    rng = np.random.default_rng(8)
+    q = rng.integers(-200, 200, (40, 9))
+    slices = [(rng.permutation(90) + 100 * n, rng.integers(-200, 200, (40, 90))) for n in range(4)]
+    ids, every = np.concatenate([i for i, _ in slices]), np.concatenate([c for _, c in slices], axis=1)
+    got = list(search_shard(np.arange(1000, 1009), q, slices, 5))
+    assert got == list(search_block(np.arange(1000, 1009), q, ids, every, 5))
+
+
 def test_search_block_prunes_without_loss():
     rng = np.random.default_rng(7)
     c, q = rng.integers(-200, 200, (64, 500)), rng.integers(-200, 200, (64, 20))

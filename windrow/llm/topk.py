@@ -7,8 +7,10 @@ candidates whose best case is below the k-th best worst case go, and the next gr
 up for the compacted rest alone.  The bound never cuts a tie, so the result is exact.
 
 Queries are a part of the rows and grow with them, so neither side is broadcast: candidates
-are dealt into shards of bounded size, queries into blocks, each query block goes to every
-shard once, and a shard answers with k rows per query.
+are packed where they are read and sent once, to one of the shards, whose size is bounded in
+bytes.  Queries are packed into blocks, and each block follows to every shard.  A task holds one
+shard at a time, lets the blocks stream by, and answers with k rows per query.  Packed
+components take the fewest of 2, 4 or 8 bytes that hold them.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +27,13 @@ from windrow.llm.common import bounded_batches
 from windrow.runtime import stage
 
 SCALE = 256
-SHARD_ROWS = 20_000
+# A shard's components at two bytes each; a task works on four times that.
+SHARD_BYTES = 16 << 20
+# Fewer rows than this are not worth a shard of their own.
+SHARD_ROWS = 4096
+# Most rows and components of a packed piece, and of what is multiplied at once.
+CHUNK_ROWS, CHUNK_ITEMS = 1024, 1 << 20
+SLICE_ROWS, SLICE_ITEMS = 20_000, 1 << 22
 QUERY_ROWS = 512
 GROUP_DIMS = 16
 # Products and sums up to here are exact in a double.
@@ -39,31 +48,69 @@ def quantised(vector: Column) -> Column:
     return F.when(F.forall(vector, finite), parts)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, [(id, vector)]) as ids and one matrix, a row per dimension.
+def _matrix(parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Flat components and lengths of vectors as one matrix, a row per dimension.
 
     Shorter vectors are filled up with zeros, which add nothing to a product.
     """
-    for batch in batches:
-        for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows")):
-            ids = rows.values.field("vec_id").to_numpy(zero_copy_only=False)
-            lists = rows.values.field("vector")
+    lengths = np.concatenate([n for _, n in parts])
+    dims = int(lengths.max(initial=0))
+    matrix = np.zeros((len(lengths), dims), np.int64)
+    matrix[np.arange(dims) < lengths[:, None]] = np.concatenate([flat for flat, _ in parts])
+    return np.ascontiguousarray(matrix.T)
+
+
+def _packed(part: int, ids: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
+    low, high = int(matrix.min(initial=0)), int(matrix.max(initial=0))
+    fits = lambda t: np.iinfo(t).min <= low and high <= np.iinfo(t).max
+    dtype = next(t for t in (np.int16, np.int32, np.int64) if fits(t))
+    return pa.record_batch(
+        [pa.array([part], pa.int64()), pa.array([ids.tobytes()], pa.binary()),
+         pa.array([dtype().itemsize], pa.int32()),
+         pa.array([matrix.astype(dtype).tobytes()], pa.binary())],
+        names=["part", "ids", "width", "matrix"],
+    )
+
+
+PACKED = "part long, ids binary, width int, matrix binary"
+
+
+def _packer(most_rows: int):
+    """Rows (id, vector) as pieces of at most ``most_rows`` rows, numbered from the task's own."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        ids, vectors, rows, items = [], [], 0, 0
+        for batch in batches:
+            lists = batch.column("vector")
             starts = lists.offsets.to_numpy()
             flat = lists.values.to_numpy(zero_copy_only=False)
-            lengths = np.diff(starts)
-            dims = int(lengths.max(initial=0))
-            matrix = np.zeros((len(ids), dims), np.int64)
-            matrix[np.arange(dims) < lengths[:, None]] = flat[starts[0] : starts[-1]]
-            yield pa.record_batch(
-                [pa.array([block], pa.int64()), pa.array([ids.tobytes()], pa.binary()),
-                 pa.array([np.ascontiguousarray(matrix.T).tobytes()], pa.binary())],
-                names=["block", "ids", "matrix"],
-            )
+            numbers = batch.column("vec_id").to_numpy(zero_copy_only=False)
+            at = 0
+            while at < batch.num_rows:
+                # As many more rows as the piece has room for, at least one if it is empty.
+                room = CHUNK_ITEMS - items
+                end = int(np.searchsorted(starts, starts[at] + room, "right")) - 1
+                end = min(max(end, at + (rows == 0)), at + most_rows - rows, batch.num_rows)
+                if end > at:
+                    ids.append(numbers[at:end])
+                    vectors.append((flat[starts[at] : starts[end]], np.diff(starts[at : end + 1])))
+                    rows, items = rows + end - at, items + int(starts[end] - starts[at])
+                    at = end
+                if at < batch.num_rows:
+                    yield _packed(part, np.concatenate(ids), _matrix(vectors))
+                    part += 1
+                    ids, vectors, rows, items = [], [], 0, 0
+        if rows:
+            yield _packed(part, np.concatenate(ids), _matrix(vectors))
 
+    return pack
 
-def _unpack(ids: bytes, matrix: bytes) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(matrix, np.int64).reshape(-1, len(ids))
+
+def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(row["ids"], np.int64)
+    matrix = np.frombuffer(row["matrix"], np.dtype(f"i{row['width']}"))
+    return ids, matrix.reshape(-1, len(ids)).astype(np.int64)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -79,6 +126,12 @@ def search_block(qids, queries, cids, candidates, k: int):
 
     ``queries`` and ``candidates`` are integer matrices with a row per dimension.
     """
+    for i, cid, score in _search(qids, queries, cids, candidates, k, [-np.inf] * len(qids)):
+        yield int(qids[i]), cid, score
+
+
+def _search(qids, queries, cids, candidates, k: int, floors):
+    """(place of the query, candidate id, score); of candidates below a query's floor, none need come."""
     dims = min(len(queries), len(candidates))
     queries, candidates = queries[:dims], candidates[:dims]
     largest = [int(np.abs(m.astype(np.float64)).max(initial=0)) for m in (queries, candidates)]
@@ -98,33 +151,76 @@ def search_block(qids, queries, cids, candidates, k: int):
             if len(alive) > k:
                 # A little more than the bound, for the rounding of the square roots.
                 reach = q_rest[n][i] * c_rest[n][alive] * (1 + 1e-9) + 1e-6
-                worst = np.partition(sums - reach, -k)[-k]
+                worst = max(np.partition(sums - reach, -k)[-k], floors[i])
                 keep = sums + reach >= worst
                 alive, sums = alive[keep], sums[keep]
             sums = sums + q[i, lo : lo + GROUP_DIMS] @ c[lo : lo + GROUP_DIMS, alive]
         for at in _best(sums, cids[alive], k):
-            yield int(qid), int(cids[alive[at]]), int(sums[at])
+            yield i, int(cids[alive[at]]), int(sums[at])
 
 
 def _search_large(qids, queries, cids, candidates, k: int):
     """The same in whole numbers of any size; a score beyond 64 bits is cut to them."""
     q, c = queries.T.astype(object), candidates.T.astype(object)
-    for qid, query in zip(qids, q):
+    for i, (qid, query) in enumerate(zip(qids, q)):
         scored = sorted(
             (-int(sum(x * y for x, y in zip(query, row))), int(cid))
             for cid, row in zip(cids, c)
             if cid != qid
         )
         for score, cid in scored[:k]:
-            yield int(qid), cid, max(-LONG - 1, min(LONG, -score))
+            yield i, cid, max(-LONG - 1, min(LONG, -score))
+
+
+def _slices(pieces: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pieces put together to matrices of bounded size."""
+    groups, rows, dims = [], 0, 0
+    for ids, matrix in pieces:
+        rows, dims = rows + len(ids), max(dims, len(matrix))
+        if not groups or rows > SLICE_ROWS or rows * dims > SLICE_ITEMS:
+            groups.append([])
+            rows, dims = len(ids), len(matrix)
+        groups[-1].append((ids, matrix))
+    slices = []
+    for group in groups:
+        dims = max(len(m) for _, m in group)
+        filled = [np.pad(m, ((0, dims - len(m)), (0, 0))) for _, m in group]
+        slices.append((np.concatenate([ids for ids, _ in group]), np.concatenate(filled, axis=1)))
+    return slices
+
+
+def search_shard(qids, queries, slices, k: int):
+    """(query id, candidate id, score) of the k best of each query in all slices of a shard.
+
+    What is found in one slice is the floor for the next.
+    """
+    best = [[] for _ in qids]
+    for cids, candidates in slices:
+        floors = [-found[k - 1][0] if len(found) == k else -np.inf for found in best]
+        for i, cid, score in _search(qids, queries, cids, candidates, k, floors):
+            best[i].append((-score, cid))
+        best = [sorted(found)[:k] for found in best]
+    for qid, found in zip(qids, best):
+        for score, cid in found:
+            yield int(qid), cid, -score
 
 
 def _searcher(k: int):
+    """Rows of a shard, candidates before queries: one shard is held at a time."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, pieces, slices = None, [], []
         for batch in batches:
-            for row in batch.to_pylist():
-                queries = _unpack(row["q_ids"], row["q_matrix"])
-                found = list(search_block(*queries, *_unpack(row["ids"], row["matrix"]), k))
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+                if row["shard"] != shard:
+                    shard, pieces, slices = row["shard"], [], []
+                if not row["asks"]:
+                    pieces.append(_unpack(row))
+                    continue
+                if pieces:
+                    pieces, slices = [], _slices(pieces)
+                found = list(search_shard(*_unpack(row), slices, k))
                 columns = zip(*found) if found else ((), (), ())
                 yield pa.record_batch(
                     [pa.array(x, pa.int64()) for x in columns],
@@ -134,12 +230,24 @@ def _searcher(k: int):
     return search
 
 
-def _blocks(rows: DataFrame, n: int) -> DataFrame:
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(n))
-    dealt = rows.groupBy(block.alias("block")).agg(
-        F.collect_list(F.struct("vec_id", "vector")).alias("rows")
+def meetings(rows: DataFrame, query_every: int) -> tuple[DataFrame, int]:
+    """Packed candidates, each in one shard, and query blocks, each in all; and the shards' number."""
+    spark = rows.sparkSession
+    n, dims = rows.select(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    # Small tables are dealt to all cores, large ones by the bytes a task may hold.
+    by_cores = min(2 * spark.sparkContext.defaultParallelism, -(-n // SHARD_ROWS))
+    n_shards = max(1, by_cores, -(-n * dims * 2 // SHARD_BYTES))
+    # A piece is never more than a fair part of a shard.
+    piece = max(1, min(CHUNK_ROWS, -(-n // (4 * n_shards))))
+    packed = ["ids", "width", "matrix"]
+    candidates = rows.mapInArrow(_packer(piece), PACKED).select(
+        F.pmod("part", F.lit(n_shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), *packed
+    )
+    asked = rows.filter(F.col("vec_id") % query_every == 0)
+    queries = asked.mapInArrow(_packer(QUERY_ROWS), PACKED).select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), F.lit(True).alias("asks"), *packed
     )
-    return dealt.mapInArrow(_pack, "block long, ids binary, matrix binary")
+    return candidates.unionAll(queries), n_shards
 
 
 def top_k(
@@ -165,20 +273,11 @@ def top_k(
     )
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).distinct()
     rows = stage(rows, "vectors")
-    asked = rows.filter(F.col("vec_id") % query_every == 0)
-    n_shards = max(1, -(-rows.count() // SHARD_ROWS))
-    n_blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    shards = stage(_blocks(rows, n_shards), "shards")
-    blocks = stage(_blocks(asked, n_blocks), "queries")
-    everywhere = blocks.select(
-        F.col("ids").alias("q_ids"),
-        F.col("matrix").alias("q_matrix"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("block"),
-    )
-    met = shards.join(everywhere, "block").repartition(F.col("block"), F.xxhash64("q_ids"))
-    found = met.select("ids", "matrix", "q_ids", "q_matrix").mapInArrow(
-        _searcher(k), "query_id long, vec_id long, score long"
-    )
+    met, n_shards = meetings(rows, query_every)
+    n_tasks = min(n_shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                8 * spark.sparkContext.defaultParallelism))
+    by_shard = met.repartitionById(n_tasks, "shard").sortWithinPartitions("shard", "asks")
+    found = by_shard.mapInArrow(_searcher(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
