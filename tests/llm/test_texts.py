@@ -23,7 +23,7 @@ from windrow.llm.tokens import SegmentCounter, count_tokens
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 COUNTER = SegmentCounter(MODEL)
-ENCODER = pieces.Encoder(pieces.load_pieces(MODEL), {})
+ENCODER = pieces.Encoder(pieces.load_pieces(MODEL))
 ODD = st.text(alphabet=st.one_of(
     st.sampled_from(list("ab▁ \n\r\t<s>/#=*-.é日😀 　ﬁ\x00")), st.characters(codec="utf-8")), max_size=60)
 
@@ -50,26 +50,38 @@ def test_encoding_and_decoding_of_odd_rows(docs, odd_rows):
     rng = random.Random(4)
     al = "ab  \n\r\té日😀#=*/thein--.. "
     rows = odd_rows + [(100 + i, "".join(rng.choice(al) for _ in range(40))) for i in range(60)]
-    for words in (0, 50, 10_000):  # all codes from the tasks, some, nearly all from the lattice
-        out = pieces.encode_documents(docs(*rows), MODEL, table_words=words).collect()
-        text = {str(i): t or "" for i, t, *_ in rows if i is not None}
-        assert len(out) == len(rows)
-        for r in out:
-            if r.doc_id is not None:
-                assert r.ids == LIBRARY.encode(text[str(r.doc_id)])
-                assert r.decoded == text[str(r.doc_id)]
+    out = pieces.encode_documents(docs(*rows), MODEL).collect()
+    text = {str(i): t or "" for i, t, *_ in rows if i is not None}
+    assert len(out) == len(rows)
+    for r in out:
+        if r.doc_id is not None:
+            assert r.ids == LIBRARY.encode(text[str(r.doc_id)])
+            assert r.decoded == text[str(r.doc_id)]
     assert pieces.encode_documents(docs().limit(0), MODEL).collect() == []
 
 
-def test_relational_codes(spark):
-    words = ["▁the", "▁▁▁▁▁x", "▁日😀\r", "▁", "\n", "▁" + "ab" * 30, "internationalisation.", "▁\x00é"]
+def test_relational_bounds(spark):
+    words = ["▁the", "▁▁▁▁▁x", "▁日😀\r", "▁", "\n", "▁" + "ab" * 30, "internationalisation.", "▁\x00é", "▁qzx"]
     own = pieces.load_pieces(MODEL)
-    texts = [(w.replace("▁", " ")[1:] if w[0] == "▁" else w,) for w in words if w != "▁"] * 2
-    frame = spark.createDataFrame(texts, "text string")
-    got = {r.word: r.ids for r in pieces.word_codes(frame, own).collect()}
-    for word, ids in got.items():
-        assert ids == ENCODER.fold(word)
-    assert {"▁the", "▁▁▁▁▁x", "▁日😀\r"} <= set(got)
+    frame = spark.createDataFrame([(w,) for w in words * 3], "word string")
+    got = {r.word: r.bounds for r in pieces.word_bounds(frame, own).collect()}
+    learned = pieces.Encoder(own)
+    for word in words:
+        learned.learn(word, got.get(word, (2 << len(word)) - 1))
+        assert dict.__getitem__(learned, word) == ENCODER[word]
+    assert {"▁the", "▁▁▁▁▁x", "internationalisation."} <= set(got)
+
+
+def test_blocks_list_their_words(spark, monkeypatch):
+    """Every word of a table comes from the lattice, none is merged in the tasks."""
+    texts = [f"word{i % 40} stands in text number {i}\nand more" for i in range(300)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    pairs = frame.select("text").mapInArrow(pieces._list_words, "block long, word string").collect()
+    assert len(set(pairs)) == len(pairs)
+    assert {w for _, w in pairs} == {w for t in texts for w in pieces.words_of(t)}
+    assert len({b for b, _ in pairs}) == 3
+    out = pieces.encode_texts(frame.withColumn("ids", F.lit(1)), MODEL, ["doc_id"]).collect()
+    assert {r.doc_id: r.ids for r in out} == {i: LIBRARY.encode(t) for i, t in enumerate(texts)}
 
 
 LANGS = {"en": "the of and with that from have", "de": "der die und mit das von haben", "zz": "ka lu mo pi ra se tu"}

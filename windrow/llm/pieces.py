@@ -1,16 +1,18 @@
 """SentencePiece encoding and decoding on a relational lattice.
 
 No piece reaches over a word's end, so a text is encoded word by word and equal words alike.
-The words of the corpus are counted, and the most frequent ones, up to a bound, are encoded
-relationally: their substrings up to the longest piece's length are exploded, joined to the
-piece table, and the edges found are grouped by word and folded with a higher-order
-aggregate.  The table of their codes is bounded, so it goes to the tasks that encode the
-texts; a word outside the bound is folded there, by the same rule.
+Texts are cut into blocks of bounded size where they are read, and each block lists its
+different words.  All words are encoded relationally, each once: their substrings up to the
+longest piece's length are exploded, joined to the piece table, and the edges found are
+grouped by word and folded with a higher-order aggregate to the boundaries of its pieces.
+The boundaries are joined back to the blocks' lists, and each block's list goes to the task
+that encodes its texts, before them.  No table of words is broadcast.
 
 The fold follows the model's kind.  Merging by rank is what a BPE model does: edges are taken
 in the order of their rank, leftmost first, and an edge is merged if its two halves are
-whole at that time.  The boundaries that are left are bits of a number.  A path of the best
-sum of scores (Viterbi) gives other codes than the library for such a model.
+whole at that time.  The boundaries that are left are bits of a number, which holds words of
+up to 62 characters; longer ones are merged in the tasks.  A path of the best sum of scores
+(Viterbi) gives other codes than the library for such a model.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from windrow.llm.common import bounded_batches
 from windrow.runtime import stage
@@ -34,10 +38,10 @@ MARK = "▁"
 WORDS = f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+"
 SEGMENT = re.compile(WORDS)
 
-# The bound of the table of codes, in words, and of what a task remembers beside it.
-TABLE_WORDS = 200_000
-MEMO_WORDS = 400_000
-MEMO_CHARS = 48
+# The text of a block, in bytes, and the words that one task folds.
+BLOCK_BYTES = 16 << 20
+LATTICE_WORDS = 50_000
+LISTED = 1 << 16
 # Boundaries of a word are bits of a long.
 FOLD_CHARS = 62
 
@@ -50,12 +54,27 @@ class Pieces:
     ranks: dict[str, int]
     byte_ids: list[int]
     spelled: list[bytes] = field(repr=False)
+    codes: "Codes" = field(init=False, repr=False)
+
+    def __post_init__(self):
+        self.codes = Codes(self)
 
     @property
     def longest(self) -> int:
         return max(map(len, self.ids))
 
 
+class Codes(dict):
+    """Pieces to their ids as bytes of 32-bit numbers; other texts to the ids of their bytes."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__({p: np.int32(i).tobytes() for p, i in pieces.ids.items()})
+        self.byte_ids = pieces.byte_ids
+
+    def __missing__(self, part: str) -> bytes:
+        return np.array([self.byte_ids[b] for b in part.encode()], np.int32).tobytes()
+
+
 @cache
 def load_pieces(model_path: str) -> Pieces:
     import sentencepiece
@@ -81,54 +100,32 @@ def load_pieces(model_path: str) -> Pieces:
 # --- the relational part ---------------------------------------------------------
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text, each with the marks before it; none for a NULL or empty text."""
-    marked = F.concat(F.lit(MARK), F.translate(text, " ", MARK))
-    found = F.regexp_extract_all(marked, F.lit(f"({WORDS})"), F.lit(1))
-    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(found)
-
-
-def frequent_words(docs: DataFrame, most: int) -> DataFrame:
-    """(word): the words of the highest counts, at most ``most``, equal counts all or none."""
-    counts = docs.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word")
-    counts = counts.agg(F.count("*").alias("n"))
-    counts = stage(counts.filter(F.char_length("word") <= FOLD_CHARS), "words")
-    # Few rows: n different counts need n * n / 2 words.
-    total, least = 0, None
-    for n, words in sorted(((r.n, r.w) for r in counts.groupBy("n").agg(
-        F.count("*").alias("w")).collect()), reverse=True):
-        total += words
-        if total > most:
-            break
-        least = n
-    return counts.filter(F.col("n") >= least if least else F.lit(False)).select("word")
-
-
-def _edge(packed: Column) -> tuple[Column, Column, Column]:
-    """Start, end and piece id of an edge packed as rank, start, end, id."""
+def _edge(packed: Column) -> tuple[Column, Column]:
+    """Start and end of an edge packed as rank, start, end."""
     bits = lambda shift: F.shiftright(packed, shift).bitwiseAND(F.lit(63)).cast("int")
-    return bits(38), bits(32), packed.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    return bits(6), bits(0)
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, edges): the pieces inside each word as packed edges, best rank first."""
-    spark = words.sparkSession
-    rows = [(p, pieces.ranks[p] << 44 | i) for p, i in pieces.ids.items()]
-    table = spark.createDataFrame(rows, "piece string, code long")
+    """(word, edges): the pieces of two characters and more inside each word that has any, as
+    packed edges, best rank first.
+
+    ``words`` are different and partitioned by word, so grouping them again moves nothing.
+    """
+    rows = [(p, pieces.ranks[p] << 12) for p in pieces.ids if len(p) > 1]
+    table = words.sparkSession.createDataFrame(rows, "piece string, code long")
     length = F.char_length("word")
-    starts = words.select("word", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
+    starts = words.filter(length > 1).select(
+        "word", F.explode(F.sequence(F.lit(0), length - 2)).alias("start")
+    )
     room = F.least(F.lit(pieces.longest), length - F.col("start"))
-    spans = starts.select("word", "start", F.explode(F.sequence(F.lit(1), room)).alias("chars"))
+    spans = starts.select("word", "start", F.explode(F.sequence(F.lit(2), room)).alias("chars"))
     spans = spans.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("chars")))
     # As many rows as the vocabulary has pieces.
     found = spans.join(F.broadcast(table), "piece")
-    place = F.shiftleft(F.col("start").cast("long"), 38).bitwiseOR(
-        F.shiftleft((F.col("start") + F.col("chars")).cast("long"), 32)
-    )
-    found = found.select("word", F.col("code").bitwiseOR(place).alias("edge"))
-    edges = found.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    none = F.array().cast("array<bigint>")
-    return words.join(edges, "word", "left").withColumn("edges", F.coalesce("edges", none))
+    place = F.col("start") * 64 + F.col("start") + F.col("chars")
+    found = found.select("word", F.col("code").bitwiseOR(place.cast("long")).alias("edge"))
+    return found.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
 def _power(n: Column) -> Column:
@@ -139,7 +136,7 @@ def merged(word: Column, edges: Column) -> Column:
     """The boundaries that merging leaves, as the bits of a long."""
 
     def merge(left: Column, packed: Column) -> Column:
-        start, end, _ = _edge(packed)
+        start, end = _edge(packed)
         inner = _power(end) - _power(start + 1)
         halves = left.bitwiseAND(inner)
         ends = _power(start).bitwiseOR(_power(end))
@@ -150,72 +147,67 @@ def merged(word: Column, edges: Column) -> Column:
         )
         return F.when(whole, left.bitwiseAND(F.bitwise_not(inner))).otherwise(left)
 
-    return F.aggregate(edges, _power(F.char_length(word) + 1) - 1, merge)
-
+    return F.aggregate(edges, unmerged(word), merge)
 
-def cut_places(word: Column, bounds: Column) -> Column:
-    def is_bound(i: Column) -> Column:
-        return F.call_function("shiftright", bounds, i).bitwiseAND(F.lit(1)) == 1
 
-    return F.filter(F.sequence(F.lit(0), F.char_length(word)), is_bound)
-
-
-def ids_of(word: Column, edges: Column, cuts: Column, pieces: Pieces) -> Column:
-    """The piece ids between the cuts; the bytes' ids where no piece is."""
-    table = F.array(*[F.lit(i) for i in pieces.byte_ids])
-
-    def between(start: Column, end: Column) -> Column:
-        def here(p: Column) -> Column:
-            from_, to, _ = _edge(p)
-            return (from_ == start) & (to == end)
-
-        piece = F.get(F.filter(edges, here), F.lit(0))
-        hexed = F.hex(F.encode(F.substring(word, start + 1, end - start), "UTF-8"))
-        spelled = F.transform(
-            F.sequence(F.lit(1), F.char_length(hexed), F.lit(2)),
-            lambda at: F.element_at(
-                table, F.conv(F.substring(hexed, at, F.lit(2)), 16, 10).cast("int") + 1
-            ),
-        )
-        return F.when(piece.isNotNull(), F.array(_edge(piece)[2])).otherwise(spelled)
+def unmerged(word: Column) -> Column:
+    return _power(F.char_length(word) + 1) - 1
 
-    firsts = F.slice(cuts, F.lit(1), F.size(cuts) - 1)
-    lasts = F.slice(cuts, F.lit(2), F.size(cuts) - 1)
-    return F.flatten(F.zip_with(firsts, lasts, between))
 
+# Words a task may group before Spark falls back to sorting their edges.
+GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 
-def word_codes(docs: DataFrame, pieces: Pieces, most: int = TABLE_WORDS) -> DataFrame:
-    """(word, ids) of the most frequent words of the texts.
 
-    Each step is written, else the optimizer would repeat the fold in the lambdas after it.
-    """
+def word_bounds(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """(word, bounds) of the words in which anything merges; each word may be listed often."""
+    spark = words.sparkSession
+    different = words.agg(F.approx_count_distinct("word")).first()[0]
+    n = max(spark.sparkContext.defaultParallelism, -(-different // LATTICE_WORDS))
+    dealt = words.select("word").repartition(n, "word").distinct()
     word, edges = F.col("word"), F.col("edges")
-    lattices = lattice(frequent_words(docs, most), pieces)
-    folds = stage(lattices.select("word", "edges", merged(word, edges).alias("bounds")), "folds")
-    cut = folds.select("word", "edges", cut_places(word, F.col("bounds")).alias("cuts"))
-    cut = stage(cut, "cuts")
-    return cut.select("word", ids_of(word, edges, F.col("cuts"), pieces).alias("ids"))
+    before = spark.conf.get(GROUPS)
+    spark.conf.set(GROUPS, str(2 * LATTICE_WORDS))
+    try:
+        return stage(lattice(dealt, pieces).select("word", merged(word, edges).alias("bounds")), "bounds")
+    finally:
+        spark.conf.set(GROUPS, before)
 
 
 # --- in the tasks ----------------------------------------------------------------
 
 
 class Encoder(dict):
-    """Words to their ids as bytes of 32-bit numbers; folds a word it does not have."""
+    """Words to their ids as bytes of 32-bit numbers, by the boundaries known of the words.
 
-    def __init__(self, pieces: Pieces, table: dict[str, bytes]):
-        super().__init__(table)
-        self.pieces, self.table = pieces, table
-        self.added: list[str] = []
+    A word without, longer than a number has bits, is merged here.
+    """
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces = pieces
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = code = np.array(self.fold(word), np.int32).tobytes()
-        self.added.append(word)
+        code = self.coded(self.fold(word))
+        if len(word) <= FOLD_CHARS:
+            self[word] = code
         return code
 
-    def fold(self, word: str) -> list[int]:
+    def learn(self, word: str, bounds: int) -> None:
+        """Bit n is set if a piece ends before character n."""
+        parts, at = [], 0
+        for end in range(1, len(word) + 1):
+            if bounds >> end & 1:
+                parts.append(word[at:end])
+                at = end
+        self[word] = self.coded(parts)
+
+    def coded(self, parts: list[str]) -> bytes:
+        codes = self.pieces.codes
+        return b"".join([codes[p] for p in parts])
+
+    def fold(self, word: str) -> list[str]:
         """Merge by rank, leftmost first.  A long word keeps its candidates in a heap."""
-        ids, ranks = self.pieces.ids, self.pieces.ranks
+        ranks = self.pieces.ranks
         if len(word) > FOLD_CHARS:
             parts = self._merged_long(word)
         else:
@@ -234,13 +226,7 @@ class Encoder(dict):
                     found[at - 1] = ranks.get(parts[at - 1] + parts[at])
                 if at < len(found):
                     found[at] = ranks.get(parts[at] + parts[at + 1])
-        out = []
-        for part in parts:
-            if part in ids:
-                out.append(ids[part])
-            else:
-                out += [self.pieces.byte_ids[b] for b in part.encode()]
-        return out
+        return parts
 
     def _merged_long(self, word: str) -> list[str]:
         from heapq import heapify, heappop, heappush
@@ -274,66 +260,105 @@ class Encoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = SEGMENT.findall(MARK + text.replace(" ", MARK))
-        code = b"".join(map(self.__getitem__, words))
-        if len(self) > len(self.table) + MEMO_WORDS:
-            self.clear()
-            self.update(self.table)
-            self.added.clear()
-        elif self.added:
-            for word in self.added:
-                if len(word) > MEMO_CHARS:
-                    self.pop(word, None)
-            self.added.clear()
-        return code
+        return b"".join(map(self.__getitem__, words_of(text)))
 
 
-_ENCODERS: dict = {}
+def words_of(text: str) -> list[str]:
+    """The words of a text that is not empty, each with the marks before it."""
+    return SEGMENT.findall(MARK + text.replace(" ", MARK))
 
 
-def _encoder(model_path: str, table) -> Encoder:
-    """One encoder per worker and table."""
-    if table.id not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[table.id] = Encoder(load_pieces(model_path), table.value)
-    return _ENCODERS[table.id]
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches and the block of each row: the task's own numbers, a new one every so many bytes.
 
+    It goes by the order of rows alone, so reading the rows again numbers them alike.  Where
+    their order changes, a block lists words that it has not, and merges others itself.
+    """
+    first, total = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        ends = total + np.cumsum(sizes, dtype=np.int64)
+        yield batch, first + (ends - sizes) // BLOCK_BYTES
+        total = int(ends[-1]) if len(ends) else total
 
-class _Table:
-    """A broadcast with a name that tells it from others in a worker."""
 
-    def __init__(self, spark: SparkSession, codes: dict[str, bytes]):
-        import uuid
+def _list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, word): the different words of each block that the lattice folds."""
 
-        self.id, self.sent = uuid.uuid4().hex, spark.sparkContext.broadcast(codes)
+    def listed(block, words):
+        words = sorted(w for w in words if len(w) <= FOLD_CHARS)
+        for at in range(0, len(words), LISTED):
+            some = words[at : at + LISTED]
+            yield pa.record_batch([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.string())],
+                                  names=["block", "word"])
 
-    @property
-    def value(self) -> dict[str, bytes]:
-        return self.sent.value
-
-
-def encoder(docs: DataFrame, model_path: str, table_words: int = TABLE_WORDS):
-    """An Arrow function from texts to piece ids, with the codes of the frequent words of ``docs``."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    codes = word_codes(docs, load_pieces(model_path), table_words)
-    # At most table_words rows.
-    table = _Table(spark, {
-        r.word: np.array(r.ids, np.int32).tobytes() for r in codes.collect()
-    })
-
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = _encoder(model_path, table)
+    current, seen = None, set()
+    for batch, blocks in _blocks(batches):
+        for block, text in zip(blocks.tolist(), batch.column("text").to_pylist()):
+            if block != current:
+                yield from listed(current, seen)
+                current, seen = block, set()
+            if text:
+                seen.update(words_of(text))
+    yield from listed(current, seen)
+
+
+def _add_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, blocks in _blocks(batches):
+        yield batch.append_column("block", pa.array(blocks, pa.int64()))
+
+
+def _block_encoder(model_path: str):
+    """Rows of a block, its words before its texts: one block's words are held at a time."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, current, own = load_pieces(model_path), None, None
         for batch in batches:
-            parts = [own.encode(t) for t in batch.to_pylist()]
-            ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
-            values = np.frombuffer(b"".join(parts), np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+            key = batch.column("block").to_numpy() * 2 + batch.column("is_text").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                rows, block = batch.slice(lo, hi - lo), int(key[lo]) >> 1
+                if block != current:
+                    current, own = block, Encoder(pieces)
+                if not key[lo] & 1:
+                    for word, bounds in zip(rows.column("word").to_pylist(), rows.column("bounds").to_pylist()):
+                        own.learn(word, bounds)
+                    continue
+                parts = [own.encode(t) for t in rows.column("text").to_pylist()]
+                ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(parts), np.int32), pa.int32())
+                yield pa.record_batch([rows.column("kept"), pa.ListArray.from_arrays(pa.array(ends), values)],
+                                      names=["kept", "ids"])
 
     return encode
 
 
+def encode_texts(docs: DataFrame, model_path: str, columns: list[str], text_col: str = "text") -> DataFrame:
+    """The given columns of all rows, and ``ids``: the piece ids of each whole text."""
+    bounded_batches(docs.sparkSession)
+    pieces = load_pieces(model_path)
+    rows = docs.select(F.struct(*columns).alias("kept"), F.col(text_col).alias("text"))
+    kept = rows.schema["kept"].dataType
+    pairs = stage(rows.select("text").mapInArrow(_list_words, "block long, word string"), "words")
+    bounds = word_bounds(pairs, pieces)
+    word = F.col("word")
+    lists = pairs.join(bounds, "word", "left").select(
+        "block", F.lit(False).alias("is_text"), "word",
+        F.coalesce("bounds", unmerged(word)).alias("bounds"),
+        F.lit(None).cast(kept).alias("kept"), F.lit(None).cast("string").alias("text"),
+    )
+    numbered = StructType([*rows.schema.fields]).add("block", "long")
+    texts = rows.mapInArrow(_add_block, numbered).select(
+        "block", F.lit(True).alias("is_text"), F.lit(None).cast("string").alias("word"),
+        F.lit(None).cast("long").alias("bounds"), "kept", "text",
+    )
+    met = lists.unionAll(texts).repartition("block").sortWithinPartitions("block", "is_text")
+    out = StructType().add("kept", kept).add("ids", ArrayType(IntegerType()))
+    return met.mapInArrow(_block_encoder(model_path), out).select("kept.*", "ids")
+
+
 def decoder(model_path: str):
     """An Arrow function from piece ids to the text; NULL and no ids give an empty text."""
 
@@ -362,9 +387,7 @@ def _spell(ids, lengths, begins, letters) -> tuple[bytes, np.ndarray]:
     return letters[at].tobytes(), ends
 
 
-def encode_documents(
-    docs: DataFrame, model_path: str, table_words: int = TABLE_WORDS
-) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """Rows (doc_id, ids, decoded): the piece ids of each whole text, and the text they spell.
 
     The ids are those of the library without begin, end or other added ids.  A NULL text
@@ -372,7 +395,5 @@ def encode_documents(
     a space to the vocabulary.  Every row gives a row, repeated ids and NULL ids too; an empty
     table gives none; other columns are not read.
     """
-    rows = docs.select("doc_id", "text")
-    encode = encoder(rows, model_path, table_words)
-    encoded = rows.select("doc_id", encode("text").alias("ids"))
+    encoded = encode_texts(docs, model_path, ["doc_id"])
     return encoded.withColumn("decoded", decoder(model_path)("ids"))
