@@ -16,7 +16,7 @@ from windrow.llm.language import UNDETERMINED, fit, learned_on, predicted
 from windrow.llm.lines import line_dedup
 from windrow.llm.minhash import near_duplicates
 from windrow.llm.mixing import mixed_rows
-from windrow.llm.pieces import encoder
+from windrow.llm.pieces import encode_texts
 from windrow.runtime import discard, staging
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -56,8 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids): what training reads."""
-    encode = encoder(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
-    encoded = docs.select("doc_id", "source", encode("text").alias("ids"))
+    encoded = encode_texts(docs, public_tokenizers.path(VOCABULARY), ["doc_id", "source"])
     return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
