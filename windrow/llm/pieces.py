@@ -5,8 +5,9 @@ Texts are cut into blocks of bounded size where they are read, and each block li
 different words.  All words are encoded relationally, each once: their substrings up to the
 longest piece's length are exploded, joined to the piece table, and the edges found are
 grouped by word and folded with a higher-order aggregate to the boundaries of its pieces.
-The boundaries are joined back to the blocks' lists, and each block's list goes to the task
-that encodes its texts, before them.  No table of words is broadcast.
+The boundaries go back to the blocks' lists, and each block's lists go to the task that
+encodes its texts, before them.  Lists travel packed: a row holds the words that a block and
+a bucket of words (by a hash) share.  No table of words is broadcast.
 
 The fold follows the model's kind.  Merging by rank is what a BPE model does: edges are taken
 in the order of their rank, leftmost first, and an edge is merged if its two halves are
@@ -18,6 +19,8 @@ up to 62 characters; longer ones are merged in the tasks.  A path of the best su
 from __future__ import annotations
 
 import re
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -25,6 +28,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +41,13 @@ from windrow.runtime import stage
 MARK = "▁"
 WORDS = f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+"
 SEGMENT = re.compile(WORDS)
+_ZSTD = zstandard.ZstdCompressor(level=3)
 
 # The text of a block, in bytes, and the words that one task folds.
 BLOCK_BYTES = 16 << 20
 LATTICE_WORDS = 50_000
-LISTED = 1 << 16
+# A bucket of words for so many bytes of text, and the most buckets; words grow slower than text.
+BUCKET_BYTES, MAX_BUCKETS = 4 << 20, 4096
 # Boundaries of a word are bits of a long.
 FOLD_CHARS = 62
 
@@ -147,11 +153,7 @@ def merged(word: Column, edges: Column) -> Column:
         )
         return F.when(whole, left.bitwiseAND(F.bitwise_not(inner))).otherwise(left)
 
-    return F.aggregate(edges, unmerged(word), merge)
-
-
-def unmerged(word: Column) -> Column:
-    return _power(F.char_length(word) + 1) - 1
+    return F.aggregate(edges, _power(F.char_length(word) + 1) - 1, merge)
 
 
 # Words a task may group before Spark falls back to sorting their edges.
@@ -161,9 +163,9 @@ GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 def word_bounds(words: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, bounds) of the words in which anything merges; each word may be listed often."""
     spark = words.sparkSession
-    different = words.agg(F.approx_count_distinct("word")).first()[0]
-    n = max(spark.sparkContext.defaultParallelism, -(-different // LATTICE_WORDS))
-    dealt = words.select("word").repartition(n, "word").distinct()
+    words = stage(words.select("word"), "words")
+    n = max(spark.sparkContext.defaultParallelism, -(-words.count() // LATTICE_WORDS))
+    dealt = words.repartition(n, "word").distinct()
     word, edges = F.col("word"), F.col("edges")
     before = spark.conf.get(GROUPS)
     spark.conf.set(GROUPS, str(2 * LATTICE_WORDS))
@@ -192,9 +194,14 @@ class Encoder(dict):
             self[word] = code
         return code
 
+    def listed(self, words: list[str], bounds: np.ndarray) -> None:
+        for word, bits in zip(words, bounds.tolist()):
+            self.learn(word, bits)
+
     def learn(self, word: str, bounds: int) -> None:
-        """Bit n is set if a piece ends before character n."""
+        """Bit n is set if a piece ends before character n; 0 where nothing merges."""
         parts, at = [], 0
+        bounds = bounds or (2 << len(word)) - 1
         for end in range(1, len(word) + 1):
             if bounds >> end & 1:
                 parts.append(word[at:end])
@@ -282,25 +289,88 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
         total = int(ends[-1]) if len(ends) else total
 
 
-def _list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, word): the different words of each block that the lattice folds."""
+def _pack_words(words: list[str]) -> bytes:
+    """Only a word that is not packed, a line's end, holds a line's end."""
+    return _ZSTD.compress("\n".join(words).encode())
+
+
+def _unpack_words(data: bytes) -> list[str]:
+    return zstandard.decompress(data).decode().split("\n")
+
+
+def _bucket(word: str, n_buckets: int) -> int:
+    return zlib.crc32(word.encode()) % n_buckets
+
+
+LISTS = "bucket int, block long, words binary"
+
+
+def _list_words(n_buckets: int):
+    """The different words of each block that the lattice folds, by bucket.
+
+    A word of one character has nothing to merge.
+    """
 
     def listed(block, words):
-        words = sorted(w for w in words if len(w) <= FOLD_CHARS)
-        for at in range(0, len(words), LISTED):
-            some = words[at : at + LISTED]
-            yield pa.record_batch([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.string())],
-                                  names=["block", "word"])
+        buckets = defaultdict(list)
+        for word in sorted(words):
+            if 1 < len(word) <= FOLD_CHARS:
+                buckets[_bucket(word, n_buckets)].append(word)
+        yield pa.record_batch(
+            [pa.array(list(buckets), pa.int32()), pa.array([block] * len(buckets), pa.int64()),
+             pa.array([_pack_words(w) for w in buckets.values()], pa.binary())],
+            names=["bucket", "block", "words"],
+        )
 
+    def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seen = None, set()
+        for batch, blocks in _blocks(batches):
+            for block, text in zip(blocks.tolist(), batch.column("text").to_pylist()):
+                if block != current:
+                    yield from listed(current, seen)
+                    current, seen = block, set()
+                if text:
+                    seen.update(words_of(text))
+        yield from listed(current, seen)
+
+    return list_words
+
+
+def _different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists in the order of their buckets to (word), each of a bucket once."""
     current, seen = None, set()
-    for batch, blocks in _blocks(batches):
-        for block, text in zip(blocks.tolist(), batch.column("text").to_pylist()):
-            if block != current:
-                yield from listed(current, seen)
-                current, seen = block, set()
-            if text:
-                seen.update(words_of(text))
-    yield from listed(current, seen)
+    for batch in batches:
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist()):
+            if bucket != current:
+                current, seen = bucket, set()
+            new = [w for w in _unpack_words(data) if w not in seen]
+            seen.update(new)
+            yield pa.record_batch([pa.array(new, pa.string())], names=["word"])
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The boundaries of a bucket's words, then its lists, to each list and its words' boundaries.
+
+    A word without an answer, 0, has nothing to merge.  One bucket is held at a time.
+    """
+    current, known = None, {}
+    for batch in batches:
+        columns = [batch.column(n).to_pylist() for n in ("bucket", "word", "bounds", "block", "words")]
+        blocks, words, answers = [], [], []
+        for bucket, word, bounds, block, listed in zip(*columns):
+            if bucket != current:
+                current, known = bucket, {}
+            if word is not None:
+                known[word] = bounds
+                continue
+            found = np.array([known.get(w, 0) for w in _unpack_words(listed)], np.int64)
+            blocks.append(block)
+            words.append(listed)
+            answers.append(_ZSTD.compress(found.tobytes()))
+        yield pa.record_batch(
+            [pa.array(blocks, pa.int64()), pa.array(words, pa.binary()), pa.array(answers, pa.binary())],
+            names=["block", "words", "bounds"],
+        )
 
 
 def _add_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,8 +393,8 @@ def _block_encoder(model_path: str):
                 if block != current:
                     current, own = block, Encoder(pieces)
                 if not key[lo] & 1:
-                    for word, bounds in zip(rows.column("word").to_pylist(), rows.column("bounds").to_pylist()):
-                        own.learn(word, bounds)
+                    for words, data in zip(rows.column("words").to_pylist(), rows.column("bounds").to_pylist()):
+                        own.listed(_unpack_words(words), np.frombuffer(zstandard.decompress(data), np.int64))
                     continue
                 parts = [own.encode(t) for t in rows.column("text").to_pylist()]
                 ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
@@ -341,19 +411,27 @@ def encode_texts(docs: DataFrame, model_path: str, columns: list[str], text_col:
     pieces = load_pieces(model_path)
     rows = docs.select(F.struct(*columns).alias("kept"), F.col(text_col).alias("text"))
     kept = rows.schema["kept"].dataType
-    pairs = stage(rows.select("text").mapInArrow(_list_words, "block long, word string"), "words")
-    bounds = word_bounds(pairs, pieces)
-    word = F.col("word")
-    lists = pairs.join(bounds, "word", "left").select(
-        "block", F.lit(False).alias("is_text"), "word",
-        F.coalesce("bounds", unmerged(word)).alias("bounds"),
-        F.lit(None).cast(kept).alias("kept"), F.lit(None).cast("string").alias("text"),
+    size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = min(MAX_BUCKETS, 1 + size // BUCKET_BYTES)
+    lists = stage(rows.select("text").mapInArrow(_list_words(n_buckets), LISTS), "lists")
+    by_bucket = lists.repartition("bucket").sortWithinPartitions("bucket")
+    bounds = word_bounds(by_bucket.mapInArrow(_different, "word string"), pieces)
+    null = lambda kind: F.lit(None).cast(kind)
+    of_word = F.crc32(F.col("word").cast("binary")) % n_buckets
+    asked = bounds.select(of_word.cast("int").alias("bucket"), F.lit(False).alias("asks"), "word", "bounds",
+                          null("long").alias("block"), null("binary").alias("words"))
+    asked = asked.unionAll(lists.select(
+        "bucket", F.lit(True).alias("asks"), null("string").alias("word"), null("long").alias("bounds"),
+        "block", "words"))
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket", "asks").mapInArrow(
+        _answer, "block long, words binary, bounds binary"
     )
+    lists = answers.select("block", F.lit(False).alias("is_text"), "words", "bounds",
+                           null(kept).alias("kept"), null("string").alias("text"))
     numbered = StructType([*rows.schema.fields]).add("block", "long")
     texts = rows.mapInArrow(_add_block, numbered).select(
-        "block", F.lit(True).alias("is_text"), F.lit(None).cast("string").alias("word"),
-        F.lit(None).cast("long").alias("bounds"), "kept", "text",
-    )
+        "block", F.lit(True).alias("is_text"), null("binary").alias("words"), null("binary").alias("bounds"),
+        "kept", "text")
     met = lists.unionAll(texts).repartition("block").sortWithinPartitions("block", "is_text")
     out = StructType().add("kept", kept).add("ids", ArrayType(IntegerType()))
     return met.mapInArrow(_block_encoder(model_path), out).select("kept.*", "ids")
