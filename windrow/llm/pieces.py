@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from windrow.llm.common import bounded_batches
-from windrow.runtime import stage
+from windrow.runtime import discard, stage
 
 # Fixed value: what sentencepiece writes for a space.
 MARK = "▁"
@@ -173,6 +173,7 @@ def word_bounds(words: DataFrame, pieces: Pieces) -> DataFrame:
         return stage(lattice(dealt, pieces).select("word", merged(word, edges).alias("bounds")), "bounds")
     finally:
         spark.conf.set(GROUPS, before)
+        discard(words)
 
 
 # --- in the tasks ----------------------------------------------------------------
@@ -373,9 +374,20 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _add_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, rows): rows of one block, packed as a compressed Arrow stream."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch, blocks in _blocks(batches):
-        yield batch.append_column("block", pa.array(blocks, pa.int64()))
+        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if lo < hi:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+                    stream.write_batch(batch.slice(lo, hi - lo))
+                yield pa.record_batch(
+                    [pa.array([int(blocks[lo])], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                    names=["block", "rows"],
+                )
 
 
 def _block_encoder(model_path: str):
@@ -384,23 +396,19 @@ def _block_encoder(model_path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, current, own = load_pieces(model_path), None, None
         for batch in batches:
-            key = batch.column("block").to_numpy() * 2 + batch.column("is_text").to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if lo == hi:
-                    continue
-                rows, block = batch.slice(lo, hi - lo), int(key[lo]) >> 1
+            columns = [batch.column(n).to_pylist() for n in ("block", "words", "bounds", "rows")]
+            for block, words, bounds, packed in zip(*columns):
                 if block != current:
                     current, own = block, Encoder(pieces)
-                if not key[lo] & 1:
-                    for words, data in zip(rows.column("words").to_pylist(), rows.column("bounds").to_pylist()):
-                        own.listed(_unpack_words(words), np.frombuffer(zstandard.decompress(data), np.int64))
+                if packed is None:
+                    own.listed(_unpack_words(words), np.frombuffer(zstandard.decompress(bounds), np.int64))
                     continue
-                parts = [own.encode(t) for t in rows.column("text").to_pylist()]
-                ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(parts), np.int32), pa.int32())
-                yield pa.record_batch([rows.column("kept"), pa.ListArray.from_arrays(pa.array(ends), values)],
-                                      names=["kept", "ids"])
+                for rows in pa.ipc.open_stream(packed):
+                    parts = [own.encode(t) for t in rows.column("text").to_pylist()]
+                    ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
+                    values = pa.array(np.frombuffer(b"".join(parts), np.int32), pa.int32())
+                    ids = pa.ListArray.from_arrays(pa.array(ends), values)
+                    yield pa.record_batch([rows.column("kept"), ids], names=["kept", "ids"])
 
     return encode
 
@@ -426,12 +434,9 @@ def encode_texts(docs: DataFrame, model_path: str, columns: list[str], text_col:
     answers = asked.repartition("bucket").sortWithinPartitions("bucket", "asks").mapInArrow(
         _answer, "block long, words binary, bounds binary"
     )
-    lists = answers.select("block", F.lit(False).alias("is_text"), "words", "bounds",
-                           null(kept).alias("kept"), null("string").alias("text"))
-    numbered = StructType([*rows.schema.fields]).add("block", "long")
-    texts = rows.mapInArrow(_add_block, numbered).select(
-        "block", F.lit(True).alias("is_text"), null("binary").alias("words"), null("binary").alias("bounds"),
-        "kept", "text")
+    lists = answers.select("block", F.lit(False).alias("is_text"), "words", "bounds", null("binary").alias("rows"))
+    texts = rows.mapInArrow(_pack_texts, "block long, rows binary").select(
+        "block", F.lit(True).alias("is_text"), null("binary").alias("words"), null("binary").alias("bounds"), "rows")
     met = lists.unionAll(texts).repartition("block").sortWithinPartitions("block", "is_text")
     out = StructType().add("kept", kept).add("ids", ArrayType(IntegerType()))
     return met.mapInArrow(_block_encoder(model_path), out).select("kept.*", "ids")
