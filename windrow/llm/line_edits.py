@@ -90,6 +90,9 @@ def distance(a: str, b: str) -> int:
 
 def surely_within(a: str, b: str, most: int) -> bool:
     """Whether the distance is shown to be ``most`` at the highest; False leaves it open."""
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(s), len(t)) for s, t in zip(x, y) if s != t) <= most:
+        return True
     between = gaps(a, b)
     if sum(max(len(s), len(t)) for s, t in between) <= most:
         return True

@@ -10,12 +10,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from math import log, log2
+from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from windrow.llm.common import SPACE
 
@@ -29,6 +27,9 @@ CHUNK_WORDS = 1 << 15
 CHUNK_BYTES = 1 << 20
 # A class of length spans so much of its logarithm; lines near its end are in the next one, too.
 CLASS_WIDTH = 0.8
+# Blocks of a key and number of keys.  Fewer blocks find as much with fewer keys, but let more strangers meet.
+KEY_BLOCKS = 5
+N_KEYS = 48
 
 LINES = "doc_id long, line_no int, text_a long, text_b long, chars int, " + ", ".join(
     f"sim_{i} long" for i in range(LONGS)
@@ -155,34 +156,32 @@ def line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def key_blocks(n_nodes: int) -> list[list[int]]:
-    """The blocks of each key, for so many different lines.
-
-    Chance meetings grow with the square of the lines, so a key has a block more for every
-    sixteen times as many.  Longer keys agree less often, so there are a third more of them.
-    """
-    blocks = max(4, round(log2(max(2, n_nodes)) / BLOCK_BITS))
-    n_keys = round(28 * 1.35 ** (blocks - 5))
+def key_blocks() -> list[list[int]]:
+    """The blocks of each key, the same for every table: whether two lines meet is told by the
+    two alone."""
     rng, keys = np.random.default_rng(11), []
-    while len(keys) < n_keys:  # every round uses every block once
+    while len(keys) < N_KEYS:  # every round uses every block once
         order = rng.permutation(HASH_BITS // BLOCK_BITS).tolist()
-        keys += [sorted(order[i : i + blocks]) for i in range(0, len(order) - blocks + 1, blocks)]
-    return keys[:n_keys]
-
-
-def keys_of(keys: list[list[int]], first: int, similarity: float) -> Column:
-    """The keys of a line from ``chars`` and ``sim_*``: one or two each, by class of length."""
-    size = F.log(F.col("chars")) / F.lit(CLASS_WIDTH)
-    own = F.floor(size)
-    above = size - own > 1 + log(similarity * 0.999) / CLASS_WIDTH
-    out = []
-    for i, blocks in enumerate(keys, first):
-        masked = []
-        for j in range(LONGS):
-            mask = sum(0xF << (BLOCK_BITS * (b % 16)) for b in blocks if b // 16 == j)
-            if mask:
-                mask -= (mask >> 63) << 64
-                masked.append(F.col(f"sim_{j}").bitwiseAND(F.lit(mask)))
-        out.append(F.xxhash64(F.lit(i), own, *masked))
-        out.append(F.when(above, F.xxhash64(F.lit(i), own + 1, *masked)))
-    return F.array_compact(F.array(*out))
+        keys += [sorted(order[i : i + KEY_BLOCKS]) for i in range(0, len(order) - KEY_BLOCKS + 1, KEY_BLOCKS)]
+    return keys[:N_KEYS]
+
+
+def key_masks(keys: list[list[int]]) -> list[np.ndarray]:
+    """The bits of each key, by the longs of a hash."""
+    longs = [[sum(0xF << (BLOCK_BITS * (b % 16)) for b in blocks if b // 16 == j) for j in range(LONGS)] for blocks in keys]
+    return [np.array(x, np.uint64) for x in longs]
+
+
+def class_of(chars: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The class of length of each line, and whether it is in the next one, too."""
+    size = np.log(chars) / CLASS_WIDTH
+    own = np.floor(size)
+    return own.astype(np.int64), size - own > 1 + log(similarity * 0.999) / CLASS_WIDTH
+
+
+def key_hashes(sims: np.ndarray, size: np.ndarray, mask: np.ndarray, number: int) -> np.ndarray:
+    """One key of many lines, from their hashes and classes of length."""
+    told = (size * N_KEYS + number).astype(np.uint64) * GOLDEN
+    for j in np.flatnonzero(mask):
+        told = told + mixed((sims[:, j] & mask[j]) * _odd[2 + j])
+    return mixed(told)

@@ -2,11 +2,15 @@
 
 A line is normalised to lower case and single blanks.  Equal normalised lines are one node,
 which stands for its first occurrence.  A node's SimHash is cut into blocks of four bits; nodes
-meet where all blocks of a key agree, and are compared by edit similarity, in large buckets
-with hubs rather than pair by pair.  Of each connected group the first occurrence stays.  Keys
-are made from the hashes as they are dealt out, a few at a time, and only nodes that met are
-ever written.  In between a node goes by 64 bits of its digest; texts are looked up before a
-link is made, so that ids that are equal by chance only cost a comparison.
+meet where all blocks of a key agree, and near ones are compared by edit similarity.  The keys
+are the same for every table, so the links of two lines do not depend on other lines.  Of each
+connected group the first occurrence stays.
+
+Pairs are told in three rounds, so that their number goes with the nodes and not with the square
+of a group: each node with one that leads its bucket, then each with two of other components,
+then all pairs across components that are left.  A node that met nothing near is in none of
+them.  In between a node goes by 64 bits of its digest; texts are looked up before a link is
+made, so that ids that are equal by chance only cost a comparison.
 """
 
 from __future__ import annotations
@@ -18,30 +22,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.buckets import link_buckets
 from windrow.llm.common import SPACE, bounded_batches
 from windrow.llm.components import components
 from windrow.llm.line_edits import within
-from windrow.llm.line_hash import LINES, LONGS, key_blocks, keys_of, line_rows
+from windrow.llm.line_hash import LINES, LONGS, key_blocks, line_rows
+from windrow.llm.line_meet import MAX_BITS, met
 from windrow.runtime import stage, staging
 
 SIMILARITY = 0.85
-HUB_ROUNDS = 2
-# Of 64 bits of two hashes so many may differ in lines that are compared at all; similar ones
-# differ in some 7, strangers in 32.
-MAX_BITS = 20
-# And so many of all 256 in lines whose texts are looked at: similar ones differ in some 25, in
-# 45 at the most of 19 in 20 pairs, strangers in 124 and hardly ever in fewer than 90.
+# Of the 256 bits of two hashes so many may differ in lines whose texts are compared: similar ones differ in some 25, in 45 at
+# the most of 19 in 20 pairs, strangers in 124 and hardly ever in fewer than 90.
 MAX_APART = 60
 # So many keys of every line are dealt out at a time.
 KEYS_AT_ONCE = 10
-# Buckets of up to so many nodes are compared pair by pair, larger ones by hubs.
+# Buckets of up to so many nodes are told by ``bucket_rows`` pair by pair, larger ones by node.
 SMALL_BUCKET = 16
 # Lists of line numbers are broadcast up to this size, some 20 MB.
 MAX_BROADCAST_DOCS = 100_000
 MAX_BROADCAST_ENTRIES = 300_000
 
-MET = "key long, a long, b long"
+BUCKETS = "key long, a long, b long"
 
 
 def bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,20 +58,20 @@ def bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hot, now = None, now[:, until:]
         now = np.concatenate([held, now], axis=1)
         last = int(np.flatnonzero(np.diff(now[0], prepend=~now[0, 0]))[-1])
-        yield from _met(now[:, :last])
+        yield from _met_pairs(now[:, :last])
         held = now[:, last:]
         if held.shape[1] > SMALL_BUCKET:
             hot = held[0, 0]
             yield _told(held)
             held = held[:, :0]
-    yield from _met(held)
+    yield from _met_pairs(held)
 
 
 def _told(members: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, pa.int64()) for c in members], names=["key", "a", "b"])
 
 
-def _met(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _met_pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
     keys, ids, sims = rows
     if len(keys) < 2:
         return
@@ -92,28 +92,27 @@ def _met(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.nulls(len(a), pa.int64()), a, b], names=["key", "a", "b"])
 
 
-def _close(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
-
-
 def _normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
 
 
 def _node_texts(docs: DataFrame, nodes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, node, text) of the nodes of some ids, looked up where they occur first."""
+    """(id, sims, text) of the nodes of some ids, looked up where they occur first."""
+    sims = F.array(*(f"sim_{i}" for i in range(LONGS))).alias("sims")
+    place = F.struct("id", F.col("node.line_no").alias("line_no"), sims)
     wanted = nodes.join(ids, "id").groupBy(F.col("node.doc_id").alias("doc_id")).agg(
-        F.collect_list(F.struct("id", F.col("node.line_no").alias("line_no"))).alias("places")
+        F.collect_list(place).alias("places")
     )
     lines = _join_bounded(docs, stage(wanted, "wanted"), F.size("places"), "inner")
     lines = lines.select("doc_id", F.split("text", "\n").alias("lines"), F.explode("places").alias("p"))
     line = F.get("lines", F.col("p.line_no"))
     return stage(
         lines.select(
-            F.col("p.id").alias("id"),
-            F.struct("doc_id", F.col("p.line_no").alias("line_no")).alias("node"),
+            F.struct("doc_id", "p.line_no").alias("node"),
+            "p.id",
+            "p.sims",
             _normal(line).alias("text"),
-        ).dropDuplicates(["node"]),
+        ).dropDuplicates(["node"]).drop("node"),
         "texts",
     )
 
@@ -127,11 +126,14 @@ def _join_bounded(docs: DataFrame, small: DataFrame, entries: Column, how: str)
 
 
 def _similar(similarity: float) -> Column:
-    """Whether two texts are similar."""
-    longest = F.greatest(F.char_length("text_a"), F.char_length("text_b"))
-    shortest = F.least(F.char_length("text_a"), F.char_length("text_b"))
-    most = _most(longest, similarity)
-    return (longest - shortest <= most) & within("text_a", "text_b", most)
+    """Whether two texts are similar; only those are compared whose hashes and lengths are near."""
+    chars = [F.char_length(f"end_{x}.text") for x in "ab"]
+    shorter, longer = F.least(*chars), F.greatest(*chars)
+    most = _most(longer, similarity)
+    sims = [[F.col(f"end_{x}.sims")[i] for x in "ab"] for i in range(LONGS)]
+    apart = [F.bit_count(a.bitwiseXOR(b)) for a, b in sims]
+    near = (longer - shorter <= most) & (sum(apart[1:], apart[0]) <= MAX_APART)
+    return near & within("end_a.text", "end_b.text", most)
 
 
 def _nodes(places: DataFrame) -> DataFrame:
@@ -141,18 +143,30 @@ def _nodes(places: DataFrame) -> DataFrame:
     return stage(nodes.withColumnRenamed("text_a", "id").drop("text_b"), "nodes")
 
 
-def _meetings(nodes: DataFrame, similarity: float) -> DataFrame:
-    """What met under any key: see ``bucket_rows``."""
-    keys, found = key_blocks(nodes.count()), None
-    for lo in range(0, len(keys), KEYS_AT_ONCE):
-        some = keys_of(keys[lo : lo + KEYS_AT_ONCE], lo, similarity)
-        dealt = nodes.select(F.explode(some).alias("key"), "id", F.col(f"sim_{LONGS - 1}").alias("sim"))
-        dealt = dealt.repartition("key").sortWithinPartitions("key")
-        met = stage(dealt.mapInArrow(bucket_rows, MET), "met")
-        found = met if found is None else found.union(met)
+def _met(nodes: DataFrame, similarity: float, n_nodes: int, every: bool = False) -> DataFrame:
+    """(id, other): what met under any key, see ``line_meet.met``.
+
+    The fewer of the ``n_nodes`` nodes of the table there are, the more keys are dealt at a time.
+    """
+    keys, n, found = key_blocks(), nodes.count(), None
+    at_once = KEYS_AT_ONCE * max(1, n_nodes // max(1, n))
+    for lo in range(0, len(keys), at_once):
+        some = stage(met(nodes, keys[lo : lo + at_once], lo, similarity, n, every), "met")
+        found = some if found is None else found.union(some)
     return found
 
 
+def _labelled(nodes: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes that are told, with the label of their component."""
+    some = nodes.join(told.select("id").distinct(), "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    return stage(some.withColumn("label", F.coalesce("label", "id")), "labelled")
+
+
+def _pairs_of(told: DataFrame) -> DataFrame:
+    pairs = told.filter(F.col("id") != F.col("other"))
+    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, dropped): the numbers, from 0, of lines that are a later occurrence."""
     bounded_batches(docs.sparkSession)
@@ -162,30 +176,31 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     with staging(docs.sparkSession) as result:
         places = stage(docs.mapInArrow(line_rows, LINES), "lines")
         nodes = _nodes(places)
-        met = _meetings(nodes, similarity)
+        n = nodes.count()
+        told = _met(nodes, similarity, n).groupBy("id").agg(F.min("other").alias("other"))
+        told = stage(told, "told")
+        texts = _node_texts(docs, nodes, told.select("id"))
 
         def links_of(pairs: DataFrame) -> DataFrame:
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            texts = _node_texts(docs, nodes, ids)
             for x in ("a", "b"):
-                ends = texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}"))
+                ends = texts.select(F.col("id").alias(x), F.struct("sims", "text").alias(f"end_{x}"))
                 pairs = pairs.join(ends, x)
-            return stage(pairs.filter(_similar(similarity)).select("a", "b"), "links")
-
-        def near_links_of(pairs: DataFrame) -> DataFrame:
-            return links_of(_near_pairs(pairs, nodes, similarity))
-
-        pairs = met.filter(F.col("key").isNull()).select("a", "b").distinct()
-        pairs = _near_pairs(pairs, nodes, similarity)
-        # A link for every node first, to the least it met; then what that leaves apart.
-        forest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        found = links_of(forest)
-        rest = _apart(pairs.join(forest, ["a", "b"], "left_anti"), components(found))
-        found = stage(found.union(links_of(stage(rest, "rest"))), "found")
-        many = met.filter(F.col("key").isNotNull()).select(
-            "key", F.col("a").alias("node"), F.col("b").alias("sim"), F.lit(1).alias("degree")
-        )
-        labels = link_buckets(many, near_links_of, _pairs_across, HUB_ROUNDS, _close, found)
+            return stage(pairs.filter(_similar(similarity)).select("a", "b").distinct(), "links")
+
+        tried = stage(_pairs_of(told), "pairs")
+        links = links_of(tried)
+        labels = components(links)
+        for every in (False, True):
+            told = _met(_labelled(nodes, told, labels), similarity, n, every)
+            if not every:
+                ends = told.groupBy("id").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
+                told = stage(ends.select("id", F.explode(F.array("lo", "hi")).alias("other")), "told")
+            pairs = stage(_pairs_of(told).join(tried, ["a", "b"], "left_anti"), "pairs")
+            tried = tried.union(pairs)
+            found = links_of(pairs)
+            if not found.isEmpty():
+                links = links.union(found)
+                labels = components(links)
         # The first occurrence of each component, and of each node outside of any.
         grouped = nodes.select("id", "node").join(labels.withColumnRenamed("node", "id"), "id", "left")
         label = F.coalesce("label", "id")
@@ -196,45 +211,10 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         return result(dropped, "dropped")
 
 
-def _near_pairs(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose whole hashes and lengths are near enough for a look at their texts."""
-    sims = [f"sim_{i}" for i in range(LONGS)]
-    for x in ("a", "b"):
-        ends = nodes.select(
-            F.col("id").alias(x), F.col("chars").alias(f"chars_{x}"), F.array(*sims).alias(f"sims_{x}")
-        )
-        pairs = pairs.join(ends, x)
-    apart = [
-        F.bit_count(F.col("sims_a")[i].bitwiseXOR(F.col("sims_b")[i])) for i in range(LONGS)
-    ]
-    shorter, longer = F.least("chars_a", "chars_b"), F.greatest("chars_a", "chars_b")
-    near = (longer - shorter <= _most(longer, similarity)) & (sum(apart[1:], apart[0]) <= MAX_APART)
-    return stage(pairs.filter(near).select("a", "b").distinct(), "near")
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose nodes are not connected yet."""
-    for x in ("a", "b"):
-        ends = labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
-        pairs = pairs.join(ends, x, "left")
-    label = lambda x: F.coalesce(f"label_{x}", x)
-    return pairs.filter(label("a") != label("b")).select("a", "b")
-
-
 def _most(longest: Column, similarity: float) -> Column:
     return F.floor(longest * F.lit(round(1 - similarity, 6))).cast("int")
 
 
-def _pairs_across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket that may be similar and are not connected yet."""
-    side = lambda x: members.select(
-        "key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "sim", "label")]
-    )
-    apart = F.col("label_a") < F.col("label_b")
-    met = side("a").join(side("b"), "key").filter(apart & _close("sim_a", "sim_b"))
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-
-
 def line_dedup(docs: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` with all their columns, ``text`` less its repeated lines.
 
