@@ -48,6 +48,8 @@ BLOCK_BYTES = 16 << 20
 LATTICE_WORDS = 50_000
 # A bucket of words for so many bytes of text, and the most buckets; words grow slower than text.
 BUCKET_BYTES, MAX_BUCKETS = 4 << 20, 4096
+# Ids that are decoded at a time.
+DECODE_IDS = 1 << 18
 # Boundaries of a word are bits of a long.
 FOLD_CHARS = 62
 
@@ -390,7 +392,7 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _block_encoder(model_path: str):
+def _block_encoder(model_path: str, decode: bool):
     """Rows of a block, its words before its texts: one block's words are held at a time."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,13 +410,21 @@ def _block_encoder(model_path: str):
                     ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
                     values = pa.array(np.frombuffer(b"".join(parts), np.int32), pa.int32())
                     ids = pa.ListArray.from_arrays(pa.array(ends), values)
-                    yield pa.record_batch([rows.column("kept"), ids], names=["kept", "ids"])
+                    told = {"kept": rows.column("kept"), "ids": ids}
+                    if decode:
+                        told["decoded"] = _decoded(ids, pieces.spelled)
+                    yield pa.record_batch(list(told.values()), names=list(told))
 
     return encode
 
 
-def encode_texts(docs: DataFrame, model_path: str, columns: list[str], text_col: str = "text") -> DataFrame:
-    """The given columns of all rows, and ``ids``: the piece ids of each whole text."""
+def encode_texts(
+    docs: DataFrame, model_path: str, columns: list[str], text_col: str = "text", decode: bool = False
+) -> DataFrame:
+    """The given columns of all rows, and ``ids``: the piece ids of each whole text.
+
+    With ``decode`` also ``decoded``, the text that the ids spell, without another Python worker.
+    """
     bounded_batches(docs.sparkSession)
     pieces = load_pieces(model_path)
     rows = docs.select(F.struct(*columns).alias("kept"), F.col(text_col).alias("text"))
@@ -439,27 +449,27 @@ def encode_texts(docs: DataFrame, model_path: str, columns: list[str], text_col:
         "block", F.lit(True).alias("is_text"), null("binary").alias("words"), null("binary").alias("bounds"), "rows")
     met = lists.unionAll(texts).repartition("block").sortWithinPartitions("block", "is_text")
     out = StructType().add("kept", kept).add("ids", ArrayType(IntegerType()))
-    return met.mapInArrow(_block_encoder(model_path), out).select("kept.*", "ids")
-
-
-def decoder(model_path: str):
-    """An Arrow function from piece ids to the text; NULL and no ids give an empty text."""
-
-    @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        spelled = load_pieces(model_path).spelled
-        lengths = np.array([len(x) for x in spelled])
-        begins = np.cumsum(lengths) - lengths
-        letters = np.frombuffer(b"".join(spelled), np.uint8)
-        for batch in batches:
-            ids = batch.flatten().to_numpy(zero_copy_only=False)
-            counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-            data, ends = _spell(ids, lengths, begins, letters)
-            bounds = ends[np.append(0, np.cumsum(counts))].tolist()
-            texts = (data[lo:hi] for lo, hi in zip(bounds, bounds[1:]))
-            yield pa.array([t[t[:1] == b" " :].decode("utf-8", "replace") for t in texts], pa.string())
-
-    return decode
+    if decode:
+        out = out.add("decoded", "string")
+    return met.mapInArrow(_block_encoder(model_path, decode), out).select("kept.*", *out.names[1:])
+
+
+def _decoded(batch: pa.Array, spelled: list[bytes]) -> pa.Array:
+    """The text of each list of ids, so many ids at a time."""
+    lengths = np.array([len(x) for x in spelled])
+    begins = np.cumsum(lengths) - lengths
+    letters = np.frombuffer(b"".join(spelled), np.uint8)
+    counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+    step = np.cumsum(counts, dtype=np.int64) // DECODE_IDS
+    cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(batch)]
+    out = []
+    for lo, hi in zip(cuts, cuts[1:]):
+        ids = batch[lo:hi].flatten().to_numpy(zero_copy_only=False)
+        data, ends = _spell(ids, lengths, begins, letters)
+        bounds = ends[np.append(0, np.cumsum(counts[lo:hi]))].tolist()
+        texts = (data[i:j] for i, j in zip(bounds, bounds[1:]))
+        out += [t[t[:1] == b" " :].decode("utf-8", "replace") for t in texts]
+    return pa.array(out, pa.string())
 
 
 def _spell(ids, lengths, begins, letters) -> tuple[bytes, np.ndarray]:
@@ -478,5 +488,4 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     a space to the vocabulary.  Every row gives a row, repeated ids and NULL ids too; an empty
     table gives none; other columns are not read.
     """
-    encoded = encode_texts(docs, model_path, ["doc_id"])
-    return encoded.withColumn("decoded", decoder(model_path)("ids"))
+    return encode_texts(docs, model_path, ["doc_id"], decode=True)
