@@ -34,11 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from windrow.llm.common import bounded_batches
+from windrow.llm.common import BATCH_ROWS, bounded_batches
+from windrow.llm.word_arrays import MARK, coded, cut_words, lists_of, parts_of, regrouped, unpacked
 from windrow.runtime import discard, stage
 
-# Fixed value: what sentencepiece writes for a space.
-MARK = "▁"
 WORDS = f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+"
 SEGMENT = re.compile(WORDS)
 _ZSTD = zstandard.ZstdCompressor(level=3)
@@ -63,9 +62,14 @@ class Pieces:
     byte_ids: list[int]
     spelled: list[bytes] = field(repr=False)
     codes: "Codes" = field(init=False, repr=False)
+    # The pieces with a space for the mark, and the list of each one's id.
+    texts: pa.Array = field(init=False, repr=False)
+    lists: pa.ListArray = field(init=False, repr=False)
 
     def __post_init__(self):
         self.codes = Codes(self)
+        self.texts = pa.array([p.replace(MARK, " ") for p in self.ids], pa.string())
+        self.lists = lists_of([np.int32(i).tobytes() for i in self.ids.values()])
 
     @property
     def longest(self) -> int:
@@ -197,10 +201,6 @@ class Encoder(dict):
             self[word] = code
         return code
 
-    def listed(self, words: list[str], bounds: np.ndarray) -> None:
-        for word, bits in zip(words, bounds.tolist()):
-            self.learn(word, bits)
-
     def learn(self, word: str, bounds: int) -> None:
         """Bit n is set if a piece ends before character n; 0 where nothing merges."""
         parts, at = [], 0
@@ -292,17 +292,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
         total = int(ends[-1]) if len(ends) else total
 
 
-def _pack_words(words: list[str]) -> bytes:
-    """Only a word that is not packed, a line's end, holds a line's end."""
-    return _ZSTD.compress("\n".join(words).encode())
+def _runs(blocks: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each block of the rows of a batch, with its first row and the one behind its last."""
+    cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+    return ((int(blocks[lo]), lo, hi) for lo, hi in zip(cuts, cuts[1:]) if lo < hi)
 
 
-def _unpack_words(data: bytes) -> list[str]:
-    return zstandard.decompress(data).decode().split("\n")
+def _compressed(data: bytes) -> bytes:
+    return _ZSTD.compress(data)
 
 
-def _bucket(word: str, n_buckets: int) -> int:
-    return zlib.crc32(word.encode()) % n_buckets
+def _unpack_words(data: bytes) -> list[str]:
+    """Only a word that is not packed, a line's end, holds a line's end."""
+    return zstandard.decompress(data).decode().split("\n")
 
 
 LISTS = "bucket int, block long, words binary"
@@ -315,25 +317,31 @@ def _list_words(n_buckets: int):
     """
 
     def listed(block, words):
-        buckets = defaultdict(list)
-        for word in sorted(words):
-            if 1 < len(word) <= FOLD_CHARS:
-                buckets[_bucket(word, n_buckets)].append(word)
-        yield pa.record_batch(
-            [pa.array(list(buckets), pa.int32()), pa.array([block] * len(buckets), pa.int64()),
-             pa.array([_pack_words(w) for w in buckets.values()], pa.binary())],
-            names=["bucket", "block", "words"],
-        )
+        words = pa.chunked_array(words, pa.string()).unique()
+        size = pc.utf8_length(words)
+        words = words.filter(pc.and_(pc.greater(size, 1), pc.less_equal(size, FOLD_CHARS)))
+        words = pc.replace_substring(words.take(pc.array_sort_indices(words)), " ", MARK)
+        if len(words):
+            numbers = np.array([zlib.crc32(w) for w in words.cast(pa.binary()).to_pylist()]) % n_buckets
+            order = np.argsort(numbers, kind="stable")
+            begins = np.flatnonzero(np.diff(numbers[order], prepend=-1))
+            ends = pa.array(np.append(begins, len(order)), pa.int32())
+            texts = pc.binary_join(pa.ListArray.from_arrays(ends, words.take(pa.array(order))), "\n")
+            data = [_compressed(t) for t in texts.cast(pa.binary()).to_pylist()]
+            yield pa.record_batch(
+                [pa.array(numbers[order[begins]], pa.int32()), pa.array([block] * len(data), pa.int64()),
+                 pa.array(data, pa.binary())],
+                names=["bucket", "block", "words"],
+            )
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen = None, set()
+        current, seen = None, []
         for batch, blocks in _blocks(batches):
-            for block, text in zip(blocks.tolist(), batch.column("text").to_pylist()):
+            for block, lo, hi in _runs(blocks):
                 if block != current:
                     yield from listed(current, seen)
-                    current, seen = block, set()
-                if text:
-                    seen.update(words_of(text))
+                    current, seen = block, []
+                seen.append(cut_words(batch.column("text").slice(lo, hi - lo))[0].unique())
         yield from listed(current, seen)
 
     return list_words
@@ -369,7 +377,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = np.array([known.get(w, 0) for w in _unpack_words(listed)], np.int64)
             blocks.append(block)
             words.append(listed)
-            answers.append(_ZSTD.compress(found.tobytes()))
+            answers.append(_compressed(found.tobytes()))
         yield pa.record_batch(
             [pa.array(blocks, pa.int64()), pa.array(words, pa.binary()), pa.array(answers, pa.binary())],
             names=["block", "words", "bounds"],
@@ -380,40 +388,53 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, rows): rows of one block, packed as a compressed Arrow stream."""
     options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch, blocks in _blocks(batches):
-        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-        for lo, hi in zip(cuts, cuts[1:]):
-            if lo < hi:
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
-                    stream.write_batch(batch.slice(lo, hi - lo))
-                yield pa.record_batch(
-                    [pa.array([int(blocks[lo])], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                    names=["block", "rows"],
-                )
+        for block, lo, hi in _runs(blocks):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+                stream.write_batch(batch.slice(lo, hi - lo))
+            yield pa.record_batch(
+                [pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                names=["block", "rows"],
+            )
 
 
 def _block_encoder(model_path: str, decode: bool):
-    """Rows of a block, its words before its texts: one block's words are held at a time."""
+    """Rows of a block, its words before its texts: one block's words and texts are held at a time."""
+
+    def encoded(pieces: Pieces, lists: list[tuple[bytes, bytes]], packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        none = pa.array([], pa.string())
+        known = pa.concat_arrays([none, *(unpacked(zstandard.decompress(w)) for w, _ in lists)])
+        bounds = np.frombuffer(b"".join(zstandard.decompress(b) for _, b in lists), np.int64)
+        parts, counts = parts_of(known, bounds)
+        codes = regrouped(coded(parts, pieces.texts, pieces.lists, pieces.codes.__getitem__), counts)
+        del parts, counts, bounds
+        rows = pa.Table.from_batches([r for p in packed for r in pa.ipc.open_stream(p)]).combine_chunks()
+        words, before = cut_words(pa.concat_arrays([none, *rows.column("text").chunks]))
+        ids = regrouped(coded(words, known, codes, Encoder(pieces).__getitem__), np.diff(before))
+        del words, known, codes
+        kept = pa.concat_arrays(rows.column("kept").chunks)
+        for lo in range(0, len(ids), BATCH_ROWS):
+            some = ids.slice(lo, BATCH_ROWS)
+            told = {"kept": kept.slice(lo, BATCH_ROWS), "ids": some}
+            if decode:
+                told["decoded"] = _decoded(some, pieces.spelled)
+            yield pa.record_batch(list(told.values()), names=list(told))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, current, own = load_pieces(model_path), None, None
+        pieces, current, lists, texts = load_pieces(model_path), None, [], []
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("block", "words", "bounds", "rows")]
             for block, words, bounds, packed in zip(*columns):
+                if block != current and texts:
+                    yield from encoded(pieces, lists, texts)
                 if block != current:
-                    current, own = block, Encoder(pieces)
+                    current, lists, texts = block, [], []
                 if packed is None:
-                    own.listed(_unpack_words(words), np.frombuffer(zstandard.decompress(bounds), np.int64))
-                    continue
-                for rows in pa.ipc.open_stream(packed):
-                    parts = [own.encode(t) for t in rows.column("text").to_pylist()]
-                    ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
-                    values = pa.array(np.frombuffer(b"".join(parts), np.int32), pa.int32())
-                    ids = pa.ListArray.from_arrays(pa.array(ends), values)
-                    told = {"kept": rows.column("kept"), "ids": ids}
-                    if decode:
-                        told["decoded"] = _decoded(ids, pieces.spelled)
-                    yield pa.record_batch(list(told.values()), names=list(told))
+                    lists.append((words, bounds))
+                else:
+                    texts.append(packed)
+        if texts:
+            yield from encoded(pieces, lists, texts)
 
     return encode
 
@@ -444,6 +465,11 @@ def encode_texts(
     answers = asked.repartition("bucket").sortWithinPartitions("bucket", "asks").mapInArrow(
         _answer, "block long, words binary, bounds binary"
     )
+    # Staged, so that neither the shuffle of the questions nor what they were made of stands on
+    # the disk beside the shuffle of the texts.
+    answers = stage(answers, "answers")
+    discard(lists)
+    discard(bounds)
     lists = answers.select("block", F.lit(False).alias("is_text"), "words", "bounds", null("binary").alias("rows"))
     texts = rows.mapInArrow(_pack_texts, "block long, rows binary").select(
         "block", F.lit(True).alias("is_text"), null("binary").alias("words"), null("binary").alias("bounds"), "rows")
