@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from windrow.llm.common import BATCH_ROWS, bounded_batches
+from windrow.llm.common import bounded_batches
 from windrow.llm.word_arrays import MARK, coded, cut_words, lists_of, parts_of, regrouped, unpacked
 from windrow.runtime import discard, stage
 
@@ -47,7 +47,8 @@ BLOCK_BYTES = 16 << 20
 LATTICE_WORDS = 50_000
 # A bucket of words for so many bytes of text, and the most buckets; words grow slower than text.
 BUCKET_BYTES, MAX_BUCKETS = 4 << 20, 4096
-# Ids that are decoded at a time.
+# Lists of words whose ids are looked up at a time, and ids that are decoded at a time.
+LISTS_AT_ONCE = 16
 DECODE_IDS = 1 << 18
 # Boundaries of a word are bits of a long.
 FOLD_CHARS = 62
@@ -401,24 +402,34 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _block_encoder(model_path: str, decode: bool):
     """Rows of a block, its words before its texts: one block's words and texts are held at a time."""
 
-    def encoded(pieces: Pieces, lists: list[tuple[bytes, bytes]], packed: list[bytes]) -> Iterator[pa.RecordBatch]:
-        none = pa.array([], pa.string())
-        known = pa.concat_arrays([none, *(unpacked(zstandard.decompress(w)) for w, _ in lists)])
+    def listed(pieces: Pieces, lists: list[tuple[bytes, bytes]]) -> tuple[pa.Array, pa.ListArray]:
+        """The words of some lists, and their ids."""
+        words = pa.concat_arrays([unpacked(zstandard.decompress(w)) for w, _ in lists])
         bounds = np.frombuffer(b"".join(zstandard.decompress(b) for _, b in lists), np.int64)
-        parts, counts = parts_of(known, bounds)
-        codes = regrouped(coded(parts, pieces.texts, pieces.lists, pieces.codes.__getitem__), counts)
-        del parts, counts, bounds
-        rows = pa.Table.from_batches([r for p in packed for r in pa.ipc.open_stream(p)]).combine_chunks()
-        words, before = cut_words(pa.concat_arrays([none, *rows.column("text").chunks]))
-        ids = regrouped(coded(words, known, codes, Encoder(pieces).__getitem__), np.diff(before))
-        del words, known, codes
-        kept = pa.concat_arrays(rows.column("kept").chunks)
-        for lo in range(0, len(ids), BATCH_ROWS):
-            some = ids.slice(lo, BATCH_ROWS)
-            told = {"kept": kept.slice(lo, BATCH_ROWS), "ids": some}
+        parts, counts = parts_of(words, bounds)
+        at = pc.index_in(parts, value_set=pieces.texts)
+        return words, regrouped(coded(parts, at, pieces.lists, pieces.codes.__getitem__), counts)
+
+    def encoded(pieces: Pieces, lists: list[tuple[bytes, bytes]], packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        told = [listed(pieces, lists[lo : lo + LISTS_AT_ONCE]) for lo in range(0, len(lists), LISTS_AT_ONCE)]
+        known = pa.concat_arrays([pa.array([], pa.string()), *(w for w, _ in told)])
+        codes = pa.concat_arrays([lists_of([]), *(c for _, c in told)])
+        rows = [r for p in packed for r in pa.ipc.open_stream(p)]
+        cut = [cut_words(r.column("text")) for r in rows]
+        kept = [r.column("kept") for r in rows]
+        del told, rows
+        # All at once, since the words that are known are hashed anew for each call.
+        places = pc.index_in(pa.chunked_array([w for w, _ in cut], pa.string()), value_set=known)
+        places = pa.concat_arrays([pa.array([], pa.int32()), *places.chunks])
+        code_of, done = Encoder(pieces).__getitem__, 0
+        for own, (words, before) in zip(kept, cut):
+            at = places.slice(done, len(words))
+            done += len(words)
+            ids = regrouped(coded(words, at, codes, code_of), np.diff(before))
+            out = {"kept": own, "ids": ids}
             if decode:
-                told["decoded"] = _decoded(some, pieces.spelled)
-            yield pa.record_batch(list(told.values()), names=list(told))
+                out["decoded"] = _decoded(ids, pieces.spelled)
+            yield pa.record_batch(list(out.values()), names=list(out))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, current, lists, texts = load_pieces(model_path), None, [], []

@@ -84,12 +84,14 @@ def regrouped(lists: pa.ListArray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), lists.flatten())
 
 
-def coded(texts: pa.Array, known: pa.Array, codes: pa.ListArray, code_of: Callable[[str], bytes]) -> pa.ListArray:
-    """The ids of each text: of a ``known`` one those in ``codes``, of another by ``code_of``."""
-    at = pc.index_in(texts, value_set=known)
+def coded(
+    texts: pa.Array, at: pa.Array, codes: pa.ListArray, code_of: Callable[[str], bytes]
+) -> pa.ListArray:
+    """The ids of each text: those at a place in ``codes``, without a place those by ``code_of``."""
     if at.null_count:
         others = texts.filter(pc.is_null(at)).dictionary_encode()
         more = lists_of([code_of(x.replace(" ", MARK)) for x in others.dictionary.to_pylist()])
+        n = pa.scalar(len(codes), pa.int32())
         codes = pa.concat_arrays([codes, more])
-        at = pc.replace_with_mask(at, pc.is_null(at), pc.add(others.indices, pa.scalar(len(known), pa.int32())))
+        at = pc.replace_with_mask(at, pc.is_null(at), pc.add(others.indices, n))
     return codes.take(at)
