@@ -71,3 +71,22 @@ def test_near_copies_are_told_with_one_pair_each(spark):
         some = nodes if labels is None else nodes.withColumn("label", F.col("id"))
         pairs = line_meet.met(some, keys, 0, fuzzy.SIMILARITY, 2000).distinct().count()
         assert 1500 < pairs < 2 * 20 * 2000
+
+
+whole = st.tuples(st.integers(0, 2), st.integers(0, 40), st.integers(0, 5), st.integers(0, 5), st.integers(1, 60), st.integers(0, 3))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(whole, min_size=1, max_size=60, unique_by=lambda x: x[:2]))
+def test_pairs_across_that_the_whole_hash_or_the_lengths_rule_out_are_not_told(some):
+    bits = lambda n: ((1 << 12 * n) - 1) & (2**63 - 1)
+    rows = np.array(sorted((k, i, 0, bits(s % 3), label, bits(t), bits(5 - t), n) for k, i, s, t, n, label in some), np.int64)
+
+    def fits(x, y):
+        apart = [int(x[c] ^ y[c]).bit_count() for c in (2, 3, 5, 6)]
+        near = apart[1] <= line_meet.MAX_BITS and apart[0] + apart[1] <= line_meet.MAX_HALF
+        return near and sum(apart) <= line_meet.MAX_APART and min(x[7], y[7]) >= 0.999 * 0.85 * max(x[7], y[7])
+
+    told = {tuple(sorted(p)) for p in line_meet.near_across(rows, 0.85).T.tolist()}
+    want = {tuple(sorted((x[1], y[1]))) for x in rows for y in rows if x[0] == y[0] and x[4] != y[4] and fits(x, y)}
+    assert told == want

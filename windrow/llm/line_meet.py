@@ -5,7 +5,8 @@ as 32 bytes a node: key, id and half of the hash.  The task that has a part sort
 Of the near pairs of a bucket only so many are told as go with its nodes: at first each node with
 the least leader near it, later, when most of a group is connected, each with its least and its
 greatest near one in other components.  A node that has any near one at all is always told, so
-what is left, all pairs across components, can be looked for among those alone.
+what is left, all pairs across components, can be looked for among those alone.  There an entry
+has all of the hash and the length, so that pairs that these rule out are not told.
 """
 
 from __future__ import annotations
@@ -23,9 +24,13 @@ from windrow.llm.line_hash import LONGS, class_of, key_hashes, key_masks
 # ones differ in some 6 and 12, 99 in 100 of them in no more than 16 and 30; strangers in 32 and 64.
 MAX_BITS = 20
 MAX_HALF = 34
-# Entries that a task deals out before it passes them on, and entries of a part.
-DEAL_ENTRIES = 1 << 19
-PART_ENTRIES = 1 << 20
+# Of all 256 bits so many may differ in lines whose texts are compared: similar ones differ in some 25, in 45 at
+# the most of 19 in 20 pairs, strangers in 124 and hardly ever in fewer than 90.
+MAX_APART = 60
+# Entries that a task deals out before it passes them on, and entries of a part.  Sorting a part
+# takes some five times its size, beside a JVM that takes two thirds of an executor.
+DEAL_ENTRIES = 1 << 18
+PART_ENTRIES = 1 << 18
 
 MET = "id long, other long"
 NONE = np.iinfo(np.int64).max
@@ -41,7 +46,9 @@ def dealer(keys: list[list[int]], first: int, similarity: float, n_parts: int):
         at = np.concatenate([np.arange(len(ids)), np.flatnonzero(above)])
         size = np.concatenate([own, own[above] + 1])
         some = sims[at].view(np.uint64)
-        kept = [ids[at], *sims[at].T[-2:], *(c[at] for c in columns[2 + LONGS :])]
+        kept = [ids[at], *sims[at].T[-2:]]
+        if len(columns) > 2 + LONGS:  # a label, and then what else tells two nodes apart
+            kept += [columns[-1][at], *sims[at].T[:-2], chars[at]]
         told = [np.stack([key_hashes(some, size, m, i).view(np.int64), *kept], axis=1) for i, m in enumerate(masks, first)]
         entries = np.concatenate(told)
         part = ((entries[:, 0].view(np.uint64) >> np.uint64(33)) % np.uint64(n_parts)).astype(np.int32)
@@ -121,8 +128,17 @@ def least_leaders(rows: np.ndarray) -> np.ndarray:
     return found
 
 
-def near_across(rows: np.ndarray) -> np.ndarray:
-    """All near pairs, each once or twice, of the nodes of a bucket that have different labels.
+def _may_be_similar(rows: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether neither all of the hashes nor the lengths rule two near nodes out."""
+    sims = (rows[a][:, [2, 3, 5, 6]] ^ rows[b][:, [2, 3, 5, 6]]).view(np.uint64)
+    apart = np.bitwise_count(sims).sum(axis=1)
+    chars = rows[a, 7], rows[b, 7]
+    return (apart <= MAX_APART) & (np.minimum(*chars) >= similarity * 0.999 * np.maximum(*chars))
+
+
+def near_across(rows: np.ndarray, similarity: float = 0.0) -> np.ndarray:
+    """All near pairs, each once or twice, of the nodes of a bucket that have different labels;
+    where entries have all of the hash and the length, less those that these rule out.
 
     All but the nodes of a bucket's most frequent label are compared with all of the bucket.
     """
@@ -140,7 +156,7 @@ def near_across(rows: np.ndarray) -> np.ndarray:
     first = np.flatnonzero(np.diff(bucket[leaders], prepend=-1))
     turn = np.arange(len(leaders)) - np.repeat(first, np.diff(np.append(first, len(leaders))))
     found, at = [np.zeros((2, 0), np.int64)], np.full(len(most), -1)
-    rest = np.arange(len(key))
+    rest, whole = np.arange(len(key)), rows.shape[1] > 5
     by_turn = np.argsort(turn, kind="stable")
     for some in np.split(leaders[by_turn], np.flatnonzero(np.diff(turn[by_turn])) + 1):
         at[:] = -1
@@ -148,7 +164,11 @@ def near_across(rows: np.ndarray) -> np.ndarray:
         rest = rest[at[bucket[rest]] >= 0]
         by = at[bucket[rest]]
         near = (label[rest] != label[by]) & _near(sims, rest, by)
-        found.append(np.stack([ids[rest[near]], ids[by[near]]]))
+        a, b = rest[near], by[near]
+        if whole:
+            fits = _may_be_similar(rows, a, b, similarity)
+            a, b = a[fits], b[fits]
+        found.append(np.stack([ids[a], ids[b]]))
     return np.concatenate(found, axis=1)
 
 
@@ -159,13 +179,13 @@ def _first(ids: np.ndarray, others: np.ndarray, order: np.ndarray) -> np.ndarray
     return np.stack([ids[first], others[first]])
 
 
-def _meeter(labelled: bool, every: bool):
+def _meeter(labelled: bool, every: bool, similarity: float):
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _parts(batches, 5 if labelled else 4):
+        for rows in _parts(batches, 4 + LONGS if labelled else 4):
             if not len(rows):
                 continue
             if labelled:
-                pairs = near_across(rows)
+                pairs = near_across(rows, similarity)
                 if not every:
                     ids, others = np.concatenate([pairs, pairs[::-1]], axis=1)
                     least = _first(ids, others, np.lexsort((others, ids)))
@@ -191,4 +211,4 @@ def met(
     n_parts = max(nodes.sparkSession.sparkContext.defaultParallelism, 1 + n_entries // PART_ENTRIES)
     dealt = nodes.select(*columns).mapInArrow(dealer(keys, first, similarity, n_parts), "part int, data binary")
     dealt = dealt.repartition(F.col("part")).sortWithinPartitions("part")
-    return dealt.mapInArrow(_meeter(labelled, every), MET)
+    return dealt.mapInArrow(_meeter(labelled, every, similarity), MET)

@@ -26,13 +26,10 @@ from windrow.llm.common import SPACE, bounded_batches
 from windrow.llm.components import components
 from windrow.llm.line_edits import within
 from windrow.llm.line_hash import LINES, LONGS, key_blocks, line_rows
-from windrow.llm.line_meet import MAX_BITS, met
+from windrow.llm.line_meet import MAX_APART, MAX_BITS, met
 from windrow.runtime import stage, staging
 
 SIMILARITY = 0.85
-# Of the 256 bits of two hashes so many may differ in lines whose texts are compared: similar ones differ in some 25, in 45 at
-# the most of 19 in 20 pairs, strangers in 124 and hardly ever in fewer than 90.
-MAX_APART = 60
 # So many keys of every line are dealt out at a time.
 KEYS_AT_ONCE = 10
 # Buckets of up to so many nodes are told by ``bucket_rows`` pair by pair, larger ones by node.
