@@ -14,6 +14,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ LANGUAGE_GRAMS = 12_000
 RATE_SHARE = 0.3
 
 # Texts looked up at a time; the arrays of n-grams take some fifty times as much.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 16
 
 HASHES = 3
 SLOTS_PER_GRAM = 10
@@ -144,10 +145,11 @@ class LanguageFilter:
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the n-grams of each language in a batch."""
     for batch in batches:
-        langs = np.array(batch.column("lang").to_pylist(), object)
-        texts = np.array(batch.column("text").to_pylist(), object)
-        for lang in sorted(set(langs)):
-            found, n = np.unique(grams(texts[langs == lang])[0], return_counts=True)
+        langs, texts = batch.column("lang"), batch.column("text")
+        for lang in sorted(set(langs.to_pylist())):
+            own = texts.filter(pc.equal(langs, lang))
+            slices = [own.slice(lo, hi - lo).to_pylist() for lo, hi in by_bytes(own, SLICE_BYTES)]
+            found, n = np.unique(np.concatenate([grams(some)[0] for some in slices]), return_counts=True)
             yield pa.record_batch(
                 [pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)),
                  pa.array(n, pa.int64())],

@@ -23,8 +23,8 @@ BLOCK_BITS = 4
 # Words of fewer bytes are no features of lines that have longer ones.
 FEATURE_BYTES = 4
 PART_WORDS = 255
-CHUNK_WORDS = 1 << 15
-CHUNK_BYTES = 1 << 20
+CHUNK_WORDS = 1 << 12
+CHUNK_BYTES = 1 << 17
 # A class of length spans so much of its logarithm; lines near its end are in the next one, too.
 CLASS_WIDTH = 0.8
 # Blocks of a key and number of keys.  Fewer blocks find as much with fewer keys, but let more strangers meet.

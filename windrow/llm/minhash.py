@@ -53,7 +53,7 @@ MAX_MINIMA = 512
 SIGNATURE = 256
 DEVIATIONS = 6
 
-MEMO_WORDS = 500_000
+MEMO_WORDS = 100_000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
