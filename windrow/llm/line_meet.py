@@ -130,8 +130,9 @@ def least_leaders(rows: np.ndarray) -> np.ndarray:
 
 def _may_be_similar(rows: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     """Whether neither all of the hashes nor the lengths rule two near nodes out."""
-    sims = (rows[a][:, [2, 3, 5, 6]] ^ rows[b][:, [2, 3, 5, 6]]).view(np.uint64)
-    apart = np.bitwise_count(sims).sum(axis=1)
+    apart = np.zeros(len(a), np.int16)
+    for c in (2, 3, 5, 6):  # a column at a time, so that rows are not copied
+        apart += np.bitwise_count((rows[a, c] ^ rows[b, c]).view(np.uint64))
     chars = rows[a, 7], rows[b, 7]
     return (apart <= MAX_APART) & (np.minimum(*chars) >= similarity * 0.999 * np.maximum(*chars))
 
