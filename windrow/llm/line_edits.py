@@ -4,8 +4,8 @@ From above: words that both lines have once, in the longest run of them that kee
 in both, are anchors.  What lies between two anchors costs no more than the longer side has
 characters, so the sum over all gaps is never below the distance.  From below: an edit changes
 at most so many n-grams on either side as these have characters.  The time of both goes with the
-lines' length; the distance itself, whose time goes with its square, is left for the few pairs
-between them.
+lines' length; the distance itself, whose time goes with its square, is left for the pairs
+between them, of which many are measured at once.
 """
 
 from __future__ import annotations
@@ -19,11 +19,17 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from windrow.llm.line_distance import GROUP_PAIRS, banded, distances, groups
+
 # Gaps of up to so many characters on both sides are measured exactly, where that is needed.
 GAP_CHARS = 256
 # Characters of the n-grams counted for the bound from below, and what they are hashed by.
 GRAM_CHARS = 4
 GRAM_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+# Pairs and characters that are held to be measured together.
+HELD_PAIRS, HELD_CHARS = 16_000, 8 << 20
+# Shorter lines are measured, unless they differ in a few words; the bounds cost more.
+LONG_CHARS = 1500
 
 
 def anchors(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -90,8 +96,7 @@ def distance(a: str, b: str) -> int:
 
 def surely_within(a: str, b: str, most: int) -> bool:
     """Whether the distance is shown to be ``most`` at the highest; False leaves it open."""
-    x, y = a.split(" "), b.split(" ")
-    if len(x) == len(y) and sum(max(len(s), len(t)) for s, t in zip(x, y) if s != t) <= most:
+    if _equal_but_for_words(a, b, most):
         return True
     between = gaps(a, b)
     if sum(max(len(s), len(t)) for s, t in between) <= most:
@@ -132,10 +137,51 @@ def is_within(a: str, b: str, most: int) -> bool:
     return least_edits(a, b) <= most and distance(a, b) <= most
 
 
+def _equal_but_for_words(a: str, b: str, most: int) -> bool:
+    """Whether words that differ, one for one, cost ``most`` at the highest."""
+    x, y = a.split(" "), b.split(" ")
+    return len(x) == len(y) and sum(max(len(s), len(t)) for s, t in zip(x, y) if s != t) <= most
+
+
+def _told(a: str | None, b: str | None, most: int | None) -> bool | None:
+    """``is_within`` where bounds tell it at less cost than the distance; None leaves it open."""
+    if _equal_but_for_words(a, b, most):
+        return True
+    if max(len(a), len(b)) < LONG_CHARS and a and b:
+        return None
+    return surely_within(a, b, most) or (None if least_edits(a, b) <= most else False)
+
+
+def all_within(rows: list[tuple[str | None, str | None, int | None]]) -> list[bool | None]:
+    """``is_within`` of each row; None if one of its values is."""
+    told = [None if None in row else _told(*row) for row in rows]
+    left = [i for i, row in enumerate(rows) if told[i] is None and None not in row]
+    lengths = np.array([(*sorted(map(len, rows[i][:2])), rows[i][2]) for i in left]).reshape(-1, 3)
+    for group in groups(lengths):
+        some = [left[i] for i in group]
+        if len(some) < GROUP_PAIRS:
+            edits = [banded(*rows[i]) for i in some]
+        else:
+            edits = distances([rows[i][:2] for i in some], [rows[i][2] for i in some])
+        for i, n in zip(some, edits):
+            told[i] = bool(n <= rows[i][2])
+    return told
+
+
 @F.arrow_udf(BooleanType())
 def within(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """``is_within`` of two columns of lines and one of edits; NULL if one of them is."""
+
+    def told(held: list[list[tuple]]) -> Iterator[pa.Array]:
+        answers = iter(all_within([row for rows in held for row in rows]))
+        return (pa.array([next(answers) for _ in rows], pa.bool_()) for rows in held)
+
+    held, n, chars = [], 0, 0
     for batch in batches:
-        rows = zip(*(c.to_pylist() for c in batch))
-        told = [None if None in row else is_within(*row) for row in rows]
-        yield pa.array(told, pa.bool_())
+        held.append(list(zip(*(c.to_pylist() for c in batch))))
+        n += len(held[-1])
+        chars += sum(len(a or "") + len(b or "") for a, b, _ in held[-1])
+        if n >= HELD_PAIRS or chars >= HELD_CHARS:
+            yield from told(held)
+            held, n, chars = [], 0, 0
+    yield from told(held)

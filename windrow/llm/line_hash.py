@@ -20,11 +20,11 @@ from windrow.llm.common import SPACE
 HASH_BITS = 256
 LONGS = HASH_BITS // 64
 BLOCK_BITS = 4
+BLOCK = np.uint64((1 << BLOCK_BITS) - 1)
 # Words of fewer bytes are no features of lines that have longer ones.
 FEATURE_BYTES = 4
-PART_WORDS = 255
-CHUNK_WORDS = 1 << 12
-CHUNK_BYTES = 1 << 17
+CHUNK_WORDS = 1 << 14
+CHUNK_BYTES = 1 << 19
 # A class of length spans so much of its logarithm; lines near its end are in the next one, too.
 CLASS_WIDTH = 0.8
 # Blocks of a key and number of keys.  Fewer blocks find as much with fewer keys, but let more strangers meet.
@@ -37,10 +37,13 @@ LINES = "doc_id long, line_no int, text_a long, text_b long, chars int, " + ", "
 NAMES = [f.split(" ")[0] for f in LINES.split(", ")]
 
 _odd = np.random.default_rng(20240607).integers(0, 1 << 62, 2 + LONGS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-# Powers of two odd numbers: what a byte counts by its place in its word.
+# Bytes of words that are hashed eight at a time, all words at once, and what is left of a long by the word's end.
+SHORT_BYTES = 64
+ENDS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+# Powers of two odd numbers: what a byte of a longer word counts by its place in a run of so many.
 PLACES = 4096
 POWERS = np.cumprod(np.repeat(_odd[:2, None], PLACES, axis=1), axis=1, dtype=np.uint64)
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+ONE, GOLDEN = np.uint64(1), np.uint64(0x9E3779B97F4A7C15)
 
 
 def normalise(line: str) -> str:
@@ -54,25 +57,55 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _words(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins, and its length."""
+    white = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    gaps = np.concatenate([[-1], np.flatnonzero(white), [len(codes)]])
+    lengths = np.diff(gaps) - 1
+    some = np.flatnonzero(lengths)
+    return gaps[some] + 1, lengths[some]
+
+
+def _word_hashes(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each word, from its bytes, eight at a time."""
+    # What begins at each byte, as a long; the bytes behind a word's end are cleared.
+    longs = np.ndarray(len(data) + 1, np.dtype("<u8"), data + bytes(8), 0, (1,))
+    short = np.where(lengths <= SHORT_BYTES, lengths, 0)
+    hashes = [lengths.astype(np.uint64) * GOLDEN for _ in range(2)]
+    at = np.arange(len(starts))
+    for done in range(0, int(short.max()), 8):
+        at = at[short[at] > done]
+        told = longs[starts[at] + done] & ENDS[np.minimum(short[at] - done, 8)]
+        for h, odd in zip(hashes, _odd):
+            h[at] = mixed(h[at] ^ told * odd)
+    for i in np.flatnonzero(lengths > SHORT_BYTES):
+        for k, h in enumerate(hashes):
+            h[i] ^= _long_hash(data[starts[i] : starts[i] + lengths[i]], k)
+    return hashes
+
+
+def _long_hash(word: bytes, k: int) -> np.uint64:
+    letters = np.frombuffer(word, np.uint8).astype(np.uint64) + ONE
+    begin = np.arange(0, len(letters), PLACES)
+    told = np.add.reduceat(letters * np.resize(POWERS[k], len(letters)), begin)
+    return np.bitwise_xor.reduce(mixed(told + begin.astype(np.uint64) * GOLDEN))
+
+
 def line_hashes(data: bytes) -> tuple[np.ndarray, ...]:
     """(line, digest a, digest b, characters, hashes) of the lines that have a word.
 
     ``data`` are lines of lower case in UTF-8; words are what stands between white space.
     """
     codes = np.frombuffer(data, np.uint8)
-    white = (codes == 32) | ((codes >= 9) & (codes <= 13))
-    edge = np.diff(np.concatenate([[True], white, [True]]).view(np.int8))
-    starts, ends = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+    starts, lengths = _words(codes)
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none, none, none, none, np.zeros((0, LONGS), np.int64)
-    lengths = ends - starts
-    letters = codes[~white]
-    begin = np.cumsum(lengths) - lengths
-    place = (np.arange(len(letters)) - np.repeat(begin, lengths)) % PLACES
-    told = letters.astype(np.uint64) + np.uint64(1)
-    one, two = (mixed(np.add.reduceat(told * p[place], begin)) for p in POWERS)
-    characters = np.add.reduceat(((letters & 0xC0) != 0x80).astype(np.int64), begin)
+    one, two = _word_hashes(data, starts, lengths)
+    characters = lengths
+    if (codes >= 0x80).any():
+        more = np.append(0, np.cumsum((codes & 0xC0) == 0x80))  # bytes that begin no character
+        characters = lengths - (more[starts + lengths] - more[starts])
 
     newlines = np.flatnonzero(codes == 10)
     line_of = np.searchsorted(newlines, starts)
@@ -97,23 +130,43 @@ def simhashes(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     while lo < len(lengths):
         begin = ends[lo] - lengths[lo]
         hi = max(lo + 1, int(np.searchsorted(ends, begin + CHUNK_WORDS, "right")))
-        some, n = words[begin : ends[hi - 1]], lengths[lo:hi]
-        n_parts = -(-n // PART_WORDS)
-        first = np.cumsum(n_parts) - n_parts
-        within = np.arange(n_parts.sum()) - np.repeat(first, n_parts)
-        starts = np.repeat(np.cumsum(n) - n, n_parts) + PART_WORDS * within
-        wide = mixed(some[:, None] * _odd[None, 2:])
-        bits = np.unpackbits(wide.view(np.uint8), axis=1)
-        # Eight counts are added at once; a part's sums stay below 256.
-        sums = np.add.reduceat(bits.view(np.uint64), starts, axis=0)
-        sums = sums.view(np.uint8).reshape(-1, HASH_BITS)
-        if len(sums) > hi - lo:
-            sums = np.add.reduceat(sums, first, axis=0, dtype=np.int64)
-        out[lo:hi] = np.packbits(2 * sums.astype(np.int64) > n[:, None], axis=1).view(np.int64)
+        planes = _counts(mixed(words[begin : ends[hi - 1], None] * _odd[None, 2:]), lengths[lo:hi])
+        # More than half: the counts, bit by bit from the highest, against half of the words.
+        half = lengths[lo:hi, None] // 2
+        above, equal = np.zeros_like(planes[0]), ~np.zeros_like(planes[0])
+        for k in reversed(range(len(planes))):
+            bit = np.where(half >> k & 1, ~np.uint64(0), np.uint64(0))
+            above |= equal & planes[k] & ~bit
+            equal &= ~(planes[k] ^ bit)
+        out[lo:hi] = above.view(np.int64)
         lo = hi
     return out
 
 
+def _counts(wide: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """How many words of each line have each bit: plane k has bit k of all counts.
+
+    Counts of neighbours are added up, two and two, until a line has one left.
+    """
+    planes, left = [wide], lengths
+    while len(planes[0]) > len(lengths):
+        pairs = (left + 1) // 2
+        nth = 2 * (np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs))
+        at = np.repeat(np.cumsum(left) - left, pairs) + nth
+        alone = np.flatnonzero(nth + 1 == np.repeat(left, pairs))
+        beside = at + 1
+        beside[alone] = 0
+        carry, added = None, []
+        for plane in planes:
+            x, y = plane.take(at, 0), plane.take(beside, 0)
+            y[alone] = 0
+            both, either = x & y, x ^ y
+            added.append(either if carry is None else either ^ carry)
+            carry = both if carry is None else both | (either & carry)
+        planes, left = [*added, carry], pairs
+    return planes
+
+
 def _pieces(ids: list, texts: list[str]) -> Iterator[tuple[list, list, list[str]]]:
     """Runs of (ids, number of the first line, text), cut between lines, of bounded bytes."""
     owners, numbers, parts, held = [], [], [], 0
@@ -166,12 +219,6 @@ def key_blocks() -> list[list[int]]:
     return keys[:N_KEYS]
 
 
-def key_masks(keys: list[list[int]]) -> list[np.ndarray]:
-    """The bits of each key, by the longs of a hash."""
-    longs = [[sum(0xF << (BLOCK_BITS * (b % 16)) for b in blocks if b // 16 == j) for j in range(LONGS)] for blocks in keys]
-    return [np.array(x, np.uint64) for x in longs]
-
-
 def class_of(chars: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """The class of length of each line, and whether it is in the next one, too."""
     size = np.log(chars) / CLASS_WIDTH
@@ -179,9 +226,10 @@ def class_of(chars: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarr
     return own.astype(np.int64), size - own > 1 + log(similarity * 0.999) / CLASS_WIDTH
 
 
-def key_hashes(sims: np.ndarray, size: np.ndarray, mask: np.ndarray, number: int) -> np.ndarray:
-    """One key of many lines, from their hashes and classes of length."""
-    told = (size * N_KEYS + number).astype(np.uint64) * GOLDEN
-    for j in np.flatnonzero(mask):
-        told = told + mixed((sims[:, j] & mask[j]) * _odd[2 + j])
-    return mixed(told)
+def key_hashes(sims: np.ndarray, size: np.ndarray, blocks: list[int], number: int) -> np.ndarray:
+    """One key of many lines, from their hashes and classes of length, as 32 bits."""
+    told = (size * N_KEYS + number).astype(np.uint64)
+    for b in blocks:
+        per_long = 64 // BLOCK_BITS
+        told = told << np.uint64(BLOCK_BITS) | sims[:, b // per_long] >> np.uint64(BLOCK_BITS * (b % per_long)) & BLOCK
+    return (mixed(told * GOLDEN) >> np.uint64(32)).astype(np.uint32)

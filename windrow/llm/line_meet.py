@@ -1,7 +1,7 @@
 """Where lines meet: nodes dealt out under their keys, packed, and each with one of its near ones.
 
 A task deals its nodes under a few keys at a time and packs what goes to one part of the keys
-as 32 bytes a node: key, id and half of the hash.  The task that has a part sorts it by key.
+as 28 bytes a node: key, id and half of the hash.  The task that has a part sorts it by key.
 Of the near pairs of a bucket only so many are told as go with its nodes: at first each node with
 the least leader near it, later, when most of a group is connected, each with its least and its
 greatest near one in other components.  A node that has any near one at all is always told, so
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.line_hash import LONGS, class_of, key_hashes, key_masks
+from windrow.llm.line_hash import LONGS, class_of, key_hashes
 
 # Of the last 64 bits of two hashes, and of the last 128, so many may differ in near lines: similar
 # ones differ in some 6 and 12, 99 in 100 of them in no more than 16 and 30; strangers in 32 and 64.
@@ -29,42 +29,47 @@ MAX_HALF = 34
 MAX_APART = 60
 # Entries that a task deals out before it passes them on, and entries of a part.  Sorting a part
 # takes some five times its size, beside a JVM that takes two thirds of an executor.
-DEAL_ENTRIES = 1 << 18
+DEAL_ENTRIES = 1 << 16
 PART_ENTRIES = 1 << 18
 
 MET = "id long, other long"
+SIGN = np.uint64(1 << 63)
 NONE = np.iinfo(np.int64).max
 
 
 def dealer(keys: list[list[int]], first: int, similarity: float, n_parts: int):
-    """Nodes (id, chars, sim_*[, label]) to packed entries (part, data) under the keys."""
-    masks = key_masks(keys)
+    """Nodes (id, chars, sim_*[, label]), or such as ``line_places`` packs them, to packed entries
+    (part, data) under the keys."""
 
     def pack(columns: list[np.ndarray]) -> pa.RecordBatch:
         ids, chars, sims = columns[0], columns[1], np.stack(columns[2 : 2 + LONGS], axis=1)
         own, above = class_of(chars, similarity)
         at = np.concatenate([np.arange(len(ids)), np.flatnonzero(above)])
         size = np.concatenate([own, own[above] + 1])
-        some = sims[at].view(np.uint64)
-        kept = [ids[at], *sims[at].T[-2:]]
-        if len(columns) > 2 + LONGS:  # a label, and then what else tells two nodes apart
-            kept += [columns[-1][at], *sims[at].T[:-2], chars[at]]
-        told = [np.stack([key_hashes(some, size, m, i).view(np.int64), *kept], axis=1) for i, m in enumerate(masks, first)]
-        entries = np.concatenate(told)
-        part = ((entries[:, 0].view(np.uint64) >> np.uint64(33)) % np.uint64(n_parts)).astype(np.int32)
+        some = sims.view(np.uint64).take(at, 0)
+        told = [key_hashes(some, size, blocks, i) for i, blocks in enumerate(keys, first)]
+        key = np.concatenate(told)
+        part = part_of(key, n_parts)
         order = np.argsort(part, kind="stable")
-        entries, part = entries[order], part[order]
-        begin = np.flatnonzero(np.diff(part, prepend=-1))
+        part, of = part[order], np.tile(at, len(keys))[order]
+        begin = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
         ends = np.append(begin[1:], len(part))
-        data = [entries[lo:hi].tobytes() for lo, hi in zip(begin, ends)]
+        kept = [key[order], ids.take(of), *(np.ascontiguousarray(c).take(of) for c in sims.T[-2:])]
+        if len(columns) > 2 + LONGS:  # a label, and then what else tells two nodes apart
+            kept += [c.take(of) for c in (columns[-1], *columns[2 : LONGS], chars)]
+        data = [b"".join([c[lo:hi].tobytes() for c in kept]) for lo, hi in zip(begin.tolist(), ends.tolist())]
         return pa.record_batch([pa.array(part[begin], pa.int32()), pa.array(data, pa.binary())], names=["part", "data"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            held.append([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
-            n += batch.num_rows
-            if n * len(masks) >= DEAL_ENTRIES:
+            if batch.num_columns == 1:
+                rows = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64).reshape(-1, 2 + LONGS)
+                held.append([np.ascontiguousarray(c) for c in rows.T])
+            else:
+                held.append([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
+            n += len(held[-1][0])
+            if n * len(keys) >= DEAL_ENTRIES:
                 yield pack([np.concatenate(c) for c in zip(*held)])
                 held, n = [], 0
         if n:
@@ -73,16 +78,35 @@ def dealer(keys: list[list[int]], first: int, similarity: float, n_parts: int):
     return deal
 
 
+def part_of(key: np.ndarray, n_parts: int) -> np.ndarray:
+    """The part of each key; so small a type, where it will do, is sorted by its digits."""
+    part = (key.astype(np.uint64) * np.uint64(n_parts)) >> np.uint64(32)
+    return part.astype(np.uint16 if n_parts <= 1 << 16 else np.int32)
+
+
 def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
-    """The entries of each part that are in a bucket of several, in the order of key and id."""
+    """The entries of each part that are in a bucket of several, in the order of key and id.
+
+    An entry is a key of 32 bits and ``width`` - 1 longs; data has its columns one after another.
+    """
 
     def sorted_part(held: list[bytes]) -> np.ndarray:
-        rows = np.frombuffer(b"".join(held), np.int64).reshape(-1, width)
-        order = np.argsort(rows[:, 0])
-        key = rows[order, 0]
+        counts = [len(x) // (8 * width - 4) for x in held]
+        key = np.concatenate([np.frombuffer(x, np.uint32, n) for x, n in zip(held, counts)]).astype(np.uint64)
+
+        def column(c: int) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x, np.int64, n, 4 * n + 8 * (c - 1) * n) for x, n in zip(held, counts)])
+
+        ids = column(1)
+        # By key and, nearly always, by id: its upper half will do to have the same nodes lead.
+        by = key << np.uint64(32) | (ids.view(np.uint64) ^ SIGN) >> np.uint64(32)
+        order = np.argsort(by)
+        key = key[order]
         same = key[1:] == key[:-1]
-        rows = rows[order[np.append(same, False) | np.append(False, same)]]
-        return rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        several = np.append(same, False) | np.append(False, same)
+        order = order[several]
+        columns = [key[several].view(np.int64), ids[order], *(column(c)[order] for c in range(2, width))]
+        return np.stack(columns, axis=1)
 
     current, held = None, []
     for batch in batches:
@@ -208,6 +232,7 @@ def met(
     told more than once."""
     labelled = "label" in nodes.columns
     columns = ["id", "chars", *(f"sim_{i}" for i in range(LONGS)), *(["label"] if labelled else [])]
+    columns = ["packed"] if nodes.columns == ["packed"] else columns
     n_entries = n_nodes * len(keys) * 4 // 3
     n_parts = max(nodes.sparkSession.sparkContext.defaultParallelism, 1 + n_entries // PART_ENTRIES)
     dealt = nodes.select(*columns).mapInArrow(dealer(keys, first, similarity, n_parts), "part int, data binary")

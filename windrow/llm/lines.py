@@ -22,16 +22,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.common import SPACE, bounded_batches
+from windrow.llm.common import bounded_batches
 from windrow.llm.components import components
 from windrow.llm.line_edits import within
-from windrow.llm.line_hash import LINES, LONGS, key_blocks, line_rows
+from windrow.llm.line_hash import LONGS, key_blocks
 from windrow.llm.line_meet import MAX_APART, MAX_BITS, met
+from windrow.llm.line_places import SIMS, line_places, pick_lines
 from windrow.runtime import stage, staging
 
 SIMILARITY = 0.85
 # So many keys of every line are dealt out at a time.
-KEYS_AT_ONCE = 10
+KEYS_AT_ONCE = 12
 # Buckets of up to so many nodes are told by ``bucket_rows`` pair by pair, larger ones by node.
 SMALL_BUCKET = 16
 # Lists of line numbers are broadcast up to this size, some 20 MB.
@@ -89,29 +90,13 @@ def _met_pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.nulls(len(a), pa.int64()), a, b], names=["key", "a", "b"])
 
 
-def _normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
-
-
-def _node_texts(docs: DataFrame, nodes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, sims, text) of the nodes of some ids, looked up where they occur first."""
-    sims = F.array(*(f"sim_{i}" for i in range(LONGS))).alias("sims")
-    place = F.struct("id", F.col("node.line_no").alias("line_no"), sims)
-    wanted = nodes.join(ids, "id").groupBy(F.col("node.doc_id").alias("doc_id")).agg(
-        F.collect_list(place).alias("places")
-    )
+def _node_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, sims, text) of some nodes, looked up where they occur first."""
+    wanted = members.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line_no")).alias("places"))
     lines = _join_bounded(docs, stage(wanted, "wanted"), F.size("places"), "inner")
-    lines = lines.select("doc_id", F.split("text", "\n").alias("lines"), F.explode("places").alias("p"))
-    line = F.get("lines", F.col("p.line_no"))
-    return stage(
-        lines.select(
-            F.struct("doc_id", "p.line_no").alias("node"),
-            "p.id",
-            "p.sims",
-            _normal(line).alias("text"),
-        ).dropDuplicates(["node"]).drop("node"),
-        "texts",
-    )
+    texts = lines.select("text", "places").mapInArrow(pick_lines, "id long, text string")
+    sims = members.select("id", F.array(*SIMS).alias("sims"))
+    return stage(texts.join(sims, "id").dropDuplicates(["id"]), "texts")
 
 
 def _join_bounded(docs: DataFrame, small: DataFrame, entries: Column, how: str) -> DataFrame:
@@ -133,19 +118,12 @@ def _similar(similarity: float) -> Column:
     return near & within("end_a.text", "end_b.text", most)
 
 
-def _nodes(places: DataFrame) -> DataFrame:
-    first = F.min(F.struct("doc_id", "line_no"))
-    sims = [F.first(c).alias(c) for c in ("chars", *(f"sim_{i}" for i in range(LONGS)))]
-    nodes = places.groupBy("text_a", "text_b").agg(first.alias("node"), *sims)
-    return stage(nodes.withColumnRenamed("text_a", "id").drop("text_b"), "nodes")
-
-
-def _met(nodes: DataFrame, similarity: float, n_nodes: int, every: bool = False) -> DataFrame:
-    """(id, other): what met under any key, see ``line_meet.met``.
+def _met(nodes: DataFrame, n: int, similarity: float, n_nodes: int, every: bool = False) -> DataFrame:
+    """(id, other): what met of ``n`` nodes under any key, see ``line_meet.met``.
 
     The fewer of the ``n_nodes`` nodes of the table there are, the more keys are dealt at a time.
     """
-    keys, n, found = key_blocks(), nodes.count(), None
+    keys, found = key_blocks(), None
     at_once = KEYS_AT_ONCE * max(1, n_nodes // max(1, n))
     for lo in range(0, len(keys), at_once):
         some = stage(met(nodes, keys[lo : lo + at_once], lo, similarity, n, every), "met")
@@ -153,9 +131,9 @@ def _met(nodes: DataFrame, similarity: float, n_nodes: int, every: bool = False)
     return found
 
 
-def _labelled(nodes: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
-    """The nodes that are told, with the label of their component."""
-    some = nodes.join(told.select("id").distinct(), "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
+def _labelled(members: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members that are told, with the label of their component."""
+    some = members.join(told.select("id").distinct(), "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
     return stage(some.withColumn("label", F.coalesce("label", "id")), "labelled")
 
 
@@ -171,12 +149,13 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         F.col("doc_id").isNotNull() & F.col("text").isNotNull()
     )
     with staging(docs.sparkSession) as result:
-        places = stage(docs.mapInArrow(line_rows, LINES), "lines")
-        nodes = _nodes(places)
+        places = stage(line_places(docs), "places")
+        nodes = places.filter("first").drop("first", "packed")
         n = nodes.count()
-        told = _met(nodes, similarity, n).groupBy("id").agg(F.min("other").alias("other"))
+        told = _met(places.filter("packed IS NOT NULL").select("packed"), n, similarity, n).groupBy("id").agg(F.min("other").alias("other"))
         told = stage(told, "told")
-        texts = _node_texts(docs, nodes, told.select("id"))
+        members = stage(nodes.join(told.select("id"), "id"), "members")  # no other node has a near one
+        texts = _node_texts(docs, members)
 
         def links_of(pairs: DataFrame) -> DataFrame:
             for x in ("a", "b"):
@@ -188,7 +167,8 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         links = links_of(tried)
         labels = components(links)
         for every in (False, True):
-            told = _met(_labelled(nodes, told, labels), similarity, n, every)
+            labelled = _labelled(members, told, labels)
+            told = _met(labelled, labelled.count(), similarity, n, every)
             if not every:
                 ends = told.groupBy("id").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
                 told = stage(ends.select("id", F.explode(F.array("lo", "hi")).alias("other")), "told")
@@ -198,13 +178,13 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
             if not found.isEmpty():
                 links = links.union(found)
                 labels = components(links)
-        # The first occurrence of each component, and of each node outside of any.
-        grouped = nodes.select("id", "node").join(labels.withColumnRenamed("node", "id"), "id", "left")
-        label = F.coalesce("label", "id")
-        kept = grouped.groupBy(label.alias("label")).agg(F.min("node").alias("node"))
-        kept = kept.select("node.doc_id", "node.line_no")
-        dropped = places.select("doc_id", "line_no").join(kept, ["doc_id", "line_no"], "left_anti")
-        dropped = dropped.groupBy("doc_id").agg(F.collect_set("line_no").alias("dropped"))
+        # Of equal lines all but the first, and of the first ones of a component all but one.
+        grouped = members.join(labels.withColumnRenamed("node", "id"), "id")
+        place = F.struct("doc_id", "line_no")
+        kept = grouped.groupBy("label").agg(F.min(place).alias("kept"))
+        later = grouped.join(kept, "label").filter(place != F.col("kept")).select("doc_id", "line_no")
+        repeats = places.filter(~F.col("first")).select("doc_id", "line_no")
+        dropped = repeats.unionAll(later).groupBy("doc_id").agg(F.collect_set("line_no").alias("dropped"))
         return result(dropped, "dropped")
 
 
