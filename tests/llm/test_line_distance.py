@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from windrow.llm import line_distance, line_edits, line_hash, line_places
+from windrow.llm import components, line_edits, line_hash, line_places
 from windrow.llm.line_distance import banded, distances, groups
 
 TEXT = st.text("abé京 ", min_size=1, max_size=200)
@@ -82,3 +82,26 @@ def test_words_of_any_length_have_hashes_of_their_own():
     beside = line_hash.line_hashes("\n".join(words).encode())
     assert [a[1][0] for a in alone] == beside[1].tolist() and len(set(beside[1].tolist())) == len(words)
     assert [a[3][0] for a in alone] == beside[3].tolist() == [len(w) for w in words]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(-30, 30), st.integers(-30, 30)).filter(lambda x: x[0] > x[1]), max_size=40), st.integers(1, 9))
+def test_components_of_few_links_in_one_task(links, size):
+    batches = [
+        pa.record_batch([pa.array(c, pa.int64()) for c in zip(*links[lo : lo + size])], names=["u", "v"])
+        for lo in range(0, len(links), size)
+    ]
+    got = [r for b in components.labels_of(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    want = {n: n for link in links for n in link}
+    for _ in links:
+        for u, v in links:
+            want[u] = want[v] = min(want[u], want[v])
+    assert sorted(got) == sorted(want.items())
+
+
+def test_components_of_few_and_many_links_are_the_same(spark, monkeypatch):
+    rng = random.Random(7)
+    links = spark.createDataFrame([(rng.randrange(400), rng.randrange(400)) for _ in range(260)], "a long, b long")
+    few = sorted(components.components(links).collect())
+    monkeypatch.setattr(components, "FEW_LINKS", 0)
+    assert few == sorted(components.components(links).collect()) and len(few) > 200

@@ -29,7 +29,7 @@ GRAM_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 # Pairs and characters that are held to be measured together.
 HELD_PAIRS, HELD_CHARS = 16_000, 8 << 20
 # Shorter lines are measured, unless they differ in a few words; the bounds cost more.
-LONG_CHARS = 1500
+LONG_CHARS = 5000
 
 
 def anchors(a: list[str], b: list[str]) -> list[tuple[int, int]]:
